@@ -6,7 +6,8 @@ Fixture code, not engine code: it only shapes columns, every operator under test
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from signalmart.functions import times
 from signalmart.operators import deadletter, keys, rollups, star, validate
 from signalmart.operators.rules import Reference
 from signalmart.plans.kpi import Window
+from signalmart.sources.mart import Mart
 
 # events.event_type -> model event type; "error" rows are texts or tower reports by parity.
 SOURCE_TYPES = {
@@ -220,30 +222,31 @@ class Model:
     # --- Facts and rollups from the clean stream ---------------------------------------------
 
     @cached_property
-    def dims(self) -> dict[str, DataFrame]:
-        return {
-            "dim_subscriber": self.subscribers,
-            "dim_tower": self.towers,
-            "dim_bundle": self.bundles,
-            "dim_date": self.calendar,
+    def mart(self) -> Mart:
+        """Every table of the star, built when first asked for; source event ids are unique."""
+        builders: dict[str, Callable[[], DataFrame]] = {
+            "dim_subscriber": lambda: self.subscribers,
+            "dim_tower": lambda: self.towers,
+            "dim_bundle": lambda: self.bundles,
+            "dim_date": lambda: self.calendar,
+            "tower_status_current": lambda: star.tower_state(self.events, self.no_state()),
+            "dlq_records": lambda: self.dead_letters,
         }
-
-    @cached_property
-    def mart(self) -> dict[str, DataFrame]:
-        """Every table of the star, lazily; ids of the source events are unique."""
-        tables = dict(self.dims)
         for event_type, spec in star.FACTS.items():
-            source = self.priced_events if event_type == "bundle_purchase" else self.events
-            events = source.where(F.col("event_type") == event_type)
-            known = self.subscribers.select(
-                F.col("subscriber_id").alias(spec.subject), F.col("subscriber_key").alias("subject_key")
-            )
-            tables[spec.table] = star.fact_rows(event_type, events.join(known, spec.subject), self.dims)
-        tables["tower_status_current"] = star.tower_state(self.events, self.no_state())
-        tables["dlq_records"] = self.dead_letters
+            builders[spec.table] = partial(self._fact, event_type)
+        mart = Mart(builders)
         for name, (build, _) in {**rollups.FACT_ROLLUPS, **rollups.DLQ_ROLLUPS}.items():
-            tables[name] = build(tables)
-        return tables
+            builders[name] = partial(build, mart)
+        return mart
+
+    def _fact(self, event_type: str) -> DataFrame:
+        spec = star.FACTS[event_type]
+        source = self.priced_events if event_type == "bundle_purchase" else self.events
+        known = self.subscribers.select(
+            F.col("subscriber_id").alias(spec.subject), F.col("subscriber_key").alias("subject_key")
+        )
+        events = source.where(F.col("event_type") == event_type).join(known, spec.subject)
+        return star.fact_rows(event_type, events, self.mart)
 
     def no_state(self) -> DataFrame:
         return self.spark.createDataFrame(

@@ -227,7 +227,7 @@ VIEWS = {
             CASE WHEN kind = 'data_usage' AND fault = 6 THEN 'technology_known' END,
             CASE WHEN kind = 'tower_status' AND fault = 6 THEN 'status_known' END,
             CASE WHEN kind IN ('voice_call', 'sms') AND fault = 8 THEN 'receiver_msisdn_format' END
-          ], x -> x IS NOT NULL) AS broken
+          ], lambda x: x IS NOT NULL) AS broken
         FROM raws""",
     "verdict": """
         SELECT *, coalesce(structural, 'RULE_VIOLATION:' || broken[1]) AS reason FROM labelled""",

@@ -293,7 +293,7 @@ def failed_payment_payloads(m: Model) -> DataFrame:
 
 @query
 def dlq_reasons(m: Model) -> DataFrame:
-    return quality.rejection_reasons({"dlq_records": m.envelopes})
+    return quality.rejection_reasons(m.mart.with_tables(dlq_records=m.envelopes))
 
 
 # --- Facts -----------------------------------------------------------------------------------
@@ -311,7 +311,7 @@ def fact_bundle_sales(m: Model) -> DataFrame:
         m.subscribers.select("subscriber_id", F.col("subscriber_key").alias("subject_key")),
         "subscriber_id",
     )
-    return star.fact_rows("bundle_purchase", resolved, m.dims)
+    return star.fact_rows("bundle_purchase", resolved, m.mart)
 
 
 @query
@@ -341,8 +341,7 @@ def known_subscribers(m: Model) -> DataFrame:
 @query
 def rollup_revenue_minute(m: Model) -> DataFrame:
     """Airtime from the events, bundle revenue from the deduplicated order lines."""
-    mart = {**m.mart, "fact_bundle_sales": fact_bundle_sales(m)}
-    return rollups.revenue_minute(mart)
+    return rollups.revenue_minute(m.mart.with_tables(fact_bundle_sales=fact_bundle_sales(m)))
 
 
 @query
@@ -365,15 +364,14 @@ def quality_report(m: Model) -> DataFrame:
 
 @query
 def audit_orphan_keys(m: Model) -> DataFrame:
-    """Calls audited against the active subscribers and the towers of even key only in name."""
-    mart = {**m.mart, "dim_subscriber": m.subscribers.where("is_active")}
-    return quality.orphan_calls(mart)
+    """Calls audited against a dimension that has lost its inactive subscribers."""
+    return quality.orphan_calls(m.mart.with_tables(dim_subscriber=m.subscribers.where("is_active")))
 
 
 @query
 def audit_duplicates(m: Model) -> DataFrame:
     """Duplicate event ids per fact; the undeduplicated order lines stand in for bundle sales."""
-    return quality.duplicate_events({**m.mart, "fact_bundle_sales": m.line_sales})
+    return quality.duplicate_events(m.mart.with_tables(fact_bundle_sales=m.line_sales))
 
 
 @query

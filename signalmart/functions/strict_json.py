@@ -9,6 +9,23 @@ from pyspark.sql import functions as F
 
 from signalmart import catalog
 
+# Type names the document schema shows for each contract kind; a double field also takes integers.
+_SHAPES = {
+    "string": "STRING",
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "double": r"(BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))",
+}
+
+
+def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, whatever is done with it later.
+
+    Filters are pushed through projections by copying their expressions; a generated column stops
+    that, so an expensive verdict is not evaluated in the filter and again in the result.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
 
 def with_document(df: DataFrame, raw: str = "raw", out: str = "document") -> DataFrame:
     """Add the VARIANT of `raw`; NULL unless the text is exactly one JSON document.
@@ -22,89 +39,103 @@ def with_document(df: DataFrame, raw: str = "raw", out: str = "document") -> Dat
         F.concat(F.lit("["), F.col(raw), F.lit(","), seal.cast("string"), F.lit("]"))
     )
     sealed = F.try_variant_get("_boxed", "$[1]", "bigint") == seal
+    document = F.when(sealed, F.variant_get("_boxed", "$[0]", "variant"))
+    return fixed(df.withColumn("_boxed", boxed), out, document).drop("_boxed")
+
+
+def with_payload(df: DataFrame, event_types: tuple[str, ...], document: str = "document") -> DataFrame:
+    """Add one typed column per contract field; a field the document lacks is NULL.
+
+    All fields are read by one cast of the document to a struct.
+    """
+    wide = catalog.wide_fields(event_types)
+    target = "struct<" + ", ".join(f"`{name}` {kind}" for name, kind in wide.items()) + ">"
+    columns = {
+        (catalog.DECLARED_TYPE if name == "event_type" else name): F.col(f"_payload.{name}")
+        for name in wide
+    }
     return (
-        df.withColumn("_boxed", boxed)
-        .withColumn(out, F.when(sealed, F.variant_get("_boxed", "$[0]", "variant")))
-        .drop("_boxed")
+        df.withColumn("_payload", F.try_variant_get(document, "$", target))
+        .withColumns(columns)
+        .drop("_payload")
     )
 
 
-def json_type(document: str, name: str) -> Column:
-    """Type name of one member; NULL when the member is missing, VOID when it is JSON null."""
-    return F.schema_of_variant(F.variant_get(document, f"$.{name}", "variant"))
+def by_event_type(branches: dict[str, Column], event_type: str = "event_type") -> Column:
+    """CASE over the event type, so a row only pays for the checks of its own type."""
+    (first, head), *rest = branches.items()
+    kind = F.col(event_type)
+    return reduce(
+        lambda case, item: case.when(kind == item[0], item[1]), rest, F.when(kind == first, head)
+    )
+
 
+def _conforming_shape(event_type: str) -> str:
+    """Pattern of the document schema of an event with exactly the contract's fields and types."""
+    members = ", ".join(f"{name}: {_SHAPES[kind]}" for name, kind in sorted(catalog.fields(event_type)))
+    return rf"^OBJECT<{members}>\z"
 
-def is_object(document: str) -> Column:
-    return F.schema_of_variant(F.col(document)).startswith("OBJECT")
 
+def _by_type_literal(event_types: tuple[str, ...], values: dict[str, list[str]]) -> Column:
+    pairs = []
+    for kind in event_types:
+        pairs += [F.lit(kind), F.array(*[F.lit(v) for v in values[kind]])]
+    return F.try_element_at(F.create_map(*pairs), F.col("event_type"))
 
-def _has_kind(found: Column, kind: str) -> Column:
-    if kind == "double":
-        return found.isin("BIGINT", "DOUBLE") | found.startswith("DECIMAL")
-    return found == {"string": "STRING", "bigint": "BIGINT", "boolean": "BOOLEAN"}[kind]
 
+def _field_tags(document: str, names: Column, shapes: Column) -> Column:
+    """missing/type tags in contract order, found by one look per contract field."""
 
-def _field_tag(document: str, name: str, kind: str) -> Column:
-    found = json_type(document, name)
-    return F.when(found.isNull(), f"missing:{name}").when(~_has_kind(found, kind), f"type:{name}")
+    def tag(name: Column, shape: Column) -> Column:
+        member = F.variant_get(document, F.concat(F.lit("$."), name), "variant")
+        found = F.schema_of_variant(member)
+        return (
+            F.when(found.isNull(), F.concat(F.lit("missing:"), name))
+            .when(~F.rlike(found, F.concat(F.lit("^"), shape, F.lit(r"\z"))), F.concat(F.lit("type:"), name))
+        )
 
+    return F.array_compact(F.zip_with(names, shapes, tag))
 
-def _unexpected(raw: str, event_type: str) -> Column:
-    """Tags of the keys the contract does not name, in document order."""
-    known = F.array(*[F.lit(name) for name, _ in catalog.fields(event_type)])
-    surplus = F.array_except(F.json_object_keys(raw), known)
-    return F.transform(surplus, lambda key: F.concat(F.lit("unexpected:"), key))
 
+def _format_tags(document: str) -> Column:
+    """Value checks on the envelope that keep a well-typed event from breaking the load.
 
-def _format_tags(event_type: str, document: str) -> list[Column]:
-    """Value checks on the envelope that keep a well-typed event from breaking the load."""
+    They only speak for fields that are there with the right type.
+    """
     event_id = F.try_variant_get(document, "$.event_id", "string")
     declared = F.try_variant_get(document, "$.event_type", "string")
     version = F.try_variant_get(document, "$.schema_version", "bigint")
-    return [
-        F.when(~event_id.rlike(catalog.UUID_PATTERN), "format:event_id"),
-        F.when(declared != event_type, "value:event_type"),
-        F.when(version < 1, "value:schema_version"),
-    ]
-
-
-def schema_tags(event_type: str, strict: bool, raw: str = "raw", document: str = "document") -> Column:
-    """Every structural violation of a parsed document, in reporting order; empty when it conforms."""
-    tags = [_field_tag(document, name, kind) for name, kind in catalog.fields(event_type)]
-    found = F.concat(F.array_compact(F.array(*tags)), _unexpected(raw, event_type))
-    if strict:
-        # Value checks only speak for fields that are there with the right type.
-        found = F.concat(found, F.array_compact(F.array(*_format_tags(event_type, document))))
-    return F.when(is_object(document), found).otherwise(F.array(F.lit("not_an_object")))
+    return F.array_compact(
+        F.array(
+            F.when(~event_id.rlike(catalog.UUID_PATTERN), "format:event_id"),
+            F.when(declared != F.col("event_type"), "value:event_type"),
+            F.when(version < 1, "value:schema_version"),
+        )
+    )
 
 
-def first_schema_tag(
-    event_type: str, strict: bool, raw: str = "raw", document: str = "document"
+def schema_tags(
+    event_types: tuple[str, ...], strict: bool, raw: str = "raw", document: str = "document"
 ) -> Column:
-    """First structural violation or NULL; stops at the first hit, so clean fields cost one look."""
-    tags = [F.when(~is_object(document), "not_an_object")]
-    tags += [_field_tag(document, name, kind) for name, kind in catalog.fields(event_type)]
-    tags.append(F.get(_unexpected(raw, event_type), F.lit(0)))
-    if strict:
-        tags += _format_tags(event_type, document)
-    return F.coalesce(*tags)
+    """Every structural violation in reporting order, empty when the document conforms, NULL when
+    there is no document. Needs an `event_type` column.
 
-
-def by_event_type(branches: dict[str, Column], event_type: str = "event_type") -> Column:
-    """CASE over the event type, so a row only pays for the checks of its own type."""
-    (first, head), *rest = branches.items()
-    kind = F.col(event_type)
-    return reduce(
-        lambda case, item: case.when(kind == item[0], item[1]), rest, F.when(kind == first, head)
+    A conforming event is recognised by one match of its whole schema; only the others are looked
+    at field by field.
+    """
+    contracts = {kind: catalog.fields(kind) for kind in event_types}
+    names = _by_type_literal(event_types, {k: [n for n, _ in f] for k, f in contracts.items()})
+    shapes = _by_type_literal(event_types, {k: [_SHAPES[t] for _, t in f] for k, f in contracts.items()})
+    surplus = F.transform(
+        F.array_except(F.json_object_keys(raw), names),
+        lambda key: F.concat(F.lit("unexpected:"), key),
     )
-
-
-def with_payload(df: DataFrame, event_types: tuple[str, ...], document: str = "document") -> DataFrame:
-    """Add one typed column per contract field; a field the document lacks is NULL."""
-    columns = {
-        (catalog.DECLARED_TYPE if name == "event_type" else name): F.try_variant_get(
-            document, f"$.{name}", kind
-        )
-        for name, kind in catalog.wide_fields(event_types).items()
-    }
-    return df.withColumns(columns)
+    shape = F.schema_of_variant(F.col(document))
+    conforms = by_event_type({kind: shape.rlike(_conforming_shape(kind)) for kind in event_types})
+    structural = (
+        F.when(conforms, F.array().cast("array<string>"))
+        .when(~shape.startswith("OBJECT"), F.array(F.lit("not_an_object")))
+        .otherwise(F.concat(_field_tags(document, names, shapes), surplus))
+    )
+    found = F.concat(structural, _format_tags(document)) if strict else structural
+    return F.when(F.col(document).isNotNull(), found)

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from signalmart import catalog
 from signalmart.functions import times
-
-Mart = dict[str, DataFrame]
+from signalmart.sources.mart import Mart
 
 
 @dataclass(frozen=True)

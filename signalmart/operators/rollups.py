@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalmart.functions import times
+from signalmart.sources.mart import Mart
 
 
 def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn("date_key", times.date_key_of("minute"))
 
 
-def revenue_events(mart: dict[str, DataFrame]) -> DataFrame:
+def revenue_events(mart: Mart) -> DataFrame:
     """Airtime and bundle revenue as one relation with a type tag."""
     airtime = mart["fact_recharges"].select(
         "subscriber_key", "event_timestamp", "amount", F.lit("AIRTIME").alias("revenue_type")
@@ -29,7 +30,7 @@ def revenue_events(mart: dict[str, DataFrame]) -> DataFrame:
     return airtime.unionByName(bundle)
 
 
-def revenue_minute(mart: dict[str, DataFrame]) -> DataFrame:
+def revenue_minute(mart: Mart) -> DataFrame:
     provinces = mart["dim_subscriber"].select("subscriber_key", "province")
     return _dated(
         revenue_events(mart)
@@ -42,7 +43,7 @@ def revenue_minute(mart: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def calls_minute(mart: dict[str, DataFrame]) -> DataFrame:
+def calls_minute(mart: Mart) -> DataFrame:
     return _dated(
         mart["fact_calls"]
         .groupBy(times.minute_of("event_timestamp").alias("minute"), "tower_key")
@@ -54,7 +55,7 @@ def calls_minute(mart: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def data_minute(mart: dict[str, DataFrame]) -> DataFrame:
+def data_minute(mart: Mart) -> DataFrame:
     return _dated(
         mart["fact_data_usage"]
         .groupBy(times.minute_of("event_timestamp").alias("minute"), "tower_key", "technology")
@@ -65,7 +66,7 @@ def data_minute(mart: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def dlq_minute(mart: dict[str, DataFrame]) -> DataFrame:
+def dlq_minute(mart: Mart) -> DataFrame:
     return _dated(
         mart["dlq_records"]
         .groupBy(
@@ -76,7 +77,7 @@ def dlq_minute(mart: dict[str, DataFrame]) -> DataFrame:
 
 
 # rollup table -> (builder, tables whose new rows make a day dirty)
-FACT_ROLLUPS: dict[str, tuple[Callable[[dict[str, DataFrame]], DataFrame], tuple[str, ...]]] = {
+FACT_ROLLUPS: dict[str, tuple[Callable[[Mart], DataFrame], tuple[str, ...]]] = {
     "agg_revenue_minute": (revenue_minute, ("fact_recharges", "fact_bundle_sales")),
     "agg_calls_minute": (calls_minute, ("fact_calls",)),
     "agg_data_minute": (data_minute, ("fact_data_usage",)),
@@ -97,7 +98,7 @@ def affected_minutes(events: DataFrame, column: str = "event_timestamp") -> Data
 
 def refresh(
     name: str,
-    mart: dict[str, DataFrame],
+    mart: Mart,
     new_rows: dict[str, DataFrame],
     rollups: dict = FACT_ROLLUPS,
 ) -> DataFrame:
@@ -110,8 +111,5 @@ def refresh(
     days = reduce(
         DataFrame.unionByName, [new_rows[table].select("date_key") for table in sources]
     ).distinct()
-    scoped = {
-        table: df.join(days, "date_key", "left_semi") if table in sources else df
-        for table, df in mart.items()
-    }
-    return build(scoped)
+    scoped = {table: mart[table].join(days, "date_key", "left_semi") for table in sources}
+    return build(mart.with_tables(**scoped))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from signalmart.functions import times
 from signalmart.operators import deadletter, keys
+from signalmart.sources.mart import Mart
 
 
 @dataclass(frozen=True)
@@ -97,7 +98,7 @@ def unknown_subscribers(resolved: DataFrame) -> DataFrame:
     )
 
 
-def fact_rows(event_type: str, resolved: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def fact_rows(event_type: str, resolved: DataFrame, dims: Mart) -> DataFrame:
     """Fact rows of one event type from resolved events; dimension lookups are inner joins."""
     spec = FACTS[event_type]
     rows = resolved.where(
@@ -115,7 +116,7 @@ def fact_rows(event_type: str, resolved: DataFrame, dims: dict[str, DataFrame])
     )
 
 
-def unmatched_dims(event_type: str, resolved: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def unmatched_dims(event_type: str, resolved: DataFrame, dims: Mart) -> DataFrame:
     """Resolved events an inner dimension lookup would drop, for the audit."""
     spec = FACTS[event_type]
     rows = resolved.where((F.col("event_type") == event_type) & F.col("subject_key").isNotNull())

@@ -40,11 +40,10 @@ def parsed(raw: DataFrame, event_types: tuple[str, ...] = catalog.EVENT_TYPES) -
 
 
 def schema_violations_of(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """All structural violations per record, `violations` as an ordered array."""
-    tags = {kind: strict_json.schema_tags(kind, strict) for kind in catalog.EVENT_TYPES}
-    return parsed(with_event_type(raw)).withColumn(
-        "violations",
-        F.when(F.col("document").isNotNull(), strict_json.by_event_type(tags)),
+    """All structural violations per record, `violations` as an ordered array; NULL if unparsed."""
+    typed = parsed(with_event_type(raw))
+    return strict_json.fixed(
+        typed, "violations", strict_json.schema_tags(catalog.EVENT_TYPES, strict)
     )
 
 
@@ -78,20 +77,23 @@ def validate(
     which a well-typed but unusable event would reach the tables.
     """
     clock = times.as_time(as_of)
-    structure = {kind: strict_json.first_schema_tag(kind, strict) for kind in catalog.EVENT_TYPES}
     business = {kind: rulebook.first_violated(rules[kind], clock) for kind in catalog.EVENT_TYPES}
-
-    typed = parsed(with_event_type(raw)).withColumn(
-        "_structure",
-        F.when(F.col("document").isNull(), "PARSE_ERROR").otherwise(
-            _prefixed("SCHEMA_VIOLATION:", strict_json.by_event_type(structure))
-        ),
+    structure = F.get("violations", F.lit(0))
+    typed = (
+        schema_violations_of(raw, strict)
+        .withColumn(
+            "_structure",
+            F.when(F.col("violations").isNull(), "PARSE_ERROR").otherwise(
+                _prefixed("SCHEMA_VIOLATION:", structure)
+            ),
+        )
+        .drop("document", "violations")
     )
-    looked_up = rulebook.with_reference(typed.drop("document"), reference)
     reason = F.coalesce(
         F.col("_structure"), _prefixed("RULE_VIOLATION:", strict_json.by_event_type(business))
     )
-    return looked_up.withColumn("reason", reason).drop("_structure", "tower_known", "catalog_price")
+    looked_up = strict_json.fixed(rulebook.with_reference(typed, reference), "reason", reason)
+    return looked_up.drop("_structure", "tower_known", "catalog_price")
 
 
 def accepted(validated: DataFrame) -> DataFrame:
