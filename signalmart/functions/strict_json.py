@@ -43,21 +43,20 @@ def with_document(df: DataFrame, raw: str = "raw", out: str = "document") -> Dat
     return fixed(df.withColumn("_boxed", boxed), out, document).drop("_boxed")
 
 
-def with_payload(df: DataFrame, event_types: tuple[str, ...], document: str = "document") -> DataFrame:
-    """Add one typed column per contract field; a field the document lacks is NULL.
+def with_payload(df: DataFrame, event_types: tuple[str, ...], raw: str = "raw") -> DataFrame:
+    """Add one typed column per contract field; a field the record lacks is NULL.
 
-    All fields are read by one cast of the document to a struct.
+    This reader converts where it can, so its values only count for records whose structure was
+    found sound. All types share one parse.
     """
     wide = catalog.wide_fields(event_types)
-    target = "struct<" + ", ".join(f"`{name}` {kind}" for name, kind in wide.items()) + ">"
+    target = ", ".join(f"`{name}` {kind}" for name, kind in wide.items())
     columns = {
         (catalog.DECLARED_TYPE if name == "event_type" else name): F.col(f"_payload.{name}")
         for name in wide
     }
     return (
-        df.withColumn("_payload", F.try_variant_get(document, "$", target))
-        .withColumns(columns)
-        .drop("_payload")
+        df.withColumn("_payload", F.from_json(raw, target)).withColumns(columns).drop("_payload")
     )
 
 
@@ -83,33 +82,28 @@ def _by_type_literal(event_types: tuple[str, ...], values: dict[str, list[str]])
     return F.try_element_at(F.create_map(*pairs), F.col("event_type"))
 
 
-def _field_tags(document: str, names: Column, shapes: Column) -> Column:
-    """missing/type tags in contract order, found by one look per contract field."""
+def _field_tags(document: str, names: Column, kinds: Column) -> Column:
+    """missing/type tags in contract order; a JSON null is there, but of no contract type."""
+    members = F.try_variant_get(document, "$", "map<string, variant>")
 
-    def tag(name: Column, shape: Column) -> Column:
-        member = F.variant_get(document, F.concat(F.lit("$."), name), "variant")
-        found = F.schema_of_variant(member)
-        return (
-            F.when(found.isNull(), F.concat(F.lit("missing:"), name))
-            .when(~F.rlike(found, F.concat(F.lit("^"), shape, F.lit(r"\z"))), F.concat(F.lit("type:"), name))
+    def tag(name: Column, kind: Column) -> Column:
+        found = F.schema_of_variant(F.try_element_at(members, name))
+        number = found.isin("BIGINT", "DOUBLE") | found.startswith("DECIMAL(")
+        fits = (F.lower(found) == kind) | ((kind == "double") & number)
+        return F.when(found.isNull(), F.concat(F.lit("missing:"), name)).when(
+            ~fits, F.concat(F.lit("type:"), name)
         )
 
-    return F.array_compact(F.zip_with(names, shapes, tag))
+    return F.array_compact(F.zip_with(names, kinds, tag))
 
 
-def _format_tags(document: str) -> Column:
-    """Value checks on the envelope that keep a well-typed event from breaking the load.
-
-    They only speak for fields that are there with the right type.
-    """
-    event_id = F.try_variant_get(document, "$.event_id", "string")
-    declared = F.try_variant_get(document, "$.event_type", "string")
-    version = F.try_variant_get(document, "$.schema_version", "bigint")
+def _format_tags() -> Column:
+    """Value checks on the typed envelope that keep a well-formed event from breaking the load."""
     return F.array_compact(
         F.array(
-            F.when(~event_id.rlike(catalog.UUID_PATTERN), "format:event_id"),
-            F.when(declared != F.col("event_type"), "value:event_type"),
-            F.when(version < 1, "value:schema_version"),
+            F.when(~F.col("event_id").rlike(catalog.UUID_PATTERN), "format:event_id"),
+            F.when(F.col(catalog.DECLARED_TYPE) != F.col("event_type"), "value:event_type"),
+            F.when(F.col("schema_version") < 1, "value:schema_version"),
         )
     )
 
@@ -118,24 +112,23 @@ def schema_tags(
     event_types: tuple[str, ...], strict: bool, raw: str = "raw", document: str = "document"
 ) -> Column:
     """Every structural violation in reporting order, empty when the document conforms, NULL when
-    there is no document. Needs an `event_type` column.
+    there is no document. Needs `event_type` and, if `strict`, the payload columns.
 
     A conforming event is recognised by one match of its whole schema; only the others are looked
-    at field by field.
+    at field by field. Value checks are made on conforming events only.
     """
     contracts = {kind: catalog.fields(kind) for kind in event_types}
     names = _by_type_literal(event_types, {k: [n for n, _ in f] for k, f in contracts.items()})
-    shapes = _by_type_literal(event_types, {k: [_SHAPES[t] for _, t in f] for k, f in contracts.items()})
+    kinds = _by_type_literal(event_types, {k: [t for _, t in f] for k, f in contracts.items()})
     surplus = F.transform(
         F.array_except(F.json_object_keys(raw), names),
         lambda key: F.concat(F.lit("unexpected:"), key),
     )
     shape = F.schema_of_variant(F.col(document))
     conforms = by_event_type({kind: shape.rlike(_conforming_shape(kind)) for kind in event_types})
-    structural = (
-        F.when(conforms, F.array().cast("array<string>"))
+    return (
+        F.when(F.col(document).isNull(), F.lit(None))
+        .when(conforms, _format_tags() if strict else F.array().cast("array<string>"))
         .when(~shape.startswith("OBJECT"), F.array(F.lit("not_an_object")))
-        .otherwise(F.concat(_field_tags(document, names, shapes), surplus))
+        .otherwise(F.concat(_field_tags(document, names, kinds), surplus))
     )
-    found = F.concat(structural, _format_tags(document)) if strict else structural
-    return F.when(F.col(document).isNotNull(), found)

@@ -19,6 +19,17 @@ PERFORMANCE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Only read when a session starts: call sites of column expressions are for debugging, and slow.
+STARTUP_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
+def start(builder: SparkSession.Builder) -> SparkSession:
+    """Build a session with every setting of the engine."""
+    settings = {**SEMANTIC_SETTINGS, **PERFORMANCE_SETTINGS, **STARTUP_SETTINGS}
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built, and return it."""
