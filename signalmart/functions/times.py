@@ -19,6 +19,10 @@ def iso_timestamp(text: Column) -> Column:
     The cast alone would also take partial dates and bare clock times, hence the guard.
     """
     dotted = F.replace(text, F.lit(","), F.lit("."))
+    # The cast only reads an offset behind seconds.
+    dotted = F.when(F.substring(text, 17, 1) == ":", dotted).otherwise(
+        F.concat(F.substring(dotted, 1, 16), F.lit(":00"), F.substr(dotted, F.lit(17)))
+    )
     complete = (
         F.when(text.rlike(rf"^{_DATE}\z"), F.concat(text, F.lit("T00:00:00Z")))
         .when(text.rlike(rf"{_OFFSET}\z"), dotted)

@@ -60,8 +60,9 @@ def run_batch(
     accepted = validate.accepted(verdicts)
 
     # Subscribers first: events of the same batch may refer to them.
+    created = accepted.where(F.col("event_type") == "subscriber_created")
     rows, number_taken = star.new_subscribers(
-        keys.first_per_key(accepted, ["topic", "event_id"], keys.arrival_order()),
+        keys.first_per_key(created, ["topic", "event_id"], keys.arrival_order()),
         store.before("dim_subscriber", batch_id),
     )
     store.replace_partitions("dim_subscriber", rows, batch_id=batch_id)
