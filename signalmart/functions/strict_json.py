@@ -97,14 +97,33 @@ def _field_tags(document: str, names: Column, kinds: Column) -> Column:
     return F.array_compact(F.zip_with(names, kinds, tag))
 
 
-def _format_tags() -> Column:
+def _format_tags() -> list[Column]:
     """Value checks on the typed envelope that keep a well-formed event from breaking the load."""
-    return F.array_compact(
-        F.array(
-            F.when(~F.col("event_id").rlike(catalog.UUID_PATTERN), "format:event_id"),
-            F.when(F.col(catalog.DECLARED_TYPE) != F.col("event_type"), "value:event_type"),
-            F.when(F.col("schema_version") < 1, "value:schema_version"),
-        )
+    return [
+        F.when(~F.col("event_id").rlike(catalog.UUID_PATTERN), "format:event_id"),
+        F.when(F.col(catalog.DECLARED_TYPE) != F.col("event_type"), "value:event_type"),
+        F.when(F.col("schema_version") < 1, "value:schema_version"),
+    ]
+
+
+def _conforms(event_types: tuple[str, ...], document: str) -> Column:
+    """Whether the whole schema of the document is the one its event type prescribes."""
+    shape = F.schema_of_variant(F.col(document))
+    return by_event_type({kind: shape.rlike(_conforming_shape(kind)) for kind in event_types})
+
+
+def _deviations(event_types: tuple[str, ...], raw: str, document: str) -> Column:
+    """Tags of a document that does not conform, found field by field."""
+    contracts = {kind: catalog.fields(kind) for kind in event_types}
+    names = _by_type_literal(event_types, {k: [n for n, _ in f] for k, f in contracts.items()})
+    kinds = _by_type_literal(event_types, {k: [t for _, t in f] for k, f in contracts.items()})
+    surplus = F.transform(
+        F.array_except(F.json_object_keys(raw), names),
+        lambda key: F.concat(F.lit("unexpected:"), key),
+    )
+    is_object = F.schema_of_variant(F.col(document)).startswith("OBJECT")
+    return F.when(is_object, F.concat(_field_tags(document, names, kinds), surplus)).otherwise(
+        F.array(F.lit("not_an_object"))
     )
 
 
@@ -117,18 +136,20 @@ def schema_tags(
     A conforming event is recognised by one match of its whole schema; only the others are looked
     at field by field. Value checks are made on conforming events only.
     """
-    contracts = {kind: catalog.fields(kind) for kind in event_types}
-    names = _by_type_literal(event_types, {k: [n for n, _ in f] for k, f in contracts.items()})
-    kinds = _by_type_literal(event_types, {k: [t for _, t in f] for k, f in contracts.items()})
-    surplus = F.transform(
-        F.array_except(F.json_object_keys(raw), names),
-        lambda key: F.concat(F.lit("unexpected:"), key),
+    sound = F.array_compact(F.array(*_format_tags())) if strict else F.array().cast("array<string>")
+    return F.when(
+        F.col(document).isNotNull(),
+        F.when(_conforms(event_types, document), sound).otherwise(
+            _deviations(event_types, raw, document)
+        ),
     )
-    shape = F.schema_of_variant(F.col(document))
-    conforms = by_event_type({kind: shape.rlike(_conforming_shape(kind)) for kind in event_types})
-    return (
-        F.when(F.col(document).isNull(), F.lit(None))
-        .when(conforms, _format_tags() if strict else F.array().cast("array<string>"))
-        .when(~shape.startswith("OBJECT"), F.array(F.lit("not_an_object")))
-        .otherwise(F.concat(_field_tags(document, names, kinds), surplus))
+
+
+def first_schema_tag(
+    event_types: tuple[str, ...], strict: bool, raw: str = "raw", document: str = "document"
+) -> Column:
+    """The first of `schema_tags`, NULL if there is none, without building the list for clean rows."""
+    sound = F.coalesce(*_format_tags()) if strict else F.lit(None).cast("string")
+    return F.when(_conforms(event_types, document), sound).otherwise(
+        F.get(_deviations(event_types, raw, document), F.lit(0))
     )

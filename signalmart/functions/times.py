@@ -24,8 +24,8 @@ def iso_timestamp(text: Column) -> Column:
         F.concat(F.substring(dotted, 1, 16), F.lit(":00"), F.substr(dotted, F.lit(17)))
     )
     complete = (
-        F.when(text.rlike(rf"^{_DATE}\z"), F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(rf"{_OFFSET}\z"), dotted)
+        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(F.substr(text, F.lit(17)).rlike("[Z+-]"), dotted)
         .otherwise(F.concat(dotted, F.lit("Z")))
     )
     return F.when(text.rlike(_ISO), complete.try_cast("timestamp"))

@@ -54,9 +54,8 @@ def to_broker(records: DataFrame) -> DataFrame:
 def intake(raw: DataFrame) -> DataFrame:
     """Dead-letter messages with `skipped`: malformed ones are flagged, not lost."""
     typed = validate.parsed(raw.withColumn("event_type", F.lit(RECORD_TYPE)), (RECORD_TYPE,))
-    tags = strict_json.schema_tags((RECORD_TYPE,), strict=True)
-    usable = (F.size(tags) == 0) & F.col("event_timestamp").isNotNull()
-    skipped = ~F.coalesce(usable, F.lit(False))
+    tag = strict_json.first_schema_tag((RECORD_TYPE,), strict=True)
+    skipped = F.col("document").isNull() | tag.isNotNull() | F.col("event_timestamp").isNull()
     return strict_json.fixed(typed, "skipped", skipped).drop("document")
 
 

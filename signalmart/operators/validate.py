@@ -61,7 +61,8 @@ def rule_violations_of(
 
 
 def _prefixed(prefix: str, tag: Column) -> Column:
-    return F.when(tag.isNotNull(), F.substring(F.concat(F.lit(prefix), tag), 1, catalog.REASON_WIDTH))
+    """Reason text of a tag; NULL stays NULL."""
+    return F.substring(F.concat(F.lit(prefix), tag), 1, catalog.REASON_WIDTH)
 
 
 def validate(
@@ -78,16 +79,16 @@ def validate(
     """
     clock = times.as_time(as_of)
     business = {kind: rulebook.first_violated(rules[kind], clock) for kind in catalog.EVENT_TYPES}
-    structure = F.get("violations", F.lit(0))
+    structure = strict_json.first_schema_tag(catalog.EVENT_TYPES, strict)
     typed = (
-        schema_violations_of(raw, strict)
+        parsed(with_event_type(raw))
         .withColumn(
             "_structure",
-            F.when(F.col("violations").isNull(), "PARSE_ERROR").otherwise(
+            F.when(F.col("document").isNull(), "PARSE_ERROR").otherwise(
                 _prefixed("SCHEMA_VIOLATION:", structure)
             ),
         )
-        .drop("document", "violations")
+        .drop("document")
     )
     reason = F.coalesce(
         F.col("_structure"), _prefixed("RULE_VIOLATION:", strict_json.by_event_type(business))

@@ -9,17 +9,21 @@ are written files in the shared folder, not cached blocks, so a lost executor co
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from signalmart import catalog, session
 from signalmart.functions import times
 from signalmart.operators import deadletter, keys, rollups, star, validate
 from signalmart.operators.rules import RULES, Reference, Rule
 from signalmart.sources import lake, sinks
-from signalmart.sources.store import Store, refresh_rollups
+from signalmart.sources.store import Store, refresh_rollup
 
 EVENTS_QUERY = "events"
 DLQ_QUERY = "dead-letters"
@@ -43,6 +47,13 @@ def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
     return store.spark.read.schema(schema).parquet(path)
 
 
+def concurrently(steps: list[Callable[[], None]]) -> None:
+    """Run independent writes as concurrent jobs, so small ones do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=len(steps) or 1) as pool:
+        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+            done.result()
+
+
 def run_batch(
     raw: DataFrame,
     store: Store,
@@ -74,20 +85,30 @@ def run_batch(
         "resolved",
     )
 
-    for event_type in catalog.EVENT_TYPES:
+    counts = validate.batch_counts(verdicts)
+    # At most one row per event type and verdict: which steps have anything to do.
+    present = {r["event_type"] for r in counts.where("accepted").select("event_type").collect()}
+
+    def write_lake(event_type: str) -> None:
         events = lake.with_date(validate.events_of(resolved, event_type))
         store.write_lake(event_type, events, batch_id)
 
-    for event_type, spec in star.FACTS.items():
+    concurrently([partial(write_lake, kind) for kind in catalog.EVENT_TYPES if kind in present])
+
+    def write_facts(event_type: str, spec: star.FactSpec) -> None:
         facts = star.fact_rows(event_type, resolved, store.mart)
         fresh = keys.insert_if_absent(facts, store.before(spec.table, batch_id), "event_id")
         store.replace_partitions(spec.table, fresh, batch_id=batch_id)
 
-    # Two slots take turns: the snapshot being written is never the one being read.
-    state = star.tower_state(resolved, store.tower_status(before_version=batch_id))
-    store.replace_partitions(
-        "tower_status_current", state, version=F.lit(batch_id).cast("bigint"), slot=batch_id % 2
-    )
+    def write_state() -> None:
+        # Two slots take turns: the snapshot being written is never the one being read.
+        state = star.tower_state(resolved, store.tower_status(before_version=batch_id))
+        store.replace_partitions(
+            "tower_status_current", state, version=F.lit(batch_id).cast("bigint"), slot=batch_id % 2
+        )
+
+    facts = {kind: spec for kind, spec in star.FACTS.items() if kind in present}
+    concurrently([write_state, *[partial(write_facts, kind, spec) for kind, spec in facts.items()]])
 
     rejects = (
         validate.rejected(verdicts)
@@ -96,10 +117,14 @@ def run_batch(
     )
     dead_letter_sink.publish(deadletter.envelope(rejects, clock), batch_id)
 
-    refresh_rollups(store, batch_id)
-    store.replace_partitions(
-        "batch_metrics", validate.batch_counts(verdicts), query=EVENTS_QUERY, batch_id=batch_id
-    )
+    tables = {spec.table for spec in facts.values()}
+    dirty = {
+        name: (build, sources)
+        for name, (build, sources) in rollups.FACT_ROLLUPS.items()
+        if tables & set(sources)
+    }
+    concurrently([partial(refresh_rollup, store, batch_id, name, dirty) for name in dirty])
+    store.replace_partitions("batch_metrics", counts, query=EVENTS_QUERY, batch_id=batch_id)
 
 
 def run_dead_letter_batch(raw: DataFrame, store: Store, batch_id: int) -> None:
@@ -108,7 +133,7 @@ def run_dead_letter_batch(raw: DataFrame, store: Store, batch_id: int) -> None:
     records = deadletter.records(taken)
     fresh = keys.insert_if_absent(records, store.before("dlq_records", batch_id), "event_id")
     store.replace_partitions("dlq_records", fresh, batch_id=batch_id)
-    refresh_rollups(store, batch_id, rollups.DLQ_ROLLUPS)
+    refresh_rollup(store, batch_id, "agg_dlq_minute", rollups.DLQ_ROLLUPS)
     counts = taken.groupBy("event_type", (~F.col("skipped")).alias("accepted")).agg(
         F.count("*").alias("n_records")
     )

@@ -204,8 +204,8 @@ def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...]) ->
     )
 
 
-def refresh_rollups(store: Store, batch_id: int, which: dict = rollups.FACT_ROLLUPS) -> None:
-    """Recompute and replace the days of each rollup that the batch added facts to."""
-    for name, (_, sources) in which.items():
-        new_rows = {table: store.of_batch(table, batch_id) for table in sources}
-        store.replace_partitions(name, rollups.refresh(name, store.mart, new_rows, which))
+def refresh_rollup(store: Store, batch_id: int, name: str, which: dict) -> None:
+    """Recompute and replace the days of a rollup that the batch added rows to."""
+    _, sources = which[name]
+    new_rows = {table: store.of_batch(table, batch_id) for table in sources}
+    store.replace_partitions(name, rollups.refresh(name, store.mart, new_rows, which))
