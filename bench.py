@@ -40,10 +40,10 @@ def _timed(run) -> float:
 
 
 def _load_seconds(spark: SparkSession, sf_dir: str) -> tuple[float, int]:
-    """One batch of the whole raw stream into a fresh mart, raw records read from files."""
+    """One batch of the whole raw stream, laid out like broker partitions, into a fresh mart."""
     root = tempfile.mkdtemp(prefix="signalmart-bench-")
     model = Model(spark, sf_dir)
-    model.raw.write.parquet(f"{root}/raw")
+    model.raw.repartition(24, "topic", "partition").write.parquet(f"{root}/raw")
     raw = spark.read.parquet(f"{root}/raw")
     store = load.open_store(spark, f"{root}/mart")
     store.overwrite("dim_tower", model.towers)

@@ -82,7 +82,7 @@ class Model:
                 _pick(catalog.PROVINCES, F.col("c_nationkey") % 9).alias("province"),
                 (
                     F.lit("2024-01-01").cast("timestamp")
-                    + F.make_dt_interval(mins=(key % 43200).cast("int"))
+                    + F.make_dt_interval(mins=(key % 40000).cast("int"))
                 ).alias("created_at"),
                 (F.col("c_acctbal") >= 0).alias("is_active"),
             )
@@ -210,7 +210,7 @@ class Model:
             (F.col("l_shipdate").cast("timestamp") + minute).alias("event_timestamp"),
             F.col("o_custkey").alias("subscriber_id"),
             F.concat(F.lit("B"), F.col("l_partkey").cast("string")).alias("bundle_code"),
-            (F.col("l_extendedprice") / 1000).cast("decimal(10,2)").cast("double").alias("price"),
+            F.floor(F.col("l_extendedprice") / 1000).cast("double").alias("price"),
             "l_suppkey",
         )
 

@@ -40,7 +40,7 @@ VIEWS = {
                {_msisdn("c_custkey")} AS msisdn,
                {_list(catalog.PLANS)}[c_custkey % 3 + 1] AS plan,
                {_list(catalog.PROVINCES)}[c_nationkey % 9 + 1] AS province,
-               TIMESTAMP '2024-01-01' + to_minutes(c_custkey % 43200) AS created_at,
+               TIMESTAMP '2024-01-01' + to_minutes(c_custkey % 40000) AS created_at,
                c_acctbal >= 0 AS is_active
         FROM customer WHERE c_custkey % 10 <> 0""",
     "towers": f"""
@@ -131,7 +131,7 @@ VIEWS = {
         SELECT {_uuid("'L-' || l_orderkey || '-' || l_linenumber")} AS event_id,
                l_shipdate + to_minutes((l_orderkey * 7 + l_linenumber) % 1440) AS event_timestamp,
                o_custkey AS subscriber_id, 'B' || CAST(l_partkey AS VARCHAR) AS bundle_code,
-               l_partkey, CAST(l_extendedprice / 1000 AS DECIMAL(10,2)) AS price, l_suppkey
+               l_partkey, CAST(floor(l_extendedprice / 1000) AS DECIMAL(10,2)) AS price, l_suppkey
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "first_lines": """
         SELECT * FROM lines QUALIFY row_number() OVER (
@@ -383,10 +383,32 @@ def _contract(kind: str, columns: str, domain: list[tuple[str, str, str]]) -> li
     return rows + [_value(kind, view, name, column, bad) for name, column, bad in domain]
 
 
+def _registration_contract() -> list[str]:
+    kind = "subscriber_created"
+    view = f"(SELECT uid AS event_id, kind AS event_type, ts, subscriber_id, msisdn, plan, province," \
+           f" 1 AS schema_version, ts AS timestamp FROM sent JOIN subs ON subscriber_id = subject" \
+           f" WHERE kind = '{kind}')"
+    names = "event_id event_type timestamp schema_version subscriber_id msisdn plan province".split()
+    skew = "(SELECT as_of + INTERVAL 30 SECOND FROM clock)"
+    checks = [
+        ("matches", "event_id", f"NOT regexp_matches(event_id, {_UUID_RE})"),
+        ("in_set", "event_type", f"event_type <> '{kind}'"),
+        ("timestamp_valid", "timestamp", f"ts > {skew}"),
+        ("at_least", "schema_version", "schema_version < 1"),
+        ("at_least", "subscriber_id", "subscriber_id < 1"),
+        ("matches", "msisdn", f"NOT regexp_matches(msisdn, {_MSISDN_RE})"),
+        ("in_set", "plan", f"plan NOT IN {_in(catalog.PLANS)}"),
+        ("in_set", "province", f"province NOT IN {_in(catalog.PROVINCES)}"),
+    ]
+    rows = [_value(kind, view, "not_null", c, f"{c} IS NULL") for c in names]
+    return rows + [_value(kind, view, name, column, bad) for name, column, bad in checks]
+
+
 _OK_NUMBER = ("matches", "receiver_msisdn", f"NOT regexp_matches(receiver_msisdn, {_MSISDN_RE})")
 _OK_TOWER = ("references", "tower_id", "tower_id NOT IN (SELECT tower_id FROM towers)")
 _CONTRACTS = _report(
-    _contract("airtime_purchase", "subscriber_id amount payment_method", [
+    _registration_contract()
+    + _contract("airtime_purchase", "subscriber_id amount payment_method", [
         ("at_least", "subscriber_id", "subscriber_id < 1"),
         ("between", "amount", "amount <= 0 OR amount > 1000"),
         ("in_set", "payment_method", f"payment_method NOT IN {_in(catalog.PAYMENT_METHODS)}"),
@@ -424,8 +446,34 @@ _CONTRACTS = _report(
     ])
 )
 
+_REQUIRED = {
+    "fact_recharges": ("recharges", "event_id subscriber_key event_timestamp amount payment_method"),
+    "fact_bundle_sales": ("sales", "event_id subscriber_key bundle_key event_timestamp price"),
+    "fact_calls": ("calls", "event_id caller_key tower_key event_timestamp receiver_msisdn"
+                   " duration_seconds dropped"),
+    "fact_sms": ("texts", "event_id sender_key event_timestamp receiver_msisdn length"),
+    "fact_data_usage": ("usage", "event_id subscriber_key tower_key event_timestamp mb_used"
+                        " session_seconds technology"),
+    "dim_subscriber": ("subs", "subscriber_key subscriber_id msisdn plan province created_at is_active"),
+    "dlq_records": ("dead_table", "event_id source_topic rejection_reason original_payload rejected_at"),
+    "tower_status_current": ("state", "tower_id technology signal_strength connected_devices status"
+                             " updated_at"),
+}
+VIEWS["dead_table"] = "SELECT *, 'x' AS original_payload FROM dead"
+
 _CONSTRAINTS = _report(
     [
+        _value(table, alias, "not_null", column, f"{column} IS NULL")
+        for table, (alias, columns) in _REQUIRED.items()
+        for column in columns.split()
+    ]
+    + [
+        _unique("dim_tower", "towers", "tower_id"),
+        _unique("dim_bundle", "bundles", "bundle_code"),
+        _unique("dim_date", "days", "full_date"),
+        _unique("dlq_records", "dead", "event_id"),
+    ]
+    + [
         _refs(f"fact_{name}", alias, "date_key", "days", "date_key")
         for name, alias in (
             ("recharges", "recharges"), ("bundle_sales", "sales"), ("calls", "calls"),

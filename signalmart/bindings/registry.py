@@ -244,8 +244,11 @@ def batch_counts(m: Model) -> DataFrame:
 @query
 def contract_check(m: Model) -> DataFrame:
     reports = []
-    for event_type in catalog.EVENT_TYPES[1:]:
-        source = m.priced_events if event_type == "bundle_purchase" else m.events
+    for event_type in catalog.EVENT_TYPES:
+        if event_type == "subscriber_created":
+            source = validate.accepted(m.validated)
+        else:
+            source = m.priced_events if event_type == "bundle_purchase" else m.events
         batch = validate.events_of(source, event_type)
         reports.append(quality.contract_check(event_type, batch, m.mart, m.as_of))
     return reduce(DataFrame.unionByName, reports)

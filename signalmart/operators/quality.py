@@ -384,12 +384,29 @@ ROLLUP_KEYS = {
 }
 
 
+# Tables whose every column is mandatory, and natural keys of the tables that have no suite.
+REQUIRED_TABLES = [*FACT_SUBJECTS, "dim_subscriber", "dlq_records", "tower_status_current"]
+NATURAL_KEYS = {
+    "dim_tower": "tower_id",
+    "dim_bundle": "bundle_code",
+    "dim_date": "full_date",
+    "dlq_records": "event_id",
+}
+_BOOKKEEPING = {"date_key", "batch_id", "slot", "version"}
+
+
 def constraints(mart: Mart) -> DataFrame:
-    """Table constraints a file store does not enforce: calendar keys and rollup primary keys."""
-    parts = [
-        _reference_check(table, mart[table], References("date_key", "dim_date", "date_key"), mart)
-        for table in FACT_SUBJECTS
-    ]
+    """Table constraints a file store does not enforce: mandatory columns, natural keys, calendar
+    keys, rollup primary keys."""
+    parts = []
+    for table in REQUIRED_TABLES:
+        required = [NotNull(c) for c in mart[table].columns if c not in _BOOKKEEPING]
+        parts.append(_value_checks(table, mart[table], required))
+    for table, column in NATURAL_KEYS.items():
+        parts.append(_unique_check(table, mart[table], Unique(column)))
+    for table in FACT_SUBJECTS:
+        days = References("date_key", "dim_date", "date_key")
+        parts.append(_reference_check(table, mart[table], days, mart))
     for table, columns in ROLLUP_KEYS.items():
         key = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
         keyed = mart[table].withColumn("primary_key", key)
