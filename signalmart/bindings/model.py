@@ -51,9 +51,13 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.prepare(spark)
         self.sf_dir = sf_dir
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table; opened once, since opening reads the file footer."""
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
     @cached_property
     def as_of(self) -> Column:

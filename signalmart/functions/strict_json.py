@@ -55,9 +55,7 @@ def with_payload(df: DataFrame, event_types: tuple[str, ...], raw: str = "raw")
         (catalog.DECLARED_TYPE if name == "event_type" else name): F.col(f"_payload.{name}")
         for name in wide
     }
-    return (
-        df.withColumn("_payload", F.from_json(raw, target)).withColumns(columns).drop("_payload")
-    )
+    return fixed(df, "_payload", F.from_json(raw, target)).withColumns(columns).drop("_payload")
 
 
 def by_event_type(branches: dict[str, Column], event_type: str = "event_type") -> Column:
