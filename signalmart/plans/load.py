@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -47,10 +47,11 @@ def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
     return store.spark.read.schema(schema).parquet(path)
 
 
-def concurrently(steps: list[Callable[[], None]]) -> None:
+def concurrently(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
     """Run independent writes as concurrent jobs, so small ones do not wait for each other."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(steps) or 1) as pool:
-        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+        for done in [pool.submit(inherit(step)) for step in steps]:
             done.result()
 
 
@@ -93,7 +94,7 @@ def run_batch(
         events = lake.with_date(validate.events_of(resolved, event_type))
         store.write_lake(event_type, events, batch_id)
 
-    concurrently([partial(write_lake, kind) for kind in catalog.EVENT_TYPES if kind in present])
+    concurrently(store.spark, [partial(write_lake, kind) for kind in catalog.EVENT_TYPES if kind in present])
 
     def write_facts(event_type: str, spec: star.FactSpec) -> None:
         facts = star.fact_rows(event_type, resolved, store.mart)
@@ -108,7 +109,7 @@ def run_batch(
         )
 
     facts = {kind: spec for kind, spec in star.FACTS.items() if kind in present}
-    concurrently([write_state, *[partial(write_facts, kind, spec) for kind, spec in facts.items()]])
+    concurrently(store.spark, [write_state, *[partial(write_facts, kind, spec) for kind, spec in facts.items()]])
 
     rejects = (
         validate.rejected(verdicts)
@@ -123,7 +124,7 @@ def run_batch(
         for name, (build, sources) in rollups.FACT_ROLLUPS.items()
         if tables & set(sources)
     }
-    concurrently([partial(refresh_rollup, store, batch_id, name, dirty) for name in dirty])
+    concurrently(store.spark, [partial(refresh_rollup, store, batch_id, name, dirty) for name in dirty])
     store.replace_partitions("batch_metrics", counts, query=EVENTS_QUERY, batch_id=batch_id)
 
 
@@ -140,7 +141,7 @@ def run_dead_letter_batch(raw: DataFrame, store: Store, batch_id: int) -> None:
     store.replace_partitions("batch_metrics", counts, query=DLQ_QUERY, batch_id=batch_id)
 
 
-def open_store(spark, root: str, scratch: str | None = None) -> Store:
+def open_store(spark: SparkSession, root: str, scratch: str | None = None) -> Store:
     """A store whose staged tables live in the cluster's shared checkpoint folder if it has one."""
     session.prepare(spark)
     shared = session.scratch_dir(spark, scratch or f"{root}/_staging")
