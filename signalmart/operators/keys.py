@@ -36,31 +36,38 @@ def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 
 
 def lag_within(
-    df: DataFrame, keys: list[str], order: str, values: list[str], bucket: Column
+    df: DataFrame, keys: list[str], order: str, values: list[str], buckets: list[Column]
 ) -> DataFrame:
-    """Previous value of each of `values` per key in `order`, as `prev_<value>`.
+    """Previous row's `order` and `values` per key, as `prev_<name>`.
 
-    Exactly the window function `lag`, but no task ever sees a whole key: rows are windowed per
-    (key, time bucket) and the last row of each bucket is carried into the next one. `bucket` must
-    not decrease in `order`; rows that share an `order` value keep an arbitrary but fixed rank.
+    Exactly the window function `lag`, but no task sees a whole key: rows are windowed per key and
+    time bucket, and each bucket starts with the last row of the bucket before it. Those last rows
+    are found the same way in the next coarser bucket. `buckets` go from fine to coarse and must
+    not decrease in `order`; rows equal in `order` are ranked by their values.
     """
-    bucketed = df.withColumn("_bucket", bucket).withColumn("_carried", F.lit(False))
-    payload = F.struct(F.col(order), *values)
-    tails = bucketed.groupBy(*keys, "_bucket").agg(F.max(payload).alias("_tail"))
+    names = [order, *values]
+    if not buckets:
+        whole = Window.partitionBy(*keys).orderBy(*names)
+        return df.withColumns({f"prev_{name}": F.lag(name).over(whole) for name in names})
+
+    level = f"_bucket_{len(buckets)}"
+    bucketed = df.withColumn(level, buckets[0])
+    tails = (
+        bucketed.groupBy(*keys, level)
+        .agg(F.max(F.struct(*names)).alias("_tail"))
+        .select(*keys, level, "_tail.*")
+    )
     carried = (
-        tails.withColumn("_next", F.lead("_bucket").over(Window.partitionBy(*keys).orderBy("_bucket")))
-        .where(F.col("_next").isNotNull())
-        .select(
-            *keys,
-            F.col("_next").alias("_bucket"),
-            F.lit(True).alias("_carried"),
-            *[F.col(f"_tail.{name}").alias(name) for name in (order, *values)],
-        )
+        lag_within(tails, keys, order, values, buckets[1:])
+        .where(F.col(f"prev_{order}").isNotNull())
+        .select(*keys, level, *[F.col(f"prev_{name}").alias(name) for name in names])
+        .withColumn("_carried", F.lit(True))
     )
-    within = Window.partitionBy(*keys, "_bucket").orderBy(order, *values)
+    within = Window.partitionBy(*keys, level).orderBy(*names)
     return (
-        bucketed.unionByName(carried, allowMissingColumns=True)
-        .withColumns({f"prev_{name}": F.lag(name).over(within) for name in (order, *values)})
+        bucketed.withColumn("_carried", F.lit(False))
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumns({f"prev_{name}": F.lag(name).over(within) for name in names})
         .where(~F.col("_carried"))
-        .drop("_bucket", "_carried")
+        .drop(level, "_carried")
     )

@@ -39,15 +39,18 @@ def consumer_lag(metrics: DataFrame) -> DataFrame:
     )
 
 
-def ingest_rate(metrics: DataFrame, bucket: Column | None = None) -> DataFrame:
+def ingest_rate(metrics: DataFrame, buckets: tuple[str, ...] = ("minute", "day")) -> DataFrame:
     """Messages per second between consecutive samples, averaged per minute and summed by topic.
 
-    A falling offset is a reset and counts as no progress. Samples are paired inside time buckets
-    (an hour by default), so the history of a hot partition is spread over many tasks.
+    A falling offset is a reset and counts as no progress. Samples are paired inside time buckets,
+    fine to coarse, so the history of a hot partition is spread over many tasks.
     """
-    bucket = F.date_trunc("hour", "sampled_at") if bucket is None else bucket
     paired = keys.lag_within(
-        metrics, ["query", "topic", "partition"], "sampled_at", ["latest_offset"], bucket
+        metrics,
+        ["query", "topic", "partition"],
+        "sampled_at",
+        ["latest_offset"],
+        [F.date_trunc(bucket, "sampled_at") for bucket in buckets],
     ).where(F.col("prev_sampled_at").isNotNull())
     micros = F.unix_micros("sampled_at") - F.unix_micros("prev_sampled_at")
     gained = F.greatest(F.col("latest_offset") - F.col("prev_latest_offset"), F.lit(0))

@@ -39,7 +39,8 @@ def test_insert_if_absent(spark):
     assert [r["k"] for r in keys.insert_if_absent(new, stored, "k").collect()] == ["a"]
 
 
-def test_lag_within_buckets_is_the_plain_lag(spark):
+@pytest.mark.parametrize("grains", [[], ["day"], ["hour", "day"], ["minute", "hour", "week"]])
+def test_lag_within_buckets_is_the_plain_lag(spark, grains):
     rng = random.Random(5)
     base = datetime(2026, 1, 1, tzinfo=UTC)
     rows = [
@@ -47,7 +48,7 @@ def test_lag_within_buckets_is_the_plain_lag(spark):
         for i in range(400)
     ]
     df = spark.createDataFrame(rows, "k string, t timestamp, v bigint")
-    out = keys.lag_within(df, ["k"], "t", ["v"], F.date_trunc("day", "t"))
+    out = keys.lag_within(df, ["k"], "t", ["v"], [F.date_trunc(g, "t") for g in grains])
     whole = Window.partitionBy("k").orderBy("t", "v")
     want = df.withColumns({"prev_t": F.lag("t").over(whole), "prev_v": F.lag("v").over(whole)})
     assert sorted(map(str, out.select(want.columns).collect())) == sorted(map(str, want.collect()))
