@@ -31,12 +31,13 @@ DLQ_QUERY = "dead-letters"
 
 def batch_clock(store: Store, query: str, batch_id: int, as_of: datetime | None = None) -> Column:
     """The clock of a batch, fixed at its first attempt so that a replay judges alike."""
-    stored = store.of_batch("batch_clock", batch_id).where(F.col("query") == query)
-    if stored.isEmpty():
+    partition = {"query": query, "batch_id": batch_id}
+    fixed = store.read_partition("batch_clock", **partition).first()
+    if fixed is None:
         now = store.spark.range(1).select(times.as_time(as_of).alias("as_of"))
-        store.replace_partitions("batch_clock", now, query=query, batch_id=batch_id)
-        stored = store.of_batch("batch_clock", batch_id).where(F.col("query") == query)
-    return F.lit(stored.first()["as_of"])
+        store.replace_partitions("batch_clock", now, **partition)
+        fixed = store.read_partition("batch_clock", **partition).first()
+    return F.lit(fixed["as_of"])
 
 
 def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:

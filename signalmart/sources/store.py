@@ -128,6 +128,11 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def read_partition(self, table: str, **values) -> DataFrame:
+        """One partition of a table, opened by its folder without listing the others."""
+        folder = "/".join(f"{name}={values[name]}" for name in TABLES[table][1])
+        return self._read(f"{self.path(table)}/{folder}", TABLES[table][0])
+
     def before(self, table: str, batch_id: int) -> DataFrame:
         """Rows of earlier batches: a replayed batch must not see its own first attempt."""
         return self.read(table).where(F.col("batch_id") < batch_id)

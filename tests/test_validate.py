@@ -173,3 +173,17 @@ def test_custom_rule(spark):
     raw = raw_frame(spark, [("sms", event("sms"))])
     reason = validate.validate(raw, Reference.seeded(spark), AS_OF, rules=extra).first()["reason"]
     assert reason == "RULE_VIOLATION:short"
+
+
+def test_typed_values_of_accepted_events(spark):
+    bodies = {
+        "repeated key": (text().replace('"amount"', '"amount": "x", "amount"'), 50.0),
+        "repeated key, other order": (text().replace("50.0", '7, "amount": 50.0'), 50.0),
+        "integer": (text(amount=50), 50.0),
+        "exponent": (text().replace("50.0", "5e1"), 50.0),
+        "many digits": (text().replace("50.0", "50.000000000000000000000000000000000000000000001"), 50.0),
+    }
+    raw = raw_frame(spark, [(AIR, body) for body, _ in bodies.values()])
+    out = validate.accepted(validate.validate(raw, Reference.seeded(spark), AS_OF)).orderBy("offset")
+    got = [row["amount"] for row in out.collect()]
+    assert dict(zip(bodies, got, strict=True)) == {name: value for name, (_, value) in bodies.items()}
