@@ -36,7 +36,7 @@ from signalmart.llm import common, wordhash
 SPAN = 50
 GRAM = 20
 SLICE_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20  # bytes of text per bucket
+BUCKET_BYTES = 4 << 20  # bytes of text per bucket
 BLOCK = 1 << 20  # window starts looked at together
 SORT_BLOCK = 1 << 18  # suffixes sorted together
 COVER, RESIDUES = 7, (0, 1, 3)
@@ -115,34 +115,36 @@ class Slice:
         first, last = first[keep], last[keep]
         return first + a, last + a, owner[first], hashes[at[first]]
 
-    def entries(self, n_buckets: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """Per bucket: the different anchors in order, and whether two documents of the slice have one."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """The different anchors, sorted, and whether two documents of the slice have one."""
         order = np.argsort(self.gram, kind="stable")
         gram, owner = self.gram[order], self.owner[order]
-        start = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))) if len(gram) else np.zeros(0, int)
-        several = np.add.reduceat(np.concatenate(([False], owner[1:] != owner[:-1])) & ~_mark(start, len(gram)), start) > 0 if len(start) else np.zeros(0, bool)
-        gram = gram[start]
-        bucket = bucket_of(gram, n_buckets)
-        return [(b, gram[bucket == b], several[bucket == b]) for b in np.unique(bucket).tolist()]
-
-    def surroundings(self, ids: list[int], shared: dict[int, np.ndarray], n_buckets: int):
-        """Runs of shared anchors; per bucket the different surroundings with their smallest id.
-
-        Returns `(run, bucket, ordinal)` lists and `bucket -> (grams, surroundings, ids)`.
+        fresh = np.ones(len(gram), bool)
+        fresh[1:] = gram[1:] != gram[:-1]
+        start = np.flatnonzero(fresh)
+        if not len(start):
+            return gram, fresh
+        other = np.zeros(len(gram), bool)
+        other[1:] = (owner[1:] != owner[:-1]) & ~fresh[1:]
+        return gram[start], np.add.reduceat(other.astype(np.int32), start) > 0
+
+    def surroundings(self, ids: list[int], shared: np.ndarray, n_buckets: int):
+        """Runs of shared anchors (sorted); per bucket the different surroundings with their smallest id.
+
+        Returns the runs, the `(bucket, ordinal)` of each, and `bucket -> (grams, surroundings, ids)`.
         """
-        bucket = bucket_of(self.gram, n_buckets)
         chosen = np.zeros(len(self.gram), bool)
-        for b, grams in shared.items():
-            mine = np.flatnonzero(bucket == b)
-            if len(grams):
-                at = np.minimum(np.searchsorted(grams, self.gram[mine]), len(grams) - 1)
-                chosen[mine[grams[at] == self.gram[mine]]] = True
+        if len(shared):
+            at = np.minimum(np.searchsorted(shared, self.gram), len(shared) - 1)
+            chosen = shared[at] == self.gram
         runs = np.flatnonzero(chosen)
         places, lists = [], {}
         known: dict[bytes, int] = {}
         for first, last, owner, b, gram in zip(
-            *(x[runs].tolist() for x in (self.first, self.last, self.owner, bucket)),
-            self.gram[runs].view(np.int64).tolist(), strict=True,
+            *(x[runs].tolist() for x in (self.first, self.last, self.owner)),
+            bucket_of(self.gram[runs], n_buckets).tolist(),
+            self.gram[runs].view(np.int64).tolist(),
+            strict=True,
         ):
             around, own = self.text[first : last + SPAN], ids[owner]
             grams, arounds, least = lists.setdefault(b, ([], [], []))
@@ -158,14 +160,17 @@ class Slice:
         return runs, places, lists
 
 
-def _mark(places: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(n, bool)
-    out[places] = True
-    return out
+def bucket_of(gram: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Bucket by leading bits, so sorted anchors lie bucket by bucket."""
+    return ((gram >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def bucket_of(gram: np.ndarray, n_buckets: int) -> np.ndarray:
-    return ((gram >> np.uint64(48)) * np.uint64(n_buckets) >> np.uint64(16)).astype(np.int64)
+def _by_bucket(gram: np.ndarray, n_buckets: int) -> list[tuple[int, int, int]]:
+    """`bucket, begin, end` of sorted anchors."""
+    bucket = bucket_of(gram, n_buckets)
+    begin = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(gram) else np.zeros(0, np.int64)
+    end = np.append(begin[1:], len(gram))[: len(begin)]
+    return list(zip(bucket[begin].tolist(), begin.tolist(), end.tolist(), strict=True))
 
 
 def _dense(keys: np.ndarray) -> np.ndarray:
@@ -181,10 +186,10 @@ def cover_ranks(data: np.ndarray) -> np.ndarray:
     key = np.zeros(len(sample), np.int64)
     for d in range(COVER):
         key = key << 8 | padded[sample + d]
-    ranks = np.zeros(n + 8 * COVER, np.int64)
+    ranks = np.zeros(n + 8 * COVER, np.int32)
     ranks[sample] = _dense(key)
     for step in (COVER, 2 * COVER, 4 * COVER):
-        ranks[sample] = _dense(ranks[sample] << 32 | ranks[sample + step])
+        ranks[sample] = _dense(ranks[sample].astype(np.int64) << 32 | ranks[sample + step])
     return ranks
 
 
@@ -228,7 +233,7 @@ def least_ids(arounds: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     n_blocks = -(-len(starts) // SORT_BLOCK)
     splitters = np.unique(np.sort(lead[:: max(1, len(lead) // 4096)])[:: max(1, 4096 // n_blocks)])
     block = np.searchsorted(splitters, lead, "right")
-    inverse = np.zeros(len(data), np.int64)
+    inverse = np.zeros(len(data), np.int32)
     inverse[starts] = np.arange(len(starts))
     for b in np.unique(block).tolist():
         mine = np.flatnonzero(block == b)
@@ -292,21 +297,27 @@ def _slices(docs: DataFrame) -> DataFrame:
     return docs.select("k", "text").mapInArrow(run, SLICES)
 
 
-def _rows(batch: pa.RecordBatch, *columns: str):
-    return zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+def _rows(batch: pa.RecordBatch | pa.Table, *columns: str):
+    """Rows as tuples, one at a time: a slice is large."""
+    for k in range(batch.num_rows):
+        yield tuple(batch.column(c)[k].as_py() for c in columns)
 
 
 def _anchors(slices: DataFrame, n_buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for sid, texts in _rows(batch, "sid", "texts"):
-                for b, gram, several in Slice(texts).entries(n_buckets):
-                    low = (gram & np.uint64(HASH_MASK)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": pa.array([b], pa.int64()), "sid": pa.array([sid], pa.int64()),
-                         "grams": pa.array([low.tobytes()], pa.binary()),
-                         "several": pa.array([np.packbits(several).tobytes()], pa.binary())}
-                    )
+                gram, several = Slice(texts).anchors()
+                low = (gram & np.uint64(HASH_MASK)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                parts = _by_bucket(gram, n_buckets)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "bucket": pa.array([b for b, _, _ in parts], pa.int64()),
+                        "sid": pa.array([sid] * len(parts), pa.int64()),
+                        "grams": pa.array([low[p:q].tobytes() for _, p, q in parts], pa.binary()),
+                        "several": pa.array([np.packbits(several[p:q]).tobytes() for _, p, q in parts], pa.binary()),
+                    }
+                )
 
     return slices.select("sid", "texts").mapInArrow(run, "bucket long, sid long, grams binary, several binary")
 
@@ -334,13 +345,14 @@ def _shared(anchors: DataFrame) -> DataFrame:
     return anchors.groupBy("bucket").applyInArrow(run, "sid long, bucket long, bits binary")
 
 
-def _chosen(own: Slice, bits: list[dict], n_buckets: int) -> dict[int, np.ndarray]:
+def _chosen(own: Slice, bits: list[dict], n_buckets: int) -> np.ndarray:
+    """Anchors of a slice whose bit is set, sorted."""
     by_bucket = {x["bucket"]: x["bits"] for x in bits or ()}
-    out = {}
-    for b, gram, _ in own.entries(n_buckets):
-        mask = np.unpackbits(np.frombuffer(by_bucket[b], np.uint8), count=len(gram)).astype(bool)
-        out[b] = gram[mask]
-    return out
+    gram, _ = own.anchors()
+    mask = np.zeros(len(gram), bool)
+    for b, p, q in _by_bucket(gram, n_buckets):
+        mask[p:q] = np.unpackbits(np.frombuffer(by_bucket[b], np.uint8), count=q - p)
+    return gram[mask]
 
 
 def _surroundings(slices: DataFrame, n_buckets: int) -> DataFrame:
@@ -349,13 +361,15 @@ def _surroundings(slices: DataFrame, n_buckets: int) -> DataFrame:
             for sid, ids, texts, bits in _rows(batch, "sid", "ids", "texts", "bits"):
                 own = Slice(texts)
                 _, _, lists = own.surroundings(ids, _chosen(own, bits, n_buckets), n_buckets)
-                for b, (grams, arounds, least) in lists.items():
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": pa.array([b], pa.int64()), "sid": pa.array([sid], pa.int64()),
-                         "grams": pa.array([grams], pa.list_(pa.int64())),
-                         "arounds": pa.array([arounds], pa.list_(pa.binary())),
-                         "least": pa.array([least], pa.list_(pa.int64()))}
-                    )
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "bucket": pa.array(list(lists), pa.int64()),
+                        "sid": pa.array([sid] * len(lists), pa.int64()),
+                        "grams": pa.array([x[0] for x in lists.values()], pa.list_(pa.int64())),
+                        "arounds": pa.array([x[1] for x in lists.values()], pa.list_(pa.binary())),
+                        "least": pa.array([x[2] for x in lists.values()], pa.list_(pa.int64())),
+                    }
+                )
 
     return slices.select("sid", "ids", "texts", "bits").mapInArrow(
         run, "bucket long, sid long, grams array<long>, arounds array<binary>, least array<long>"
@@ -430,7 +444,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = common.keyed(docs, id_col, text_col)
     slices = common.staged(_slices(own), "slices", compression="zstd")
     total = slices.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    n_buckets = max(1, min(1 << 16, -(-total // BUCKET_BYTES)))
+    n_buckets = max(1, -(-total // BUCKET_BYTES))
     bits = common.staged(
         _shared(_anchors(slices, n_buckets))
         .groupBy("sid").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits")),
