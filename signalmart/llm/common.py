@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 2 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(spark: SparkSession) -> str:
@@ -29,10 +30,21 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: a cut in the lineage that survives executors."""
+    """Write `df` once to the shared folder and read it back: a cut in the lineage that survives executors.
+
+    The shuffle files of this one write are let go with it; nothing reads them again.
+    """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

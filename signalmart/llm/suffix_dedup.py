@@ -35,10 +35,10 @@ from signalmart.llm import common, wordhash
 
 SPAN = 50
 GRAM = 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20  # bytes of text per bucket
-BLOCK = 1 << 20  # window starts looked at together
-SORT_BLOCK = 1 << 18  # suffixes sorted together
+BLOCK = 1 << 18  # window starts looked at together
+SORT_BLOCK = 1 << 17  # suffixes sorted together
 COVER, RESIDUES = 7, (0, 1, 3)
 #: For two residues the shift that brings both into the sample.
 SHIFT = [[next(d for d in range(COVER) if (a + d) % COVER in RESIDUES and (b + d) % COVER in RESIDUES)
