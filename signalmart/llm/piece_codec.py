@@ -13,6 +13,7 @@ extra columns are not read; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -25,7 +26,7 @@ from signalmart.llm import common
 
 MARK = "▁"
 SCHEMA = "doc_id long, ids array<int>, decoded string"
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 400_000
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -50,6 +51,7 @@ class PieceCodec:
         self.automaton.make_automaton()
         #: Neighbouring characters inside pieces; nothing is ever merged across any others.
         self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.shown = {i: p.replace(MARK, " ") for p, i in self.ids.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, list[int]] = {}
         self.known: dict[str, tuple[bytes, str]] = {}
@@ -75,7 +77,9 @@ class PieceCodec:
         if found is None:
             if len(self.pairs) > 400_000:
                 self.pairs.clear()
-            found = self.merge(left + right) == ([left, right] if left else [right])
+            # Two that make a piece together would have been merged.
+            joint = left + right
+            found = (not left or joint not in self.ids) and self.merge(joint) == ([left, right] if left else [right])
             self.pairs[pair] = found
         return found
 
@@ -85,11 +89,9 @@ class PieceCodec:
             return [chunk]
         size = len(chunk)
         starting: list[list[str]] = [[c] for c in chunk]
-        for end, piece in self.automaton.iter(chunk):
+        for end, piece in self.automaton.iter(chunk):  # ends ascend, so lengths do at every start
             if len(piece) > 1:
                 starting[end + 1 - len(piece)].append(piece)
-        for found in starting:
-            found.sort(key=len)
         failed, pos, out = 0, 0, []
         tries = [len(starting[0]) - 1]  # which match is next at each open position
         while pos < size:
@@ -113,12 +115,10 @@ class PieceCodec:
         return out
 
     def encode_chunk(self, chunk: str) -> list[int]:
-        ids, start = [], 0
-        for end in range(1, len(chunk) + 1):
-            if end < len(chunk) and chunk[end - 1 : end + 1] in self.joined:
-                continue
-            part = chunk[start:end]
-            start = end
+        ids: list[int] = []
+        # A last character that no piece joins to the one before it is a part of its own.
+        cuts = (chunk[:-1], chunk[-1]) if len(chunk) > 1 and chunk[-2:] not in self.joined else (chunk,)
+        for part in cuts:
             found = self.parts.get(part)
             if found is None:
                 found = []
@@ -151,6 +151,13 @@ class PieceCodec:
             parts.append(piece.replace(MARK, " "))
         return "".join(parts)
 
+    def surface(self, ids: list[int]) -> str:
+        """Decoded text with its leading word mark as a blank."""
+        try:
+            return "".join([self.shown[i] for i in ids])
+        except KeyError:  # bytes: read them together
+            return self.decode([self.ids[MARK], *ids])
+
     def chunks(self, text: str) -> list[str]:
         """Chunks of a text with the word mark before it; none of the empty text."""
         if not text:
@@ -173,8 +180,7 @@ class PieceCodec:
                 entry = known.get(chunk)
                 if entry is None:
                     own = self.encode_chunk(chunk)
-                    # A mark in front is dropped by decode(), so one more keeps the chunk's own.
-                    entry = (np.array(own, np.int32).tobytes(), self.decode([self.ids[MARK], *own]))
+                    entry = (array("i", own).tobytes(), self.surface(own))
                     known[chunk] = entry
                 found.append(entry)
             ids.append(b"".join([e[0] for e in found]))
