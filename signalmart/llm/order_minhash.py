@@ -160,9 +160,11 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     once = rows.select("k", "h", "text").withColumn(
         "_r", F.row_number().over(Window.partitionBy("k", "h").orderBy("k"))
     ).where("_r = 1")
-    heads = once.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), "text").join(
+    found = once.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), "text").join(
         links, ["next_k", "next_h"]
     ).select("k", "h", "next_k", "next_h", "taken", F.expr("left(text, int(taken))").alias("head"))
+    # Written, so that the texts' two shuffles do not lie on disk at once.
+    heads = common.staged(found, "order-minhash-heads", compression="zstd")
     edited = F.concat(F.expr("left(text, int(n_chars - taken))"), F.col("head"))
     both = rows.join(heads, ["k", "h"]).withColumn("edited", edited)
     both = with_fingerprint(with_fingerprint(both, "text", "own"), "edited", "other")
