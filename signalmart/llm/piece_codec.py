@@ -47,8 +47,14 @@ class PieceCodec:
             raise ValueError("a piece reaches across words: this vocabulary can't be cut at word marks")
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+            self.automaton.add_word(piece, (len(piece) - 1, piece))
         self.automaton.make_automaton()
+        #: The next shorter match at the same place.
+        self.shorter = {
+            p: next((p[:k] for k in range(len(p) - 1, 1, -1) if p[:k] in self.ids), p[0])
+            for p in self.ids
+            if len(p) > 1
+        }
         #: Neighbouring characters inside pieces; nothing is ever merged across any others.
         self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.shown = {i: p.replace(MARK, " ") for p, i in self.ids.items()}
@@ -85,33 +91,30 @@ class PieceCodec:
 
     def split(self, chunk: str) -> list[str]:
         """Pieces (or single unknown characters) of a chunk."""
-        if chunk in self.ids and self.fits("", chunk):
-            return [chunk]
-        size = len(chunk)
-        starting: list[list[str]] = [[c] for c in chunk]
-        for end, piece in self.automaton.iter(chunk):  # ends ascend, so lengths do at every start
-            if len(piece) > 1:
-                starting[end + 1 - len(piece)].append(piece)
-        failed, pos, out = 0, 0, []
-        tries = [len(starting[0]) - 1]  # which match is next at each open position
+        longest = list(chunk)
+        for end, (before, piece) in self.automaton.iter(chunk):  # ends ascend: the longest comes last
+            longest[end - before] = piece
+        pairs, shorter, size = self.pairs, self.shorter, len(chunk)
+        failed, pos, last, out, piece = 0, 0, "", [], longest[0]
         while pos < size:
-            last = out[-1] if out else ""
-            k, options = tries[-1], starting[pos]
-            while k >= 0:
-                piece = options[k]
-                if not failed >> (pos + len(piece)) & 1 and self.fits(last, piece):
-                    break
-                k -= 1
-            if k >= 0:
-                tries[-1] = k - 1
+            while piece is not None:
+                end = pos + len(piece)
+                if not failed >> end & 1:
+                    fits = pairs.get((last, piece))
+                    if self.fits(last, piece) if fits is None else fits:
+                        break
+                piece = shorter.get(piece)
+            if piece is None:
+                failed |= 1 << pos
+                piece = out.pop()
+                pos -= len(piece)
+                last = out[-1] if out else ""
+                piece = shorter.get(piece)
+            else:
                 out.append(piece)
-                pos += len(piece)
+                pos, last = end, piece
                 if pos < size:
-                    tries.append(len(starting[pos]) - 1)
-            else:
-                failed |= 1 << pos
-                tries.pop()
-                pos -= len(out.pop())
+                    piece = longest[pos]
         return out
 
     def encode_chunk(self, chunk: str) -> list[int]:
@@ -121,10 +124,11 @@ class PieceCodec:
         for part in cuts:
             found = self.parts.get(part)
             if found is None:
-                found = []
-                for piece in self.split(part):
-                    known = self.ids.get(piece)
-                    found += [known] if known is not None else [self.bytes[b] for b in piece.encode()]
+                pieces = self.split(part)
+                try:
+                    found = [self.ids[p] for p in pieces]
+                except KeyError:  # a character without a piece is its bytes
+                    found = [i for p in pieces for i in ([self.ids[p]] if p in self.ids else map(self.bytes.get, p.encode()))]
                 if len(self.parts) > CACHE_ENTRIES:
                     self.parts.clear()
                 self.parts[part] = found
