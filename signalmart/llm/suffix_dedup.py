@@ -35,10 +35,11 @@ from signalmart.llm import common, wordhash
 
 SPAN = 50
 GRAM = 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 400 << 10
 BUCKET_BYTES = 4 << 20  # bytes of text per bucket
 BLOCK = 1 << 18  # window starts looked at together
-SORT_BLOCK = 1 << 17  # suffixes sorted together
+SORT_BLOCK = 1 << 16  # suffixes sorted together
+SORT_BYTES = 1 << 20  # surroundings sorted together, all of an anchor's at least
 COVER, RESIDUES = 7, (0, 1, 3)
 #: For two residues the shift that brings both into the sample.
 SHIFT = [[next(d for d in range(COVER) if (a + d) % COVER in RESIDUES and (b + d) % COVER in RESIDUES)
@@ -269,11 +270,15 @@ def resolve(grams: list[int], arounds: list[bytes], ids: list[int]) -> list[tupl
     found: list[tuple[list[int], list[int]]] = [
         ([len(a) - SPAN + 1], [m]) for a, m in zip(names, least.tolist(), strict=True)
     ]
-    # An anchor with one surrounding is settled; the rest is sorted.
+    # An anchor with one surrounding is settled; the rest is sorted, some anchors at a time.
     rest = np.flatnonzero(several)
+    rest = rest[np.argsort(gram[rest], kind="stable")]
     if len(rest):
-        for k, own in zip(rest.tolist(), least_ids([names[k] for k in rest], least[rest]), strict=True):
-            found[k] = _steps(own)
+        size = np.cumsum([len(names[k]) for k in rest.tolist()])
+        part = np.maximum.accumulate(np.where(np.diff(gram[rest], prepend=gram[rest[0]]) != 0, size // SORT_BYTES, 0))
+        for own in np.split(rest, np.flatnonzero(np.diff(part)) + 1):
+            for k, ids_ in zip(own.tolist(), least_ids([names[k] for k in own.tolist()], least[own]), strict=True):
+                found[k] = _steps(ids_)
     return [found[k] for k in which]
 
 
