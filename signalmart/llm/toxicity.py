@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
         sample = part if sample is None else sample.unionByName(part)
     examples = _texts_of(docs, sample)
     n, n_toxic = sum(totals.values()), totals.get(1, 0)
-    base = (n_toxic + 1) / (n + 2)
+    base = (n_toxic + 0.1) / (n + 1)  # few are toxic where nothing is known
     terms = choose_terms(examples)
     if not terms:
         return Index({}, np.zeros(0), [], np.zeros(0), np.zeros(0), [], base, base)
