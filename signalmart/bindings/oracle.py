@@ -79,25 +79,25 @@ VIEWS = {
         WHERE kind = 'bundle_purchase'""",
     "calls": f"""
         SELECT uid AS event_id, subscriber_key AS caller_key, tower_key, ts AS event_timestamp,
-               receiver AS receiver_msisdn, CAST(ticks AS INTEGER) AS duration_seconds,
+               receiver AS receiver_msisdn, CAST(ticks AS BIGINT) AS duration_seconds,
                n % 33 = 0 AS dropped, {_key("ts")} AS date_key
         FROM ev JOIN subs ON subscriber_id = user_id JOIN towers USING (tower_id)
         WHERE kind = 'voice_call'""",
     "texts": f"""
         SELECT uid AS event_id, subscriber_key AS sender_key, ts AS event_timestamp,
-               receiver AS receiver_msisdn, CAST(n % 320 + 1 AS INTEGER) AS length,
+               receiver AS receiver_msisdn, CAST(n % 320 + 1 AS BIGINT) AS length,
                {_key("ts")} AS date_key
         FROM ev JOIN subs ON subscriber_id = user_id WHERE kind = 'sms'""",
     "usage": f"""
         SELECT uid AS event_id, subscriber_key, tower_key, ts AS event_timestamp,
                CAST(money AS DECIMAL(12,2)) AS mb_used,
-               CAST(n % 7200 + 10 AS INTEGER) AS session_seconds, tech AS technology,
+               CAST(n % 7200 + 10 AS BIGINT) AS session_seconds, tech AS technology,
                {_key("ts")} AS date_key
         FROM ev JOIN subs ON subscriber_id = user_id JOIN towers USING (tower_id)
         WHERE kind = 'data_usage'""",
     "state": """
-        SELECT tower_id, tech AS technology, CAST(sig AS INTEGER) AS signal_strength,
-               CAST(n % 5000 AS INTEGER) AS connected_devices,
+        SELECT tower_id, tech AS technology, CAST(sig AS BIGINT) AS signal_strength,
+               CAST(n % 5000 AS BIGINT) AS connected_devices,
                CASE WHEN sig < 45 THEN 'DOWN' WHEN sig < 60 THEN 'DEGRADED' ELSE 'HEALTHY' END AS status,
                ts AS updated_at
         FROM ev WHERE kind = 'tower_status'
@@ -499,7 +499,7 @@ VIEWS["days"] = f"""
         (SELECT date_trunc('day', max(ts)) FROM events)::TIMESTAMP, INTERVAL 1 DAY)) AS d)"""
 
 _TOWER_ROWS = ", ".join(
-    f"('tower', CAST({i} AS BIGINT), '{t[0]}', '{t[1]}', '{t[3].replace(' ', ',')}')"
+    f"('tower', CAST({i} AS BIGINT), '{t[0]}', '{t[1]}', '{','.join(t[3])}')"
     for i, t in enumerate(catalog.TOWERS, 1)
 )
 _BUNDLE_ROWS = ", ".join(

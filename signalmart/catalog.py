@@ -59,7 +59,6 @@ MAX_SESSION_MB = 10240.0
 MAX_RECHARGE = 1000.0
 MAX_SMS_LENGTH = 1600
 CLOCK_SKEW_SECONDS = 30
-REASON_WIDTH = 128
 
 # \z, not $: a dollar would also admit a trailing newline.
 MSISDN_PATTERN = r"^27[0-9]{9}\z"
@@ -69,24 +68,24 @@ UUID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z
 
 TOWERS = (
     # tower_id, tower_name, province, technologies
-    ("CPT-CBD-001", "Cape Town CBD", "Western Cape", "3G LTE 5G"),
-    ("CPT-BLV-003", "Bellville", "Western Cape", "3G LTE"),
-    ("CPT-CC-002", "Century City", "Western Cape", "LTE 5G"),
-    ("CPT-STB-004", "Stellenbosch", "Western Cape", "3G LTE"),
-    ("JHB-SDT-001", "Sandton", "Gauteng", "LTE 5G"),
-    ("JHB-CBD-002", "Johannesburg CBD", "Gauteng", "3G LTE 5G"),
-    ("JHB-SWT-003", "Soweto", "Gauteng", "3G LTE"),
-    ("PTA-CBD-001", "Pretoria CBD", "Gauteng", "3G LTE 5G"),
-    ("DBN-CBD-001", "Durban CBD", "KwaZulu-Natal", "3G LTE 5G"),
-    ("DBN-UMH-002", "Umhlanga", "KwaZulu-Natal", "LTE 5G"),
-    ("PMB-CBD-001", "Pietermaritzburg", "KwaZulu-Natal", "3G LTE"),
-    ("GQB-CBD-001", "Gqeberha Central", "Eastern Cape", "3G LTE"),
-    ("EL-CBD-001", "East London", "Eastern Cape", "3G LTE"),
-    ("BFN-CBD-001", "Bloemfontein", "Free State", "3G LTE"),
-    ("PLK-CBD-001", "Polokwane", "Limpopo", "3G LTE"),
-    ("NLP-CBD-001", "Mbombela", "Mpumalanga", "3G LTE"),
-    ("KIM-CBD-001", "Kimberley", "Northern Cape", "3G"),
-    ("RTB-CBD-001", "Rustenburg", "North West", "3G LTE"),
+    ("CPT-CBD-001", "Cape Town CBD", "Western Cape", ("3G", "LTE", "5G")),
+    ("CPT-BLV-003", "Bellville", "Western Cape", ("3G", "LTE")),
+    ("CPT-CC-002", "Century City", "Western Cape", ("LTE", "5G")),
+    ("CPT-STB-004", "Stellenbosch", "Western Cape", ("3G", "LTE")),
+    ("JHB-SDT-001", "Sandton", "Gauteng", ("LTE", "5G")),
+    ("JHB-CBD-002", "Johannesburg CBD", "Gauteng", ("3G", "LTE", "5G")),
+    ("JHB-SWT-003", "Soweto", "Gauteng", ("3G", "LTE")),
+    ("PTA-CBD-001", "Pretoria CBD", "Gauteng", ("3G", "LTE", "5G")),
+    ("DBN-CBD-001", "Durban CBD", "KwaZulu-Natal", ("3G", "LTE", "5G")),
+    ("DBN-UMH-002", "Umhlanga", "KwaZulu-Natal", ("LTE", "5G")),
+    ("PMB-CBD-001", "Pietermaritzburg", "KwaZulu-Natal", ("3G", "LTE")),
+    ("GQB-CBD-001", "Gqeberha Central", "Eastern Cape", ("3G", "LTE")),
+    ("EL-CBD-001", "East London", "Eastern Cape", ("3G", "LTE")),
+    ("BFN-CBD-001", "Bloemfontein", "Free State", ("3G", "LTE")),
+    ("PLK-CBD-001", "Polokwane", "Limpopo", ("3G", "LTE")),
+    ("NLP-CBD-001", "Mbombela", "Mpumalanga", ("3G", "LTE")),
+    ("KIM-CBD-001", "Kimberley", "Northern Cape", ("3G",)),
+    ("RTB-CBD-001", "Rustenburg", "North West", ("3G", "LTE")),
 )
 BUNDLES = (
     # bundle_code, bundle_name, bundle_type, price
@@ -151,10 +150,8 @@ def topic_of(event_type: Column) -> Column:
 
 def tower_seed(spark: SparkSession) -> DataFrame:
     rows = [(key, *row) for key, row in enumerate(TOWERS, 1)]
-    raw = "tower_key bigint, tower_id string, tower_name string, province string, techs string"
-    return spark.createDataFrame(rows, raw).select(
-        "tower_key", "tower_id", "tower_name", "province", F.split("techs", " ").alias("technologies")
-    )
+    schema = "tower_key bigint, tower_id string, tower_name string, province string, technologies array<string>"
+    return spark.createDataFrame(rows, schema)
 
 
 def bundle_seed(spark: SparkSession) -> DataFrame:

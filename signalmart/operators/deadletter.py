@@ -52,11 +52,21 @@ def to_broker(records: DataFrame) -> DataFrame:
 
 
 def intake(raw: DataFrame) -> DataFrame:
-    """Dead-letter messages with `skipped`: malformed ones are flagged, not lost."""
+    """Dead-letter messages with `skipped` and its `cause`: malformed ones are flagged, not lost."""
     typed = validate.parsed(raw.withColumn("event_type", F.lit(RECORD_TYPE)), (RECORD_TYPE,))
     tag = strict_json.first_schema_tag((RECORD_TYPE,), strict=True)
-    skipped = F.col("document").isNull() | tag.isNotNull() | F.col("event_timestamp").isNull()
-    return strict_json.fixed(typed, "skipped", skipped).drop("document")
+    cause = (
+        F.when(F.col("document").isNull(), "PARSE_ERROR")
+        .when(tag.isNotNull(), tag)
+        .when(F.col("event_timestamp").isNull(), "format:timestamp")
+    )
+    judged = strict_json.fixed(typed, "cause", cause).drop("document")
+    return judged.withColumn("skipped", F.col("cause").isNotNull())
+
+
+def skipped(taken: DataFrame) -> DataFrame:
+    """Messages `intake` could not use, with their text, for review."""
+    return taken.where("skipped").select("topic", "partition", "offset", "raw", "cause")
 
 
 def records(taken: DataFrame) -> DataFrame:

@@ -408,7 +408,8 @@ def constraints(mart: Mart) -> DataFrame:
         days = References("date_key", "dim_date", "date_key")
         parts.append(_reference_check(table, mart[table], days, mart))
     for table, columns in ROLLUP_KEYS.items():
-        key = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        # One text per key that no other key can have, null parts included.
+        key = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
         keyed = mart[table].withColumn("primary_key", key)
         parts.append(_unique_check(table, keyed, Unique("primary_key")))
     return reduce(DataFrame.unionByName, parts).withColumn("success", F.col("unexpected") == 0)

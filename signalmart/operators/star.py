@@ -41,17 +41,17 @@ FACTS = {
         "fact_calls",
         "caller_id",
         "caller_key",
-        {"receiver_msisdn": "string", "duration_seconds": "int", "dropped": "boolean"},
+        {"receiver_msisdn": "string", "duration_seconds": "bigint", "dropped": "boolean"},
         {"dim_tower": "tower_id"},
     ),
     "sms": FactSpec(
-        "fact_sms", "sender_id", "sender_key", {"receiver_msisdn": "string", "length": "int"}
+        "fact_sms", "sender_id", "sender_key", {"receiver_msisdn": "string", "length": "bigint"}
     ),
     "data_usage": FactSpec(
         "fact_data_usage",
         "subscriber_id",
         "subscriber_key",
-        {"mb_used": "decimal(12,2)", "session_seconds": "int", "technology": "string"},
+        {"mb_used": "decimal(12,2)", "session_seconds": "bigint", "technology": "string"},
         {"dim_tower": "tower_id"},
     ),
 }
@@ -165,8 +165,8 @@ def tower_state(events: DataFrame, current: DataFrame) -> DataFrame:
     incoming = events.where(F.col("event_type") == "tower_status").select(
         "tower_id",
         "technology",
-        F.col("signal_strength").cast("int").alias("signal_strength"),
-        F.col("connected_devices").cast("int").alias("connected_devices"),
+        "signal_strength",
+        "connected_devices",
         "status",
         F.col("event_timestamp").alias("updated_at"),
         F.lit(1).alias("_source"),

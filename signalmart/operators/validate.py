@@ -36,7 +36,12 @@ def with_event_type(raw: DataFrame) -> DataFrame:
 def parsed(raw: DataFrame, event_types: tuple[str, ...] = catalog.EVENT_TYPES) -> DataFrame:
     """Typed records: raw columns, `event_type`, `document`, every payload column, event time."""
     typed = strict_json.with_payload(strict_json.with_document(raw), event_types)
-    return typed.withColumn("event_timestamp", times.iso_timestamp(F.col("timestamp")))
+    return typed.withColumns(
+        {
+            "event_id": F.lower("event_id"),  # upper-case identifiers are the same identifiers
+            "event_timestamp": times.iso_timestamp(F.col("timestamp")),
+        }
+    )
 
 
 def schema_violations_of(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -61,8 +66,8 @@ def rule_violations_of(
 
 
 def _prefixed(prefix: str, tag: Column) -> Column:
-    """Reason text of a tag; NULL stays NULL."""
-    return F.substring(F.concat(F.lit(prefix), tag), 1, catalog.REASON_WIDTH)
+    """Reason text of a tag, whole; NULL stays NULL."""
+    return F.concat(F.lit(prefix), tag)
 
 
 def validate(

@@ -9,6 +9,7 @@ are written files in the shared folder, not cached blocks, so a lost executor co
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -135,6 +136,7 @@ def run_dead_letter_batch(raw: DataFrame, store: Store, batch_id: int) -> None:
     records = deadletter.records(taken)
     fresh = keys.insert_if_absent(records, store.before("dlq_records", batch_id), "event_id")
     store.replace_partitions("dlq_records", fresh, batch_id=batch_id)
+    store.replace_partitions("dlq_skipped", deadletter.skipped(taken), batch_id=batch_id)
     refresh_rollup(store, batch_id, "agg_dlq_minute", rollups.DLQ_ROLLUPS)
     counts = taken.groupBy("event_type", (~F.col("skipped")).alias("accepted")).agg(
         F.count("*").alias("n_records")
@@ -146,4 +148,6 @@ def open_store(spark: SparkSession, root: str, scratch: str | None = None) -> St
     """A store whose staged tables live in the cluster's shared checkpoint folder if it has one."""
     session.prepare(spark)
     shared = session.scratch_dir(spark, scratch or f"{root}/_staging")
-    return Store(spark, root, f"{shared}/{root.rstrip('/').rsplit('/', 1)[-1]}-staging")
+    # The whole root is in the name: two marts may end in the same folder name.
+    place = hashlib.sha256(root.rstrip("/").encode()).hexdigest()[:16]
+    return Store(spark, root, f"{shared}/{place}-staging")

@@ -10,16 +10,25 @@ BROKER_SCHEMA = "topic string, `partition` int, `offset` bigint, value binary"
 
 
 def kafka_options(
-    bootstrap_servers: str, topics: tuple[str, ...], max_records: int = 20_000
+    bootstrap_servers: str,
+    topics: tuple[str, ...],
+    max_records: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
-    """Subscription from the beginning that tolerates lost data and bounds each batch."""
-    return {
+    """Subscription from the beginning; `max_records` bounds each batch, None takes all there is.
+
+    `fail_on_data_loss=True` stops the query when records were dropped by the broker before they
+    were read; otherwise it goes on behind the gap.
+    """
+    options = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(max_records),
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_records is not None:
+        options["maxOffsetsPerTrigger"] = str(max_records)
+    return options
 
 
 def event_topics() -> tuple[str, ...]:
@@ -27,9 +36,13 @@ def event_topics() -> tuple[str, ...]:
 
 
 def kafka_stream(
-    spark: SparkSession, bootstrap_servers: str, topics: tuple[str, ...], max_records: int = 20_000
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topics: tuple[str, ...],
+    max_records: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> DataFrame:
-    options = kafka_options(bootstrap_servers, topics, max_records)
+    options = kafka_options(bootstrap_servers, topics, max_records, fail_on_data_loss)
     return spark.readStream.format("kafka").options(**options).load()
 
 

@@ -49,16 +49,16 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "fact_calls": (
         f"{_EVENT}, caller_key bigint, tower_key bigint, receiver_msisdn string,"
-        f" duration_seconds int, dropped boolean, {_DAY}",
+        f" duration_seconds bigint, dropped boolean, {_DAY}",
         ("date_key", "batch_id"),
     ),
     "fact_sms": (
-        f"{_EVENT}, sender_key bigint, receiver_msisdn string, length int, {_DAY}",
+        f"{_EVENT}, sender_key bigint, receiver_msisdn string, length bigint, {_DAY}",
         ("date_key", "batch_id"),
     ),
     "fact_data_usage": (
         f"{_EVENT}, subscriber_key bigint, tower_key bigint, mb_used decimal(12,2),"
-        f" session_seconds int, technology string, {_DAY}",
+        f" session_seconds bigint, technology string, {_DAY}",
         ("date_key", "batch_id"),
     ),
     "dlq_records": (
@@ -66,8 +66,12 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         f" rejected_at timestamp, {_DAY}",
         ("date_key", "batch_id"),
     ),
+    "dlq_skipped": (
+        "topic string, `partition` int, `offset` bigint, raw string, cause string",
+        ("batch_id",),
+    ),
     "tower_status_current": (
-        "tower_id string, technology string, signal_strength int, connected_devices int,"
+        "tower_id string, technology string, signal_strength bigint, connected_devices bigint,"
         " status string, updated_at timestamp, version bigint",
         ("slot",),
     ),

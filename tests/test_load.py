@@ -263,7 +263,9 @@ def test_kafka_options():
     options = records.kafka_options("b:9092", records.event_topics())
     assert options["subscribe"].split(",") == list(BODIES)
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "20000"
+    assert "maxOffsetsPerTrigger" not in options and options["failOnDataLoss"] == "false"
+    bounded = records.kafka_options("b:9092", ("t",), max_records=5, fail_on_data_loss=True)
+    assert bounded["maxOffsetsPerTrigger"] == "5" and bounded["failOnDataLoss"] == "true"
     assert KafkaSink("b:9092").options()["kafka.acks"] == "all"
 
 
@@ -277,3 +279,17 @@ def test_progress_reports_become_metrics(spark):
     rows = {(r["topic"], r["partition"]): (r["latest_offset"], r["committed_offset"])
             for r in progress.source_offsets(df).collect()}
     assert rows == {("sms", 0): (9, 5), ("sms", 1): (7, 7)}
+
+
+def test_skipped_dead_letters_stay_with_their_text(spark, tmp_path):
+    store = load.open_store(spark, str(tmp_path / "mart"))
+    for batch, text in enumerate(("not json", "[1]")):
+        raw = raw_frame(spark, [("failed-transactions", text)])
+        load.run_dead_letter_batch(raw, store, batch)
+    rows = store.read("dlq_skipped").select("raw", "cause").collect()
+    assert sorted(map(tuple, rows)) == [("[1]", "not_an_object"), ("not json", "PARSE_ERROR")]
+
+
+def test_marts_with_equal_names_have_their_own_staging(spark, tmp_path):
+    places = {load.open_store(spark, str(tmp_path / x / "mart"), str(tmp_path)).staging for x in ("a", "b")}
+    assert len(places) == 2

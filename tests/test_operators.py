@@ -67,7 +67,7 @@ def test_tower_state_newest_wins_and_ties_keep_the_stored_row(spark):
     stored = spark.createDataFrame(
         [("DBN-CBD-001", "3G", 77, 1, "DOWN", datetime(2026, 7, 17, 10, tzinfo=UTC)),
          ("KIM-CBD-001", "3G", 66, 1, "DOWN", datetime(2026, 7, 1, tzinfo=UTC))],
-        "tower_id string, technology string, signal_strength int, connected_devices int,"
+        "tower_id string, technology string, signal_strength bigint, connected_devices bigint,"
         " status string, updated_at timestamp",
     )
     state = {r["tower_id"]: r["signal_strength"] for r in star.tower_state(events, stored).collect()}
@@ -243,3 +243,15 @@ def test_contract_rejects_other_columns(spark):
     quality.require_success(report)
     with pytest.raises(quality.QualityError):
         quality.contract_check("sms", batch.withColumn("extra", F.lit(1)), clean_mart(spark), AS_OF)
+
+
+def test_large_counters_do_not_stop_the_load(spark):
+    big = 3_000_000_000
+    raw = raw_frame(spark, [("tower-events", event("tower-events", "1", connected_devices=big))])
+    stored = spark.createDataFrame(
+        [],
+        "tower_id string, technology string, signal_strength bigint, connected_devices bigint,"
+        " status string, updated_at timestamp",
+    )
+    typed = validate.parsed(validate.with_event_type(raw))
+    assert star.tower_state(typed, stored).first()["connected_devices"] == big

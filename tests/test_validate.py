@@ -143,11 +143,11 @@ def test_missing_fields_violate_rules(spark):
     assert {"amount_positive", "timestamp_not_in_future"} <= set(names)
 
 
-def test_every_type_has_rules_and_reasons_are_bounded(spark):
+def test_every_type_has_rules_and_reasons_are_whole(spark):
     assert set(rules.RULES) == set(catalog.EVENT_TYPES)
     raw = raw_frame(spark, [(AIR, event(AIR, **{"k" * 300: 1}))])
     reason = validate.validate(raw, Reference.seeded(spark), AS_OF).first()["reason"]
-    assert len(reason) == 128 and reason.startswith("SCHEMA_VIOLATION:unexpected:kkk")
+    assert len(reason) > 128 and reason.startswith("SCHEMA_VIOLATION:unexpected:kkk")
 
 
 def test_unknown_topics_are_left_out(spark):
