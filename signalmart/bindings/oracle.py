@@ -639,12 +639,16 @@ SELECTS = {
     "audit_constraints": _CONSTRAINTS,
     "metric_lag": """SELECT 'events' AS query, minute, lag FROM lag_series""",
     "metric_rate": "SELECT topic, minute, messages, round(rate, 6) AS rate_per_second FROM rates",
-    "alert_lag": """SELECT minute, low AS lowest_lag, low > 4 AS firing
-        FROM (SELECT minute, min(lag) OVER (ORDER BY minute RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING
-              AND CURRENT ROW) AS low FROM lag_series)""",
-    "alert_stalled": f"""SELECT minute, {_n("high")} AS highest_messages, high = 0 AS firing
-        FROM (SELECT minute, max(messages) OVER (ORDER BY minute RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING
-              AND CURRENT ROW) AS high FROM rate_series)""",
+    "alert_lag": """SELECT w.minute, low AS lowest_lag,
+            low > 4 AND coalesce(p.lag > 4 AND p.minute > w.minute - INTERVAL 10 MINUTE, false) AS firing
+        FROM (SELECT minute, min(lag) OVER (ORDER BY minute RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING
+              AND CURRENT ROW) AS low FROM lag_series) w
+        ASOF LEFT JOIN lag_series p ON w.minute - INTERVAL 5 MINUTE >= p.minute""",
+    "alert_stalled": f"""SELECT w.minute, {_n("high")} AS highest_messages,
+            high = 0 AND coalesce(p.minute > w.minute - INTERVAL 10 MINUTE, false) AS firing
+        FROM (SELECT minute, max(messages) OVER (ORDER BY minute RANGE BETWEEN INTERVAL 9 MINUTE PRECEDING
+              AND CURRENT ROW) AS high FROM rate_series) w
+        ASOF LEFT JOIN rate_series p ON w.minute - INTERVAL 5 MINUTE >= p.minute""",
     # KPIs
     "kpi_active_subscribers": "SELECT count(*) AS subscribers FROM subs WHERE is_active",
     "kpi_revenue_last_hour": f"""SELECT {_d("coalesce(sum(total_amount), 0)")} AS revenue

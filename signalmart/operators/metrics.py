@@ -67,41 +67,52 @@ def ingest_rate(metrics: DataFrame, buckets: tuple[str, ...] = ("minute", "day")
     )
 
 
-def _over_last_minutes(series: DataFrame, value: str, span: int, agg: Column) -> DataFrame:
-    """Aggregate of `value` over the `span` minutes up to and including each sampled minute.
+def _held(series: DataFrame, value: str, span: int, extreme: Column) -> DataFrame:
+    """Per sampled minute: `held`, an extreme of recent values, and `before`, the newest value aged
+    `span` to `2 * span - 1` minutes (null if there is none).
 
     Each sample is handed to the minutes it counts for and aggregated there: the same rows as a
-    range frame, without sorting the whole series on one task.
+    range frame, without sorting the whole series on one task. `extreme` may read `age` in minutes.
     """
-    reach = F.sequence(
-        "minute", F.col("minute") + times.minutes(span - 1), F.expr("interval 1 minute")
-    )
+    ages = F.sequence(F.lit(0), F.lit(2 * span - 1))
+    old = F.when(F.col("age") >= span, F.col(value))
     return (
-        series.select(F.explode(reach).alias("at"), "minute", value)
-        .groupBy(F.col("at").alias("minute"))
-        .agg(agg.alias("held"), F.max(F.col("minute") == F.col("at")).alias("sampled"))
-        .where("sampled")
-        .select("minute", "held")
+        series.select("minute", value, F.explode(ages).alias("age"))
+        .groupBy(F.timestamp_add("MINUTE", "age", "minute").alias("minute"))
+        .agg(
+            extreme.alias("held"),
+            F.min_by(old, F.when(F.col("age") >= span, F.col("age"))).alias("before"),
+            F.min("age").alias("newest"),
+        )
+        .where(F.col("newest") == 0)
+        .select("minute", "held", "before")
     )
 
 
 def lag_alert(metrics: DataFrame, threshold: int = 50_000, span: int = 5) -> DataFrame:
-    """Minutes at which the total lag was above the threshold in all samples of the span."""
+    """Minutes at which the total lag has been above the threshold for `span` minutes.
+
+    It fires once a sample at least `span` minutes old was above and none has been below since; a
+    series silent for longer than the look-back of `span` minutes starts anew.
+    """
     total = consumer_lag(metrics).groupBy("minute").agg(F.sum("lag").alias("lag"))
-    lowest = _over_last_minutes(total, "lag", span, F.min("lag"))
+    lowest = _held(total, "lag", span, F.min(F.when(F.col("age") <= span, F.col("lag"))))
     return lowest.select(
         "minute",
         F.col("held").alias("lowest_lag"),
-        (F.col("held") > threshold).alias("firing"),
+        ((F.col("held") > threshold) & (F.coalesce("before", F.lit(0)) > threshold)).alias("firing"),
     )
 
 
 def stall_alert(metrics: DataFrame, span: int = 5) -> DataFrame:
-    """Minutes at which no topic received anything in any sample of the span."""
+    """Minutes at which the rate over `span` minutes has been zero for `span` minutes.
+
+    So nothing came in twice the span, and a sample at least `span` minutes old says so too.
+    """
     total = ingest_rate(metrics).groupBy("minute").agg(F.sum("messages").alias("messages"))
-    highest = _over_last_minutes(total, "messages", span, F.max("messages"))
+    highest = _held(total, "messages", span, F.max("messages"))
     return highest.select(
         "minute",
         F.col("held").alias("highest_messages"),
-        (F.col("held") == 0).alias("firing"),
+        ((F.col("held") == 0) & F.col("before").isNotNull()).alias("firing"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -48,21 +50,32 @@ def source_offsets(reports: DataFrame, column: str = "report") -> DataFrame:
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Appends every progress report as one JSON row; `source_offsets` reads them back."""
+    """Appends every progress report as one JSON row; `source_offsets` reads them back.
+
+    An idle query reports no progress, so its last report is sampled again under the idle time:
+    a stalled stream shows as unchanged offsets, not as missing minutes.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self.last: dict[str, dict] = {}  # one report per running query
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        report = self.spark.createDataFrame([(event.progress.json,)], "report string")
-        report.write.mode("append").parquet(self.path)
+        self.last[str(event.progress.runId)] = json.loads(event.progress.json)
+        self._append(event.progress.json)
 
     def onQueryIdle(self, event) -> None:
-        pass
+        report = self.last.get(str(event.runId))
+        if report:
+            self._append(json.dumps({**report, "timestamp": event.timestamp}))
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.last.pop(str(event.runId), None)
+
+    def _append(self, report: str) -> None:
+        row = self.spark.createDataFrame([(report,)], "report string")
+        row.write.mode("append").parquet(self.path)

@@ -1,7 +1,9 @@
 """Keys, star, dead letters, metrics and audits on small hand-made tables."""
 
+import json
 import random
 from datetime import UTC, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Window
@@ -11,6 +13,7 @@ from signalmart import catalog
 from signalmart.operators import deadletter, keys, metrics, quality, rollups, star, validate
 from signalmart.operators.rules import Reference
 from signalmart.sources.mart import Mart
+from signalmart.streaming import progress
 from tests.events import event, raw_frame
 
 AS_OF = datetime(2026, 7, 17, 12, tzinfo=UTC)
@@ -166,12 +169,29 @@ def test_rate_and_reset(spark):
 
 
 def test_alerts(spark):
-    lag = [("a", 0, 60 * m, 100, 100 - (60 if m >= 2 else 10)) for m in range(9)]
-    fired = {r["minute"].minute for r in metrics.lag_alert(metrics_frame(spark, lag), 50).where("firing").collect()}
-    assert fired == {6, 7, 8}
-    still = [("a", 0, 60 * m, min(m, 3) * 10, 0) for m in range(10)]
-    stalled = metrics.stall_alert(metrics_frame(spark, still)).where("firing").collect()
-    assert {r["minute"].minute for r in stalled} == {8, 9}
+    def minutes(alert):
+        return {r["minute"].minute for r in alert.where("firing").collect()}
+
+    # Above from minute 2 on: held for five minutes at minute 7.
+    lag = [("a", 0, 60 * m, 100, 100 - (60 if m >= 2 else 10)) for m in range(10)]
+    assert minutes(metrics.lag_alert(metrics_frame(spark, lag), 50)) == {7, 8, 9}
+    assert minutes(metrics.lag_alert(metrics_frame(spark, lag[5:6]), 50)) == set()
+    # The last message at minute 3: the rate is zero from minute 8 on, held at minute 13.
+    still = [("a", 0, 60 * m, min(m, 3) * 10, 0) for m in range(16)]
+    assert minutes(metrics.stall_alert(metrics_frame(spark, still))) == {13, 14, 15}
+    assert minutes(metrics.stall_alert(metrics_frame(spark, still[8:11]))) == set()
+
+
+def test_idle_queries_are_sampled_again(spark, tmp_path):
+    report = {"name": "events", "timestamp": "2026-01-01T10:00:00.000Z", "sources": [
+        {"endOffset": '{"calls": {"0": 5}}', "latestOffset": '{"calls": {"0": 9}}'}]}
+    recorder = progress.ProgressRecorder(spark, str(tmp_path / "progress"))
+    idle = SimpleNamespace(runId="r", timestamp="2026-01-01T10:01:00.000Z")
+    recorder.onQueryIdle(idle)
+    recorder.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(runId="r", json=json.dumps(report))))
+    recorder.onQueryIdle(idle)
+    rows = progress.source_offsets(spark.read.parquet(recorder.path)).orderBy("sampled_at").collect()
+    assert [(r["sampled_at"].minute, r["latest_offset"], r["committed_offset"]) for r in rows] == [(0, 9, 5), (1, 9, 5)]
 
 
 # --- Quality ---------------------------------------------------------------------------------
