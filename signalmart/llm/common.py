@@ -88,6 +88,20 @@ def slices(
             yield batch.slice(start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches of about `most` bytes of text each: large ones cut, small ones put together."""
+    held, size = [], 0
+    for piece in slices(batches, most, column):
+        here = pc.sum(pc.binary_length(piece.column(column))).as_py() or 0
+        if held and size + here > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(piece)
+        size += here
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_slices(
     df: DataFrame, row_function: Callable[[pa.RecordBatch], dict], schema: str
 ) -> DataFrame:

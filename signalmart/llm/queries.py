@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmart.llm import (
-    common, decontaminate, line_dedup, order_minhash, piece_codec, simhash, suffix_dedup, token_counts,
+    common, decontaminate, lexical_search, line_dedup, order_minhash, piece_codec, simhash, suffix_dedup, token_counts,
     token_files, toxicity, url_reputation,
 )
 
@@ -107,10 +107,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_token_counts, op2_token_files, op3_decontaminate, op4_line_dedup,
-              op5_simhash, op6_piece_codec, op7_suffix_dedup, op8_url_reputation, op9_order_minhash, op10_toxicity)
+              op5_simhash, op6_piece_codec, op7_suffix_dedup, op8_url_reputation, op9_order_minhash, op10_toxicity,
+              op11_lexical_search)
 }
 
 
@@ -169,5 +174,43 @@ STRENGTH_SQL = """CASE
     / sum(n * above * (1 - above))) - 1)) END"""
 
 
+#: Every document's score for every item, term by term.
+LEXICAL_SEARCH_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{words}') AS w
+  FROM documents
+), sized AS (
+  SELECT d, doc_id, w, len(w) AS n FROM words WHERE len(w) > 0
+), corpus AS (
+  SELECT count(*) AS nd, sum(n)::BIGINT AS nl FROM sized
+), asked AS (
+  SELECT i, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{words}')) AS term
+    FROM benchmark) GROUP BY ALL
+), postings AS (
+  SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, n, unnest(w) AS term FROM sized)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, corpus GROUP BY term, nd
+), impacts AS (
+  SELECT d, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nd) // nl))) AS score
+  FROM postings JOIN weights USING (term), corpus
+), scores AS (
+  SELECT i, item_id, d, doc_id, sum(times * score)::BIGINT AS score
+  FROM asked JOIN impacts USING (term) GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, d)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+WHERE rank <= 20
+""".replace("{words}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_reputation": URL_REPUTATION_SQL.format(strength=STRENGTH_SQL)}
+    return {
+        "op8_url_reputation": URL_REPUTATION_SQL.format(strength=STRENGTH_SQL),
+        "op11_lexical_search": LEXICAL_SEARCH_SQL,
+    }
