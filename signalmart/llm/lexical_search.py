@@ -210,6 +210,8 @@ def _search(segments: DataFrame, queries: list[list[tuple[int, int]]], n_docs: i
 def _block(docs: DataFrame, items: list[Row], k: int) -> DataFrame:
     """Rank all documents for some items."""
     spark = docs.sparkSession
+    if not items:
+        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     counts = [Counter(TERM.findall((row["text"] or "").encode().translate(LOWER))) for row in items]
     words = sorted(set().union(*counts))
     place = {w: i for i, w in enumerate(words)}

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmart.llm import (
-    common, decontaminate, lexical_search, line_dedup, order_minhash, piece_codec, simhash, suffix_dedup, token_counts,
-    token_files, toxicity, url_reputation,
+    common, decontaminate, lexical_search, line_dedup, order_minhash, piece_codec, pivot_dedup, simhash,
+    source_audit, suffix_dedup, token_counts, token_files, toxicity, url_reputation,
 )
 
 
@@ -111,11 +111,19 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_token_counts, op2_token_files, op3_decontaminate, op4_line_dedup,
               op5_simhash, op6_piece_codec, op7_suffix_dedup, op8_url_reputation, op9_order_minhash, op10_toxicity,
-              op11_lexical_search)
+              op11_lexical_search, op12_pivot_dedup, op13_source_audit)
 }
 
 
@@ -209,8 +217,76 @@ WHERE rank <= 20
 """.replace("{words}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
+#: All pairs, and everything reachable by links.
+PIVOT_DEDUP_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT r, v, sqrt(list_dot_product(v, v)) AS size FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9::DOUBLE
+), reach AS (
+  SELECT r, vec_id AS id FROM vectors
+  UNION
+  SELECT l.b AS r, reach.id FROM reach JOIN links l ON l.a = reach.r
+), parts AS (
+  SELECT r, min(id) AS component_id FROM reach GROUP BY r
+), degrees AS (
+  SELECT a AS r, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM vectors JOIN parts USING (r) LEFT JOIN degrees USING (r)
+"""
+
+#: Every group's share of every kept term against every other's.
+SOURCE_AUDIT_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS (
+  SELECT d, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), sources AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total FROM sources LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 1)) // (lang_total + v)::HUGEINT AS q
+  FROM totals t JOIN langs USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_url_reputation": URL_REPUTATION_SQL.format(strength=STRENGTH_SQL),
         "op11_lexical_search": LEXICAL_SEARCH_SQL,
+        "op12_pivot_dedup": PIVOT_DEDUP_SQL,
+        "op13_source_audit": SOURCE_AUDIT_SQL,
     }
