@@ -4,14 +4,17 @@ Texts are factored into chunks, the runs between ASCII whitespace, which no term
 
 1. Slices of documents count the chunks of each document; a slice keeps its distinct chunks once and per
    document only their places and counts.
-2. Every globally distinct chunk is split into terms once, and the terms are joined back to the slices'
-   chunks by chunk.
-3. Each slice, with its own chunks' terms, sums occurrences and distinct documents per language, source
-   and term. A document lies in one slice, so both add up over slices.
+2. Chunks are dealt to buckets of their hash, and each globally distinct chunk is split into terms once; the
+   terms go back to the slices.
+3. Each slice, with its own chunks' terms, sums occurrences and distinct documents per language, source and
+   term. A document lies in one slice, so both add up over slices: per bucket of the terms' hash, where a
+   term's languages and sources meet and terms in too few documents go.
+4. Every bucket adds up its terms' part of the divergence of each pair of sources, for a block of sources
+   against another, and keeps the best terms of each source.
 
-The divergence of a pair of sources is a sum over all kept terms. Terms are dealt to buckets and sources to
-blocks, and each task adds up one bucket for one pair of blocks; terms that occur in neither block are added
-as one product. A source that holds a third of the rows is one column like any other.
+What is shuffled are rows of arrays, one per slice and bucket, not single chunks or terms. A task holds one
+slice, or the distinct chunks or terms of one bucket, at a time; `buckets` should grow with the vocabulary. A
+source that holds a third of the rows is one column like any other.
 
 Defined cases: null `text`, `lang` and `source` count as ''. Every row is a document, repeated ids and rows
 included; ids and other columns are not read. A group without terms takes part with counts of zero; in a
@@ -20,181 +23,442 @@ language without kept terms all pairs have the value 0 and there are no terms. A
 
 from __future__ import annotations
 
-from collections import Counter
+import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalmart.llm import common
+from signalmart.llm import common, terms
 
 #: Letters and all beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Bytes of text in a slice.
 SLICE_BYTES = 16 << 20
-#: Sources in a block, and rows that a bucket of terms aims at.
-SOURCES = 128
-ROWS = 200_000
-#: Terms a task compares at once.
-STEP = 2048
+#: Buckets of chunks and of terms.
+BUCKETS = 1024
+#: Sources in a block, and terms that a task compares at once.
+SOURCES, STEP = 128, 2048
+#: Entries that a task puts together before it sums them up.
+HELD = 1 << 22
+BILLION = 1_000_000_000
 
 SLICE = (
-    "slice long, langs array<string>, sources array<string>, doc_group array<int>, doc_n array<int>,"
-    " chunk array<int>, times array<long>, chunks array<string>"
+    "slice long, bucket int, places array<int>, chunks array<string>, langs array<string>, sources array<string>,"
+    " doc_group array<int>, doc_n array<int>, chunk array<int>, times array<int>"
 )
-COUNTS = "lang string, source string, term string, n long, docs long"
+SPLIT = "slice long, places array<int>, sizes array<int>, terms array<string>"
+COUNTS = (
+    "bucket int, langs array<string>, sources array<string>, terms array<string>,"
+    " src array<int>, term array<int>, n array<int>, docs array<int>"
+)
+KEPT = (
+    "lang string, v long, lang_total long, sources array<string>, totals array<long>, terms array<string>,"
+    " lang_n array<long>, src array<int>, term array<int>, n array<long>"
+)
+
+
+def _ints(batch: pa.RecordBatch | pa.Table, name: str, row: int = 0) -> np.ndarray:
+    return batch.column(name)[row].values.to_numpy(zero_copy_only=False).astype(np.int64)
+
 
+def _strings(batch: pa.RecordBatch | pa.Table, name: str, row: int = 0) -> list[str]:
+    return batch.column(name)[row].as_py()
 
-def _slices(docs: DataFrame) -> DataFrame:
-    """One row a slice: its documents' groups, and the places and counts of their chunks."""
+
+def _buckets(words: pa.StringArray, buckets: int) -> np.ndarray:
+    """Bucket of each word (none is empty), by a hash of its bytes."""
+    edges = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    if not len(words):
+        return np.zeros(0, np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)
+    return (terms._hashes(data, edges[:-1], np.diff(edges)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _sums(keys: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys and the sums of their weights."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    if not len(keys):
+        return keys, *weights
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], *(np.add.reduceat(w[order], first) for w in weights)
+
+
+def _edges(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of ascending values, and where the run of each begins, with the end of all."""
+    if not len(values):
+        return values, np.zeros(1, np.int64)
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    return values[first], np.append(first, len(values))
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of equal values in ascending ones."""
+    found, edges = _edges(values)
+    for value, start, stop in zip(found.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+        yield value, slice(start, stop)
+
+
+def _lists(edges: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
+    """Values cut into lists."""
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def _slices(docs: DataFrame, buckets: int) -> DataFrame:
+    """A row a slice with its documents' chunks, and a row per bucket with the distinct chunks in it."""
+    schema = pa.schema(
+        [("slice", pa.int64()), ("bucket", pa.int32()), ("places", pa.list_(pa.int32())),
+         ("chunks", pa.list_(pa.string())), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())),
+         *[(name, pa.list_(pa.int32())) for name in ("doc_group", "doc_n", "chunk", "times")]]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for piece in common.gathered(batches, SLICE_BYTES):
             groups: dict[tuple[str, str], int] = {}
-            places: dict[bytes, int] = {}
-            doc_group, doc_n, chunk, times = [], [], [], []
             named = zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist())
-            for group, text in zip(named, piece.column("text")):
-                found = Counter(text.as_buffer().to_pybytes().split())
-                doc_group.append(groups.setdefault(group, len(groups)))
-                doc_n.append(len(found))
-                chunk.extend([places.setdefault(c, len(places)) for c in found])
-                times.extend(found.values())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "slice": pa.array([number], pa.int64()),
-                    "langs": pa.array([[g[0] for g in groups]], pa.list_(pa.string())),
-                    "sources": pa.array([[g[1] for g in groups]], pa.list_(pa.string())),
-                    "doc_group": pa.array([np.array(doc_group, np.int32)], pa.list_(pa.int32())),
-                    "doc_n": pa.array([np.array(doc_n, np.int32)], pa.list_(pa.int32())),
-                    "chunk": pa.array([np.array(chunk, np.int32)], pa.list_(pa.int32())),
-                    "times": pa.array([np.array(times, np.int64)], pa.list_(pa.int64())),
-                    "chunks": pa.array([pa.array(places, pa.binary()).cast(pa.string())], pa.list_(pa.string())),
-                }
+            doc_group = [groups.setdefault(group, len(groups)) for group in named]
+            lists = pc.ascii_split_whitespace(piece.column("text"))
+            doc = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            flat = lists.flatten()
+            solid = pc.not_equal(flat, "")  # around leading and trailing whitespace
+            coded = flat.filter(solid).dictionary_encode()
+            doc = doc[solid.to_numpy(zero_copy_only=False)]
+            chunks, width = coded.dictionary, max(len(coded.dictionary), 1)
+            keys, times = np.unique(doc * width + coded.indices.to_numpy(), return_counts=True)
+            whole = {"slice": number, "langs": [g[0] for g in groups], "sources": [g[1] for g in groups],
+                     "doc_group": doc_group, "doc_n": np.bincount(keys // width, minlength=len(lists)),
+                     "chunk": keys % width, "times": times}
+            yield pa.RecordBatch.from_pylist([whole], schema)
+            bucket = _buckets(chunks, buckets)
+            order = np.argsort(bucket, kind="stable")
+            found, edges = _edges(bucket[order])
+            parts = {"slice": np.full(len(found), number), "bucket": found, "places": _lists(edges, order),
+                     "chunks": _lists(edges, chunks.take(pa.array(order)))}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts[f.name], f.type) if f.name in parts and f.name in ("slice", "bucket")
+                 else parts[f.name].cast(f.type) if f.name in parts else pa.nulls(len(found), f.type) for f in schema],
+                schema=schema,
             )
             number += 1
 
     return common.staged(docs.mapInArrow(run, SLICE), "chunk-slices")
 
 
-def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the sum of their weights, and how often they stand."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
-    if not len(first):
-        return keys, weights[:0], first
-    return keys[first], np.add.reduceat(weights[order], first), np.diff(np.append(first, len(keys)))
-
-
-def _slice_counts(slices: pa.Table, mapped: pa.Table) -> pa.Table:
-    """Occurrences and documents per group and term of one slice."""
-    row = slices.to_batches()[0] if slices.num_rows else None
-    names = ["lang", "source", "term", "n", "docs"]
-    kinds = [pa.string()] * 3 + [pa.int64()] * 2
-    if row is None or not mapped.num_rows:
-        return pa.table([pa.array([], k) for k in kinds], names=names)
-    doc_group, doc_n, chunk, times = (
-        row.column(c)[0].values.to_numpy().astype(np.int64) for c in ("doc_group", "doc_n", "chunk", "times")
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of each chunk; buckets come one after the other, and a chunk is split when first met."""
+    known, now = {}, None
+    for batch in batches:
+        places, sizes, found = [], [], []
+        for row in range(batch.num_rows):
+            bucket = batch.column("bucket")[row].as_py()
+            if bucket != now:
+                known, now = {}, bucket
+            here, own, flat = [], [], []
+            for place, chunk in zip(_ints(batch, "places", row).tolist(), _strings(batch, "chunks", row)):
+                split = known.get(chunk)
+                if split is None:
+                    split = known[chunk] = TERM.findall(chunk.translate(LOWER))
+                if split:
+                    here.append(place)
+                    own.append(len(split))
+                    flat += split
+            places.append(here)
+            sizes.append(own)
+            found.append(flat)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("slice"), pa.array(places, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32())),
+             pa.array(found, pa.list_(pa.string()))],
+            names=["slice", "places", "sizes", "terms"],
+        )
+
+
+def _slice_counts(buckets: int):
+    """Occurrences and documents per group and term of one slice, a row per bucket of terms."""
+    schema = pa.schema(
+        [("bucket", pa.int32()), *[(name, pa.list_(pa.string())) for name in ("langs", "sources", "terms")],
+         *[(name, pa.list_(pa.int32())) for name in ("src", "term", "n", "docs")]]
     )
-    places = mapped.column("place").to_numpy()
-    lists = mapped.column("terms").combine_chunks()
-    sizes = pc.list_value_length(lists).to_numpy()
-    coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy().astype(np.int64)
-    n_terms, starts = np.zeros(int(chunk.max()) + 1, np.int64), np.zeros(int(chunk.max()) + 1, np.int64)
-    n_terms[places], starts[places] = sizes, np.cumsum(sizes) - sizes
-
-    width = len(coded.dictionary)
-    doc = np.repeat(np.arange(len(doc_n)), doc_n)
-    reps = n_terms[chunk]
-    within = np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
-    keys = np.repeat(doc, reps) * width + codes[np.repeat(starts[chunk], reps) + within]
-    keys, n, _ = _sums(keys, np.repeat(times, reps))  # once a document and term
-    keys, n, docs = _sums(doc_group[keys // width] * width + keys % width, n)
-    group = pa.array(keys // width)
-    return pa.table(
-        [
-            row.column("langs")[0].values.take(group),
-            row.column("sources")[0].values.take(group),
-            coded.dictionary.take(pa.array(keys % width)),
-            pa.array(n, pa.int64()),
-            pa.array(docs, pa.int64()),
-        ],
-        names=names,
+
+    def count(slices: pa.Table, split: pa.Table) -> pa.Table:
+        if not slices.num_rows or not split.num_rows:
+            return schema.empty_table()
+        split = split.combine_chunks()
+        doc_group, doc_n, chunk, times = (_ints(slices, c) for c in ("doc_group", "doc_n", "chunk", "times"))
+        places = split.column("places").chunk(0).flatten().to_numpy()
+        sizes = split.column("sizes").chunk(0).flatten().to_numpy()
+        coded = split.column("terms").chunk(0).flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary
+        n_terms = np.zeros(max(chunk.max(initial=0), places.max(initial=0)) + 1, np.int64)
+        starts = np.zeros_like(n_terms)
+        n_terms[places], starts[places] = sizes, np.cumsum(sizes) - sizes
+
+        width = max(len(words), 1)
+        reps = n_terms[chunk]
+        within = np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
+        keys = np.repeat(np.repeat(np.arange(len(doc_n)), doc_n), reps) * width
+        keys += codes[np.repeat(starts[chunk], reps) + within]
+        keys, n = _sums(keys, np.repeat(times, reps))  # once a document and term
+        bucket = _buckets(words, buckets)
+        # Ascending by bucket, term and group.
+        rank = np.empty(width, np.int64)
+        order = np.argsort(bucket, kind="stable")
+        rank[order] = np.arange(len(order))
+        n_groups = len(slices.column("langs")[0])
+        keys, n, docs = _sums(rank[keys % width] * n_groups + doc_group[keys // width], n, np.ones(len(n), np.int64))
+        term, group = order[keys // n_groups], keys % n_groups
+        langs, sources = _strings(slices, "langs"), _strings(slices, "sources")
+        found, edges = _edges(bucket[term])
+        first = np.concatenate((np.ones(min(len(term), 1), bool), term[1:] != term[:-1]))
+        before = np.concatenate(([0], np.cumsum(first)))  # terms before each entry
+        groups = [np.unique(group[a:b], return_inverse=True) for a, b in zip(edges[:-1], edges[1:])]
+        columns = {
+            "langs": pa.array([[langs[g] for g in own] for own, _ in groups], pa.list_(pa.string())),
+            "sources": pa.array([[sources[g] for g in own] for own, _ in groups], pa.list_(pa.string())),
+            "terms": _lists(before[edges], words.take(pa.array(term[first]))),
+            "src": _lists(edges, np.concatenate([src for _, src in groups] or [edges[:0]])),
+            "term": _lists(edges, before[1:] - 1 - np.repeat(before[edges[:-1]], np.diff(edges))),
+            "n": _lists(edges, n),
+            "docs": _lists(edges, docs),
+        }
+        return pa.Table.from_arrays(
+            [pa.array(found, pa.int32()), *(columns[f.name].cast(f.type) for f in list(schema)[1:])], schema=schema
+        )
+
+    return count
+
+
+class _Bucket:
+    """The terms of one bucket, summed over slices."""
+
+    def __init__(self):
+        self.terms: dict[str, int] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, batch: pa.RecordBatch, row: int) -> None:
+        groups = zip(_strings(batch, "langs", row), _strings(batch, "sources", row))
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in groups], np.int64)
+        term = np.array([self.terms.setdefault(t, len(self.terms)) for t in _strings(batch, "terms", row)], np.int64)
+        self.held.append((term[_ints(batch, "term", row)], group[_ints(batch, "src", row)],
+                          _ints(batch, "n", row), _ints(batch, "docs", row)))
+        self.size += len(self.held[-1][0])
+        if self.size > HELD:
+            self.held = [self.summed()]
+            self.size = len(self.held[0][0])
+            self.size = 0 if self.size > HELD // 2 else self.size  # else every row would sum again
+
+    def summed(self) -> tuple[np.ndarray, ...]:
+        term, group, n, docs = (np.concatenate(c) for c in zip(*self.held))
+        keys, n, docs = _sums(term * len(self.groups) + group, n, docs)
+        return keys // len(self.groups), keys % len(self.groups), n, docs
+
+    def kept(self, least_docs: int) -> Iterator[dict]:
+        """A row per language: its terms in enough documents, with their counts by source."""
+        term, group, n, docs = self.summed()
+        words, groups = list(self.terms), list(self.groups)
+        langs = sorted({lang for lang, _ in groups})
+        lang_of = np.array([langs.index(lang) for lang, _ in groups])[group]
+        for number, lang in enumerate(langs):
+            mine = lang_of == number
+            t, g, count = term[mine], group[mine], n[mine]
+            found, lang_docs, lang_n = _sums(t, docs[mine], count)
+            good = lang_docs >= least_docs
+            found, lang_n = found[good], lang_n[good]
+            if not len(found):
+                continue
+            at = np.minimum(np.searchsorted(found, t), len(found) - 1)
+            here = found[at] == t
+            at, g, count = at[here], g[here], count[here]
+            own, src = np.unique(g, return_inverse=True)
+            totals = np.zeros(len(own), np.int64)
+            np.add.at(totals, src, count)
+            yield {"lang": lang, "v": len(found), "lang_total": int(lang_n.sum()),
+                   "sources": [groups[i][1] for i in own], "totals": totals, "terms": [words[i] for i in found],
+                   "lang_n": lang_n, "src": src, "term": at, "n": count}
+
+
+def _merged(least_docs: int):
+    schema = pa.schema(
+        [("lang", pa.string()), ("v", pa.int64()), ("lang_total", pa.int64()), ("sources", pa.list_(pa.string())),
+         ("totals", pa.list_(pa.int64())), ("terms", pa.list_(pa.string())), ("lang_n", pa.list_(pa.int64())),
+         ("src", pa.list_(pa.int32())), ("term", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))]
     )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = None, None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bucket = batch.column("bucket")[row].as_py()
+                if bucket != now:
+                    if held:
+                        yield pa.RecordBatch.from_pylist(list(held.kept(least_docs)), schema)
+                    held, now = _Bucket(), bucket
+                held.add(batch, row)
+        if held:
+            yield pa.RecordBatch.from_pylist(list(held.kept(least_docs)), schema)
+
+    return run
+
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """`lang, source, term, n, docs`: occurrences and documents of every term in every group (`text, lang, source`)."""
+def kept_terms(docs: DataFrame, least_docs: int, buckets: int) -> DataFrame:
+    """Rows of arrays, per language and bucket: terms in at least `least_docs` documents, counts by source."""
     slices = _slices(docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-                                   for c in ("text", "lang", "source")]))
-    chunks = slices.select(F.col("slice").alias("of"), F.posexplode("chunks").alias("place", "chunk"))
-    split = chunks.select("chunk").distinct().withColumn(
-        "terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
+                                   for c in ("text", "lang", "source")]), buckets)
+    split = (
+        slices.where("bucket IS NOT NULL")
+        .select("slice", "bucket", "places", "chunks")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_split, SPLIT)
+        .withColumnRenamed("slice", "of")
     )
-    mapped = chunks.join(split.where(F.size("terms") > 0), "chunk").select("of", "place", "terms")
     counted = (
-        slices.drop("chunks").groupBy("slice").cogroup(mapped.groupBy("of")).applyInArrow(_slice_counts, COUNTS)
-    )
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-
-
-def _p(n: str) -> Column:
-    """The smoothed share of a term in billionths, exact also where the product leaves 64 bits."""
-    product = f"(CAST({n} AS DECIMAL(20,0)) + 1) * CAST(1000000000 AS DECIMAL(10,0))"
-    return F.expr(f"CASE WHEN v > 0 THEN 1 + ({product}) div CAST(total + v AS DECIMAL(20,0)) END")
-
-
-def _pair_sums(table: pa.Table) -> pa.Table:
-    """Summed divergences, both ways, of the sources of two blocks over the terms of one bucket."""
-    column = table.column
-    lang, lo, hi = column("lang")[0].as_py(), column("lo")[0].as_py(), column("hi")[0].as_py()
-    heads = table.filter(pc.is_null(column("term")))
-    sources = np.array(heads.column("source").to_pylist(), object)
-    blocks, base = heads.column("block").to_numpy(), heads.column("p0").to_numpy(zero_copy_only=False)
-    left, right = np.flatnonzero(blocks == lo), np.flatnonzero(blocks == hi)
-    rows = table.filter(pc.is_valid(column("term")))
-    value = np.zeros((len(sources), len(sources)), np.int64)
-    seen = 0
-    if rows.num_rows:
-        place = {s: i for i, s in enumerate(sources)}
-        coded = rows.column("source").combine_chunks().dictionary_encode()
-        at = np.array([place[s] for s in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
-        coded = rows.column("term").combine_chunks().dictionary_encode()
-        term, p = coded.indices.to_numpy(), rows.column("p").to_numpy()
-        order = np.argsort(term, kind="stable")
-        at, term, p = at[order], term[order], p[order]
-        seen = len(coded.dictionary)
-        for start in range(0, seen, STEP):
-            a, b = np.searchsorted(term, [start, start + STEP])
-            shares = np.repeat(base[:, None], min(STEP, seen - start), axis=1)
-            shares[at[a:b], term[a:b] - start] = p[a:b]
-            for g in left:
-                away = (shares[right] - shares[g]) ** 2
-                value[g, right] += (away // shares[right]).sum(axis=1)
-                if lo != hi:
-                    value[right, g] += (away // shares[g]).sum(axis=1)
-    pairs = [(g, h) for g in left for h in right if g != h]
-    pairs += [(h, g) for g, h in pairs] if lo != hi else []
-    g, h = np.array(pairs, np.int64).reshape(-1, 2).T
-    return pa.table(
-        {
-            "lang": pa.array([lang] * len(g), pa.string()),
-            "source": pa.array(sources[g], pa.string()),
-            "item": pa.array(sources[h], pa.string()),
-            "value": pa.array(value[g, h], pa.int64()),
-            "seen": pa.array(np.full(len(g), seen), pa.int64()),
-            "p0": pa.array(base[g], pa.int64()),
-            "q0": pa.array(base[h], pa.int64()),
-        }
+        slices.where("bucket IS NULL")
+        .drop("bucket", "places", "chunks")
+        .groupBy("slice")
+        .cogroup(split.groupBy("of"))
+        .applyInArrow(_slice_counts(buckets), COUNTS)
     )
+    summed = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged(least_docs), KEPT)
+    return common.staged(summed, "kept-terms")
+
+
+def _shares(n: np.ndarray, total: np.ndarray | int) -> np.ndarray:
+    """Smoothed shares in billionths; in Python's integers where 64 bits don't do."""
+    if n.max(initial=0) < 9_000_000_000:
+        return 1 + BILLION * (n + 1) // total
+    return (1 + BILLION * (n.astype(object) + 1) // total).astype(np.int64)
+
+
+class _Row:
+    """The terms of one bucket in one language, with the totals of the whole language."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int):
+        self.lang = batch.column("lang")[row].as_py()
+        self.names = _strings(batch, "all_sources", row)
+        place = {name: i for i, name in enumerate(self.names)}
+        self.v = batch.column("all_v")[row].as_py()
+        self.lang_total = batch.column("all_total")[row].as_py()
+        self.totals = _ints(batch, "all_totals", row)
+        own = np.array([place[s] for s in _strings(batch, "sources", row)], np.int64)
+        self.src = own[_ints(batch, "src", row)]
+        self.term, self.n = _ints(batch, "term", row), _ints(batch, "n", row)
+        self.n_terms = batch.column("v")[row].as_py()
+        if self.v:
+            self.zero = _shares(np.zeros(len(self.names), np.int64), self.totals + self.v)
+            self.p = _shares(self.n, self.totals[self.src] + self.v)
+
+
+PAIRS = "lang string, source string, item string, value long"
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed divergences, both ways, of the sources of two blocks, over all terms this task sees."""
+    held: dict[tuple[str, int, int], tuple[list[str], np.ndarray]] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, lo, hi), (names, value) in held.items():
+            left, right = _block(len(names), lo), _block(len(names), hi)
+            pairs = [(g, h) for g in left for h in right if g != h]
+            pairs += [(h, g) for g, h in pairs] if lo != hi else []
+            at = {g: i for i, g in enumerate([*left, *([] if lo == hi else right)])}
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([lang] * len(pairs), pa.string()),
+                    "source": pa.array([names[g] for g, _ in pairs], pa.string()),
+                    "item": pa.array([names[h] for _, h in pairs], pa.string()),
+                    "value": pa.array([int(value[at[g], at[h]]) for g, h in pairs], pa.int64()),
+                }
+            )
+        held.clear()
+
+    for batch in batches:
+        for number in range(batch.num_rows):
+            row = _Row(batch, number)
+            lo, hi = batch.column("lo")[number].as_py(), batch.column("hi")[number].as_py()
+            own = np.array([*_block(len(row.names), lo), *([] if lo == hi else _block(len(row.names), hi))], np.int64)
+            if (row.lang, lo, hi) not in held and len(held) * SOURCES * SOURCES > HELD:
+                yield from flush()
+            _, value = held.setdefault((row.lang, lo, hi), (row.names, np.zeros((len(own), len(own)), np.int64)))
+            if row.v:
+                _add_pairs(row, own, value)
+    yield from flush()
+
+
+def _block(n: int, number: int) -> range:
+    return range(number * SOURCES, min(n, (number + 1) * SOURCES))
+
+
+def _add_pairs(row: _Row, own: np.ndarray, value: np.ndarray) -> None:
+    place = np.full(len(row.names), -1)
+    place[own] = np.arange(len(own))
+    here = place[row.src] >= 0
+    seen, term = np.unique(row.term[here], return_inverse=True)
+    at, p, zero = place[row.src[here]], row.p[here], row.zero[own]
+    # Terms that none of these sources has add the same each.
+    away = (zero[:, None] - zero[None, :]) ** 2
+    value += (row.n_terms - len(seen)) * (away // zero[None, :])
+    order = np.argsort(term, kind="stable")
+    at, term, p = at[order], term[order], p[order]
+    for start in range(0, len(seen), STEP):
+        a, b = np.searchsorted(term, [start, start + STEP])
+        shares = np.repeat(zero[:, None], min(STEP, len(seen) - start), axis=1)
+        shares[at[a:b], term[a:b] - start] = p[a:b]
+        for g in range(len(own)):
+            value[g] += ((shares - shares[g]) ** 2 // shares).sum(axis=1)
+
+
+def _best_terms(most: int):
+    """The terms of each source that stand out most, of all this task sees."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[str, str], list] = {}
+        least: dict[tuple[str, str], int] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = [(*group, -value, item) for group, found in best.items()
+                    for value, item in heapq.nsmallest(most, found)]
+            if rows:
+                lang, source, value, item = zip(*rows)
+                yield pa.RecordBatch.from_pydict(
+                    {"lang": pa.array(lang, pa.string()), "source": pa.array(source, pa.string()),
+                     "item": pa.array([i.decode() for i in item], pa.string()), "value": pa.array(value, pa.int64())}
+                )
+            best.clear()
+            least.clear()
+
+        for batch in batches:
+            for number in range(batch.num_rows):
+                row = _Row(batch, number)
+                if not row.v or not len(row.n):
+                    continue
+                words = _strings(batch, "terms", number)
+                q = _shares(_ints(batch, "lang_n", number), row.lang_total + row.v)[row.term]
+                value = (row.p - q) ** 2 // q
+                order = np.flatnonzero(row.p > q)
+                order = order[np.argsort(row.src[order], kind="stable")]
+                for src, run_ in _runs(row.src[order]):
+                    group, mine = (row.lang, row.names[src]), order[run_]
+                    mine = mine[value[mine] >= least.get(group, -1)]
+                    found = best.setdefault(group, [])
+                    found += [(-v, words[t].encode()) for v, t in zip(value[mine].tolist(), row.term[mine].tolist())]
+                    if len(found) > 8 * most:
+                        found[:] = heapq.nsmallest(most, found)
+                        least[group] = -found[-1][0]
+            if len(best) * 8 * most > HELD:
+                yield from flush()
+        yield from flush()
+
+    return run
 
 
 def _ranked(values: DataFrame, part: str) -> DataFrame:
@@ -204,60 +468,43 @@ def _ranked(values: DataFrame, part: str) -> DataFrame:
     )
 
 
-def divergence(docs: DataFrame, least_docs: int = 3, top_terms: int = 200) -> DataFrame:
+def divergence(
+    docs: DataFrame, least_docs: int = 3, top_terms: int = 200, buckets: int = BUCKETS
+) -> DataFrame:
     """`lang, source, part, item, value, rank`: other sources (`pair`) and own terms (`term`) by divergence."""
     groups = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    counts = common.staged(term_counts(docs), "term-counts")
-    kept = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-        .where(F.col("docs") >= least_docs)
-        .drop("docs")
-    )
-    rows = common.staged(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "kept-terms")
-    langs = rows.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).groupBy("lang").agg(
-        F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")
-    )
+    kept = kept_terms(docs, least_docs, buckets)
     totals = (
-        groups.join(rows.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
-        .join(langs, "lang", "left")
-        .na.fill(0, ["total", "v", "lang_total"])
-        .join(groups.groupBy("lang").agg(F.count("*").alias("n_sources")), "lang")
+        kept.select("lang", F.explode(F.arrays_zip("sources", "totals")).alias("s"))
+        .groupBy("lang", F.col("s.sources").alias("source"))
+        .agg(F.sum("s.totals").alias("total"))
     )
-    totals = common.staged(
-        totals.withColumn("p0", F.coalesce(_p("0"), F.lit(0)))
-        .withColumn("n_blocks", F.ceil(F.col("n_sources") / SOURCES))
-        .withColumn("n_buckets", F.greatest(F.lit(1), F.ceil(F.col("v") * F.least("n_sources", F.lit(SOURCES)) / ROWS)))
-        .withColumn("block", F.pmod(F.xxhash64("source"), F.col("n_blocks"))),
-        "source-totals",
+    langs = (
+        groups.join(totals, ["lang", "source"], "left")
+        .groupBy("lang")
+        .agg(F.sort_array(F.collect_list(F.struct("source", F.coalesce("total", F.lit(0)).alias("total")))).alias("s"))
+        .join(
+            kept.groupBy("lang").agg(F.sum("v").alias("all_v"), F.sum("lang_total").alias("all_total")), "lang", "left"
+        )
+        .select(
+            "lang", F.col("s.source").alias("all_sources"), F.col("s.total").alias("all_totals"),
+            F.coalesce("all_v", F.lit(0)).alias("all_v"), F.coalesce("all_total", F.lit(0)).alias("all_total"),
+        )
     )
-    rows = rows.join(totals, ["lang", "source"]).withColumn("p", _p("n"))
-
-    q = F.expr(
-        "1 + ((CAST(lang_n AS DECIMAL(20,0)) + 1) * CAST(1000000000 AS DECIMAL(10,0)))"
-        " div CAST(lang_total + v AS DECIMAL(20,0))"
-    )
-    terms = rows.withColumn("q", q).where("p > q").select(
-        "lang", "source", F.col("term").alias("item"), F.expr("(p - q) * (p - q) div q").alias("value")
-    )
-
-    bucket = F.pmod(F.xxhash64("term"), F.col("n_buckets"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("other")
-    dealt = rows.select("lang", "source", "block", "term", "p", "p0", bucket.alias("bucket"), other)
-    heads = totals.select(
-        "lang", "source", "block", F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("p"),
-        "p0", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_buckets") - 1)).alias("bucket"), "n_blocks",
-    ).select("lang", "source", "block", "term", "p", "p0", "bucket", other)
-    sums = (
-        dealt.unionByName(heads)
-        .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-        .drop("other")
-        .groupBy("lang", "bucket", "lo", "hi")
-        .applyInArrow(_pair_sums, "lang string, source string, item string, value long, seen long, p0 long, q0 long")
-        .groupBy("lang", "source", "item", "p0", "q0")
-        .agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
-        .join(langs.select("lang", "v"), "lang", "left")
+    langs = common.staged(langs, "language-totals")
+    # A language without kept terms has pairs all the same.
+    nothing = {f.name: f.dataType for f in kept.schema.fields if f.name not in ("lang", "v")}
+    empty = langs.select("lang", F.lit(0).cast("long").alias("v"),
+                         *[(F.array() if t.typeName() == "array" else F.lit(0)).cast(t).alias(n) for n, t in nothing.items()])
+    n_blocks = F.ceil(F.size("all_sources") / SOURCES).cast("int")
+    pairs = (
+        kept.unionByName(empty)
+        .join(langs, "lang")
+        .withColumn("lo", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        .withColumn("hi", F.explode(F.sequence("lo", n_blocks - 1)))
+        .mapInArrow(_pairs, PAIRS)
+        .groupBy("lang", "source", "item")
+        .agg(F.sum("value").alias("value"))
     )
-    rest = F.expr("CASE WHEN v > 0 THEN (v - seen) * ((p0 - q0) * (p0 - q0) div q0) ELSE 0 END")
-    pairs = sums.withColumn("value", F.col("value") + rest)
-    return _ranked(pairs, "pair").unionByName(_ranked(terms, "term").where(F.col("rank") <= top_terms))
+    best = kept.join(langs, "lang").mapInArrow(_best_terms(top_terms), PAIRS)
+    return _ranked(pairs, "pair").unionByName(_ranked(best, "term").where(F.col("rank") <= top_terms))

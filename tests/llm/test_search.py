@@ -230,8 +230,8 @@ def test_divergence(spark, monkeypatch, small):
     if small:  # many slices, blocks of sources and buckets of terms
         monkeypatch.setattr(source_audit, "SLICE_BYTES", 500)
         monkeypatch.setattr(source_audit, "SOURCES", 2)
-        monkeypatch.setattr(source_audit, "ROWS", 50)
         monkeypatch.setattr(source_audit, "STEP", 7)
+        monkeypatch.setattr(source_audit, "HELD", 60)
     rnd = random.Random(8)
     words = ["the", "The", "don't", "a-a", "É", "漢字", "12", "x1y", "--"] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
     rows = []
