@@ -49,14 +49,16 @@ SOURCES, STEP = 128, 2048
 HELD = 1 << 22
 BILLION = 1_000_000_000
 
+#: Words in one text, chunks or terms, stand between blanks, terms of different chunks in lines; numbers that
+#: don't repeat go as two arrays, lower and upper half, which leaves less to write and to send.
 SLICE = (
-    "slice long, bucket int, places array<int>, chunks array<string>, langs array<string>, sources array<string>,"
-    " doc_group array<int>, doc_n array<int>, chunk array<int>, times array<int>"
+    "slice long, bucket int, start int, chunks string, langs array<string>, sources array<string>,"
+    " doc_group array<int>, doc_n array<int>, low array<smallint>, high array<smallint>, times array<int>"
 )
-SPLIT = "slice long, places array<int>, sizes array<int>, terms array<string>"
+SPLIT = "slice long, start int, terms string"
 COUNTS = (
-    "bucket int, langs array<string>, sources array<string>, terms array<string>,"
-    " src array<int>, term array<int>, n array<int>, docs array<int>"
+    "bucket int, langs array<string>, sources array<string>, terms string, n_src array<int>,"
+    " low array<smallint>, high array<smallint>, docs array<int>, more array<int>"
 )
 KEPT = (
     "lang string, v long, lang_total long, sources array<string>, totals array<long>, terms array<string>,"
@@ -81,6 +83,14 @@ def _buckets(words: pa.StringArray, buckets: int) -> np.ndarray:
     return (terms._hashes(data, edges[:-1], np.diff(edges)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _halves(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (values & 0xFFFF).astype(np.uint16).view(np.int16), (values >> 16).astype(np.int16)
+
+
+def _whole(batch: pa.RecordBatch | pa.Table, row: int = 0) -> np.ndarray:
+    return (_ints(batch, "high", row) << 16) | (_ints(batch, "low", row) & 0xFFFF)
+
+
 def _sums(keys: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys and the sums of their weights."""
     order = np.argsort(keys, kind="stable")
@@ -112,11 +122,15 @@ def _lists(edges: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
 
 
 def _slices(docs: DataFrame, buckets: int) -> DataFrame:
-    """A row a slice with its documents' chunks, and a row per bucket with the distinct chunks in it."""
+    """A row a slice with its documents' chunks, and a row per bucket with the distinct chunks in it.
+
+    Chunks are numbered by bucket, so a bucket's chunks have the numbers from `start` on.
+    """
+    lists = {"langs": pa.string(), "sources": pa.string(), "doc_group": pa.int32(), "doc_n": pa.int32(),
+             "low": pa.int16(), "high": pa.int16(), "times": pa.int32()}
     schema = pa.schema(
-        [("slice", pa.int64()), ("bucket", pa.int32()), ("places", pa.list_(pa.int32())),
-         ("chunks", pa.list_(pa.string())), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())),
-         *[(name, pa.list_(pa.int32())) for name in ("doc_group", "doc_n", "chunk", "times")]]
+        [("slice", pa.int64()), ("bucket", pa.int32()), ("start", pa.int32()), ("chunks", pa.string()),
+         *[(name, pa.list_(kind)) for name, kind in lists.items()]]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,21 +145,23 @@ def _slices(docs: DataFrame, buckets: int) -> DataFrame:
             solid = pc.not_equal(flat, "")  # around leading and trailing whitespace
             coded = flat.filter(solid).dictionary_encode()
             doc = doc[solid.to_numpy(zero_copy_only=False)]
-            chunks, width = coded.dictionary, max(len(coded.dictionary), 1)
-            keys, times = np.unique(doc * width + coded.indices.to_numpy(), return_counts=True)
+            bucket = _buckets(coded.dictionary, buckets)
+            order = np.argsort(bucket, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            width = max(len(order), 1)
+            keys, times = np.unique(doc * width + rank[coded.indices.to_numpy()], return_counts=True)
+            low, high = _halves(keys % width)
             whole = {"slice": number, "langs": [g[0] for g in groups], "sources": [g[1] for g in groups],
                      "doc_group": doc_group, "doc_n": np.bincount(keys // width, minlength=len(lists)),
-                     "chunk": keys % width, "times": times}
+                     "low": low, "high": high, "times": times}
             yield pa.RecordBatch.from_pylist([whole], schema)
-            bucket = _buckets(chunks, buckets)
-            order = np.argsort(bucket, kind="stable")
             found, edges = _edges(bucket[order])
-            parts = {"slice": np.full(len(found), number), "bucket": found, "places": _lists(edges, order),
-                     "chunks": _lists(edges, chunks.take(pa.array(order)))}
+            chunks = pc.binary_join(_lists(edges, coded.dictionary.take(pa.array(order))), " ")
+            parts = {"slice": pa.array(np.full(len(found), number)), "bucket": pa.array(found, pa.int32()),
+                     "start": pa.array(edges[:-1], pa.int32()), "chunks": chunks}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(parts[f.name], f.type) if f.name in parts and f.name in ("slice", "bucket")
-                 else parts[f.name].cast(f.type) if f.name in parts else pa.nulls(len(found), f.type) for f in schema],
-                schema=schema,
+                [parts[f.name] if f.name in parts else pa.nulls(len(found), f.type) for f in schema], schema=schema
             )
             number += 1
 
@@ -156,49 +172,44 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The terms of each chunk; buckets come one after the other, and a chunk is split when first met."""
     known, now = {}, None
     for batch in batches:
-        places, sizes, found = [], [], []
-        for row in range(batch.num_rows):
-            bucket = batch.column("bucket")[row].as_py()
+        out = []
+        for bucket, chunks in zip(batch.column("bucket").to_pylist(), batch.column("chunks").to_pylist()):
             if bucket != now:
                 known, now = {}, bucket
-            here, own, flat = [], [], []
-            for place, chunk in zip(_ints(batch, "places", row).tolist(), _strings(batch, "chunks", row)):
-                split = known.get(chunk)
-                if split is None:
-                    split = known[chunk] = TERM.findall(chunk.translate(LOWER))
-                if split:
-                    here.append(place)
-                    own.append(len(split))
-                    flat += split
-            places.append(here)
-            sizes.append(own)
-            found.append(flat)
+            lines = []
+            for chunk in chunks.split(" "):
+                line = known.get(chunk)
+                if line is None:
+                    line = known[chunk] = " ".join(TERM.findall(chunk.translate(LOWER)))
+                lines.append(line)
+            out.append("\n".join(lines))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("slice"), pa.array(places, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32())),
-             pa.array(found, pa.list_(pa.string()))],
-            names=["slice", "places", "sizes", "terms"],
+            [batch.column("slice"), batch.column("start"), pa.array(out, pa.string())],
+            names=["slice", "start", "terms"],
         )
 
 
 def _slice_counts(buckets: int):
     """Occurrences and documents per group and term of one slice, a row per bucket of terms."""
+    lists = {"n_src": pa.int32(), "low": pa.int16(), "high": pa.int16(), "docs": pa.int32(), "more": pa.int32()}
     schema = pa.schema(
-        [("bucket", pa.int32()), *[(name, pa.list_(pa.string())) for name in ("langs", "sources", "terms")],
-         *[(name, pa.list_(pa.int32())) for name in ("src", "term", "n", "docs")]]
+        [("bucket", pa.int32()), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())),
+         ("terms", pa.string()), *[(name, pa.list_(kind)) for name, kind in lists.items()]]
     )
 
     def count(slices: pa.Table, split: pa.Table) -> pa.Table:
         if not slices.num_rows or not split.num_rows:
             return schema.empty_table()
-        split = split.combine_chunks()
-        doc_group, doc_n, chunk, times = (_ints(slices, c) for c in ("doc_group", "doc_n", "chunk", "times"))
-        places = split.column("places").chunk(0).flatten().to_numpy()
-        sizes = split.column("sizes").chunk(0).flatten().to_numpy()
-        coded = split.column("terms").chunk(0).flatten().dictionary_encode()
+        doc_group, doc_n, times = (_ints(slices, c) for c in ("doc_group", "doc_n", "times"))
+        chunk = _whole(slices)
+        # In the order of the chunks' numbers: a line a chunk.
+        lines = pc.split_pattern(split.sort_by("start").column("terms").combine_chunks(), "\n").flatten()
+        n_terms = pc.list_value_length(cells := pc.split_pattern(lines, " ")).to_numpy()
+        n_terms = n_terms - pc.equal(lines, "").to_numpy(zero_copy_only=False)
+        flat = cells.flatten()
+        coded = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
         codes, words = coded.indices.to_numpy(), coded.dictionary
-        n_terms = np.zeros(max(chunk.max(initial=0), places.max(initial=0)) + 1, np.int64)
-        starts = np.zeros_like(n_terms)
-        n_terms[places], starts[places] = sizes, np.cumsum(sizes) - sizes
+        starts = np.cumsum(n_terms) - n_terms
 
         width = max(len(words), 1)
         reps = n_terms[chunk]
@@ -208,25 +219,28 @@ def _slice_counts(buckets: int):
         keys, n = _sums(keys, np.repeat(times, reps))  # once a document and term
         bucket = _buckets(words, buckets)
         # Ascending by bucket, term and group.
-        rank = np.empty(width, np.int64)
         order = np.argsort(bucket, kind="stable")
+        rank = np.empty(width, np.int64)
         rank[order] = np.arange(len(order))
-        n_groups = len(slices.column("langs")[0])
-        keys, n, docs = _sums(rank[keys % width] * n_groups + doc_group[keys // width], n, np.ones(len(n), np.int64))
-        term, group = order[keys // n_groups], keys % n_groups
         langs, sources = _strings(slices, "langs"), _strings(slices, "sources")
+        keys, n, docs = _sums(
+            rank[keys % width] * len(langs) + doc_group[keys // width], n, np.ones(len(n), np.int64)
+        )
+        term, group = order[keys // len(langs)], keys % len(langs)
         found, edges = _edges(bucket[term])
-        first = np.concatenate((np.ones(min(len(term), 1), bool), term[1:] != term[:-1]))
-        before = np.concatenate(([0], np.cumsum(first)))  # terms before each entry
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(term), 1), bool), term[1:] != term[:-1])))
+        term_edges = np.searchsorted(first, edges)
         groups = [np.unique(group[a:b], return_inverse=True) for a, b in zip(edges[:-1], edges[1:])]
+        low, high = _halves(np.concatenate([src for _, src in groups] or [edges[:0]]))
         columns = {
             "langs": pa.array([[langs[g] for g in own] for own, _ in groups], pa.list_(pa.string())),
             "sources": pa.array([[sources[g] for g in own] for own, _ in groups], pa.list_(pa.string())),
-            "terms": _lists(before[edges], words.take(pa.array(term[first]))),
-            "src": _lists(edges, np.concatenate([src for _, src in groups] or [edges[:0]])),
-            "term": _lists(edges, before[1:] - 1 - np.repeat(before[edges[:-1]], np.diff(edges))),
-            "n": _lists(edges, n),
+            "terms": pc.binary_join(_lists(term_edges, words.take(pa.array(term[first]))), " "),
+            "n_src": _lists(term_edges, np.diff(np.append(first, len(term)))),
+            "low": _lists(edges, low),
+            "high": _lists(edges, high),
             "docs": _lists(edges, docs),
+            "more": _lists(edges, n - docs),
         }
         return pa.Table.from_arrays(
             [pa.array(found, pa.int32()), *(columns[f.name].cast(f.type) for f in list(schema)[1:])], schema=schema
@@ -247,9 +261,11 @@ class _Bucket:
     def add(self, batch: pa.RecordBatch, row: int) -> None:
         groups = zip(_strings(batch, "langs", row), _strings(batch, "sources", row))
         group = np.array([self.groups.setdefault(g, len(self.groups)) for g in groups], np.int64)
-        term = np.array([self.terms.setdefault(t, len(self.terms)) for t in _strings(batch, "terms", row)], np.int64)
-        self.held.append((term[_ints(batch, "term", row)], group[_ints(batch, "src", row)],
-                          _ints(batch, "n", row), _ints(batch, "docs", row)))
+        words = batch.column("terms")[row].as_py().split(" ")
+        term = np.array([self.terms.setdefault(t, len(self.terms)) for t in words], np.int64)
+        docs = _ints(batch, "docs", row)
+        self.held.append((np.repeat(term, _ints(batch, "n_src", row)), group[_whole(batch, row)],
+                          docs + _ints(batch, "more", row), docs))
         self.size += len(self.held[-1][0])
         if self.size > HELD:
             self.held = [self.summed()]
@@ -315,7 +331,7 @@ def kept_terms(docs: DataFrame, least_docs: int, buckets: int) -> DataFrame:
                                    for c in ("text", "lang", "source")]), buckets)
     split = (
         slices.where("bucket IS NOT NULL")
-        .select("slice", "bucket", "places", "chunks")
+        .select("slice", "bucket", "start", "chunks")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_split, SPLIT)
@@ -323,7 +339,7 @@ def kept_terms(docs: DataFrame, least_docs: int, buckets: int) -> DataFrame:
     )
     counted = (
         slices.where("bucket IS NULL")
-        .drop("bucket", "places", "chunks")
+        .drop("bucket", "start", "chunks")
         .groupBy("slice")
         .cogroup(split.groupBy("of"))
         .applyInArrow(_slice_counts(buckets), COUNTS)
