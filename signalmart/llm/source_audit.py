@@ -40,7 +40,7 @@ from signalmart.llm import common, terms
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Bytes of text in a slice.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 12 << 20
 #: Buckets of chunks and of terms.
 BUCKETS = 1024
 #: Sources in a block, and terms that a task compares at once.
@@ -145,15 +145,17 @@ def _slices(docs: DataFrame, buckets: int) -> DataFrame:
             solid = pc.not_equal(flat, "")  # around leading and trailing whitespace
             coded = flat.filter(solid).dictionary_encode()
             doc = doc[solid.to_numpy(zero_copy_only=False)]
+            del lists, flat, solid
             bucket = _buckets(coded.dictionary, buckets)
             order = np.argsort(bucket, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             width = max(len(order), 1)
             keys, times = np.unique(doc * width + rank[coded.indices.to_numpy()], return_counts=True)
+            del doc
             low, high = _halves(keys % width)
             whole = {"slice": number, "langs": [g[0] for g in groups], "sources": [g[1] for g in groups],
-                     "doc_group": doc_group, "doc_n": np.bincount(keys // width, minlength=len(lists)),
+                     "doc_group": doc_group, "doc_n": np.bincount(keys // width, minlength=len(doc_group)),
                      "low": low, "high": high, "times": times}
             yield pa.RecordBatch.from_pylist([whole], schema)
             found, edges = _edges(bucket[order])
@@ -164,6 +166,8 @@ def _slices(docs: DataFrame, buckets: int) -> DataFrame:
                 [parts[f.name] if f.name in parts else pa.nulls(len(found), f.type) for f in schema], schema=schema
             )
             number += 1
+            del coded, keys, times, whole, chunks, parts, low, high, rank, order
+            pa.default_memory_pool().release_unused()
 
     return common.staged(docs.mapInArrow(run, SLICE), "chunk-slices")
 
@@ -209,14 +213,18 @@ def _slice_counts(buckets: int):
         flat = cells.flatten()
         coded = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
         codes, words = coded.indices.to_numpy(), coded.dictionary
+        del lines, cells, flat, coded
         starts = np.cumsum(n_terms) - n_terms
 
         width = max(len(words), 1)
         reps = n_terms[chunk]
-        within = np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
-        keys = np.repeat(np.repeat(np.arange(len(doc_n)), doc_n), reps) * width
-        keys += codes[np.repeat(starts[chunk], reps) + within]
+        # Place of each term of each document's chunks among all lines' terms.
+        at = np.arange(int(reps.sum())) + np.repeat(starts[chunk] - (np.cumsum(reps) - reps), reps)
+        keys = codes[at].astype(np.int64)
+        del at, codes
+        keys += np.repeat(np.repeat(np.arange(len(doc_n)) * width, doc_n), reps)
         keys, n = _sums(keys, np.repeat(times, reps))  # once a document and term
+        del chunk, times, reps
         bucket = _buckets(words, buckets)
         # Ascending by bucket, term and group.
         order = np.argsort(bucket, kind="stable")
