@@ -7,7 +7,7 @@ lengths, places or checksums reads three narrow columns, and a range of document
 row groups' and pages' doc_id bounds. `read` gives the documents back with their place in the stream.
 
 Null and empty texts have the end id only; rows that repeat a doc_id are all kept, ordered by
-n_tokens and checksum within the id; null ids come first; extra columns are not read; an empty table
+their place in the files within the id; null ids come first; extra columns are not read; an empty table
 writes an empty folder.
 """
 
@@ -19,13 +19,15 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalmart.llm import common
 
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
-CACHE_ENTRIES = 200_000
+#: Bytes of each half of the memory, with what an entry takes besides its chunk and ids.
+CACHE_BYTES, ENTRY_BYTES = 96 << 20, 250
 LAYOUT = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -41,8 +43,9 @@ LAYOUT = {
 class ChunkEncoder:
     """The tokenizers library behind a bounded memory of blank-delimited chunks.
 
-    White space is dropped by this tokenizer and no rule of it looks across, so the ids of a text
-    are those of its chunks in turn.
+    White space is dropped by this tokenizer and no rule of it looks across, so the ids of a text are those
+    of its chunks in turn. The memory has a recent and an older half; a chunk met again moves to the recent
+    one, and when that is full the older one goes, so frequent chunks stay.
     """
 
     def __init__(self, path: str):
@@ -51,21 +54,49 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        chunks = [text.encode().split() for text in texts]
-        new = list(set().union(*chunks).difference(known))
+        self.recent: dict[str, np.ndarray] = {}
+        self.older: dict[str, np.ndarray] = {}
+        self.size = 0
+
+    def _keep(self, chunk: str, ids: np.ndarray) -> None:
+        self.size += ENTRY_BYTES + len(chunk) + 4 * len(ids)
+        self.recent[chunk] = ids
+        if self.size > CACHE_BYTES:
+            self.recent, self.older, self.size = {}, self.recent, 0
+
+    def ids_of(self, chunks: list[str]) -> list[np.ndarray]:
+        """32-bit ids of distinct chunks."""
+        found: list = [self.recent.get(chunk) for chunk in chunks]
+        new = []
+        for place, ids in enumerate(found):
+            if ids is None:
+                ids = found[place] = self.older.get(chunks[place])
+                if ids is None:
+                    new.append(place)
+                else:
+                    self._keep(chunks[place], ids)
         for start in range(0, len(new), 5000):
             part = new[start : start + 5000]
-            found = self.library.encode_batch([c.decode() for c in part], add_special_tokens=False)
-            for chunk, encoding in zip(part, found, strict=True):
-                known[chunk] = np.array(encoding.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, own)) for own in chunks]
+            encoded = self.library.encode_batch([chunks[p] for p in part], add_special_tokens=False)
+            for place, encoding in zip(part, encoded, strict=True):
+                found[place] = np.array(encoding.ids, np.int32)
+                self._keep(chunks[place], found[place])
+        return found
+
+    def encode(self, texts: pa.Array, end: np.ndarray) -> pa.ListArray:
+        """Ids of every text, with those of `end` behind each."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        ids = [*self.ids_of(coded.dictionary.to_pylist()), end]
+        lengths = np.array([len(i) for i in ids], np.int64)
+        begins = np.cumsum(lengths) - lengths
+        n_chunks = pc.list_value_length(lists).to_numpy()
+        codes = np.insert(coded.indices.to_numpy(), np.cumsum(n_chunks), len(ids) - 1)
+        sizes = lengths[codes]
+        ends = np.cumsum(sizes)
+        at = np.arange(int(sizes.sum())) + np.repeat(begins[codes] - (ends - sizes), sizes)
+        offsets = np.concatenate(([0], ends[np.cumsum(n_chunks + 1) - 1]))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)[at], pa.int32()))
 
 
 @lru_cache(maxsize=2)
@@ -86,17 +117,14 @@ def write(
 ) -> None:
     """Token files of all documents, in ascending doc_id order across and within files."""
     vocabulary = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], np.int32)
 
     def encode(piece: pa.RecordBatch) -> dict:
-        raw = [ids + end for ids in encoder(vocabulary).encode(piece.column("text").to_pylist())]
-        lengths = np.fromiter((len(r) // 4 for r in raw), np.int64, len(raw))
-        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(raw), "<i4"))
+        tokens = encoder(vocabulary).encode(piece.column("text"), end)
         return {
             "doc_id": piece.column("doc_id"),
-            "n_tokens": pa.array(lengths),
-            "tokens": pa.ListArray.from_arrays(pa.array(offsets), values),
+            "n_tokens": pc.list_value_length(tokens).cast(pa.int64()),
+            "tokens": tokens,
         }
 
     narrow = common.texts(docs, id_col, text_col)
@@ -113,6 +141,7 @@ def _checksums(tokens: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "file": batch.column("file"),
+                    "row": batch.column("row"),
                     "doc_id": batch.column("doc_id"),
                     "n_tokens": batch.column("n_tokens"),
                     "ids_crc32": pa.array(
@@ -122,7 +151,7 @@ def _checksums(tokens: DataFrame) -> DataFrame:
                 }
             )
 
-    return tokens.mapInArrow(crc, "file string, doc_id long, n_tokens long, ids_crc32 long")
+    return tokens.mapInArrow(crc, "file string, row long, doc_id long, n_tokens long, ids_crc32 long")
 
 
 def tokens_of(spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
@@ -139,7 +168,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     Files hold disjoint ranges, so a running sum per file and one over the (few) files' totals give
     the place of each document in the whole stream.
     """
-    stored = spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    stored = spark.read.schema(SCHEMA).parquet(path).withColumns(
+        {"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")}
+    )
     per_file = stored.groupBy("file").agg(
         F.sum("n_tokens").alias("total"), F.min("doc_id").alias("first_id"),
         F.count(F.when(F.col("doc_id").isNull(), 1)).alias("n_null"),
@@ -154,9 +185,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             F.lit(0),
         ).alias("before"),
     )
-    in_file = Window.partitionBy("file").orderBy(
-        F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32"
-    ).rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return (
         _checksums(stored)
         .withColumn("inner", F.coalesce(F.sum("n_tokens").over(in_file), F.lit(0)))

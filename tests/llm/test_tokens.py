@@ -6,6 +6,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -31,8 +33,35 @@ def test_counts_are_the_librarys(noise):
 def test_ids_are_the_librarys(noise):
     path = public_tokenizers.path("word_bpe_49k.json")
     want = [e.ids for e in Tokenizer.from_file(path).encode_batch(noise, add_special_tokens=False)]
-    got = [np.frombuffer(x, "<u4").tolist() for x in token_files.ChunkEncoder(path).encode(noise)]
-    assert got == want
+    encoder = token_files.ChunkEncoder(path)
+    assert encoder.encode(pa.array(noise), np.zeros(0, np.int32)).to_pylist() == want
+    with_end = encoder.encode(pa.array(noise[:2000]).slice(500), np.array([2], np.int32))
+    assert with_end.to_pylist() == [[*ids, 2] for ids in want[500:2000]]
+
+
+def test_a_full_memory_keeps_what_is_met_again(noise, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(token_files, "CACHE_BYTES", 200_000)
+    encoder = token_files.ChunkEncoder(path)
+    none = np.zeros(0, np.int32)
+    want = [e.ids for e in encoder.library.encode_batch(noise, add_special_tokens=False)]
+    got = [encoder.encode(pa.array(["the", *noise[i : i + 50]]), none).to_pylist()[1:] for i in range(0, 3000, 50)]
+    assert sum(got, []) == want[:3000]
+    assert "the" in encoder.recent or "the" in encoder.older
+    assert len(encoder.recent) + len(encoder.older) < 2000
+
+
+def test_start_is_the_place_in_the_files(spark, tmp_path):
+    """Rows that share an id stand where the files have them, whatever their length."""
+    rows = [(5, "a b c d e f g"), (5, "one two"), (6, "x"), (5, "a b c d e f g"), (None, "n"), (5, None)]
+    token_files.write(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/t")
+    stream = []
+    for file in sorted(tmp_path.glob("t/part-*.parquet")):
+        for tokens in pq.read_table(file).column("tokens").to_pylist():
+            stream += tokens
+    for r in token_files.read(spark, f"{tmp_path}/t").collect():
+        ids = np.array(stream[r.start : r.start + r.n_tokens], "<u4")
+        assert zlib.crc32(ids.tobytes()) == r.ids_crc32 and ids[-1] == 2
 
 
 def test_pieces_are_the_librarys(noise):
