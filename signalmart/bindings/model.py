@@ -73,14 +73,14 @@ class Model:
 
     @cached_property
     def subscribers(self) -> DataFrame:
-        """Nine of ten customers; references to the tenth are unknown subscribers."""
+        """All customers; every tenth has another id, so references to the old one are unknown subscribers."""
         key = F.col("c_custkey")
+        subscriber = key + F.when(key % 10 == 0, 1_000_000_000).otherwise(0)
         return (
             self.source("customer")
-            .where(key % 10 != 0)
             .select(
-                key.alias("subscriber_key"),
-                key.alias("subscriber_id"),
+                subscriber.alias("subscriber_key"),
+                subscriber.alias("subscriber_id"),
                 _msisdn(key).alias("msisdn"),
                 _pick(catalog.PLANS, key % 3).alias("plan"),
                 _pick(catalog.PROVINCES, F.col("c_nationkey") % 9).alias("province"),
@@ -333,7 +333,7 @@ class Model:
             "voice_call": [
                 ("caller_id", number("caller_id")),
                 ("receiver_msisdn", text(broken(8, "0821234567", F.col("receiver_msisdn")))),
-                ("duration_seconds", broken(4, "-5", number("duration_seconds"))),
+                ("duration_seconds", broken(4, "-5", broken(18, "21601", number("duration_seconds")))),
                 ("tower_id", text(broken(6, "NO-TOWER", F.col("tower_id")))),
                 ("dropped", F.col("dropped").cast("string")),
             ],
@@ -344,8 +344,8 @@ class Model:
             ],
             "data_usage": [
                 ("subscriber_id", number("subscriber_id")),
-                ("mb_used", broken(4, "0", megabytes)),
-                ("session_seconds", broken(8, "0", number("session_seconds"))),
+                ("mb_used", broken(4, "0", broken(18, "10240.5", megabytes))),
+                ("session_seconds", broken(8, "0", broken(19, "3000000000", number("session_seconds")))),
                 ("tower_id", text(F.col("tower_id"))),
                 ("technology", text(broken(6, "9G", F.col("technology")))),
             ],
@@ -353,14 +353,16 @@ class Model:
                 ("tower_id", text(F.col("tower_id"))),
                 ("technology", text(F.col("technology"))),
                 ("signal_strength", broken(4, "250", number("signal_strength"))),
-                ("connected_devices", broken(8, "-1", number("connected_devices"))),
+                ("connected_devices", broken(8, "-1", broken(19, "5000000000", number("connected_devices")))),
                 ("status", text(broken(6, "ON_FIRE", F.col("status")))),
             ],
         }
 
         def body(pairs: list[tuple[str, Column]]) -> Column:
-            parts = []
-            for name, value in pairs:
+            """The payload; label 16 has a null for its first field, label 17 lacks it."""
+            (first, value), *rest = pairs
+            parts = [broken(17, "", F.concat(F.lit(f',"{first}":'), broken(16, "null", value)))]
+            for name, value in rest:
                 parts += [F.lit(f',"{name}":'), value]
             return F.concat(*parts)
 
@@ -372,21 +374,20 @@ class Model:
                 else payload.when(kind == name, body(pairs))
             )
         version = (
-            F.when(fault == 1, "")
+            F.when(fault.isin(1, 12), "")
             .when(fault == 2, ',"schema_version":"one"')
             .otherwise(',"schema_version":1')
         )
         whole = F.concat(
-            F.lit('{"event_id":"'),
-            broken(11, "not-a-uuid", F.col("event_id")),
-            F.lit('","event_type":"'),
+            F.lit("{"),
+            broken(14, "", F.concat(F.lit('"event_id":"'), broken(11, "not-a-uuid", F.col("event_id")), F.lit('",'))),
+            F.lit('"event_type":"'),
             kind,
-            F.lit('","timestamp":"'),
-            broken(5, late, F.col("timestamp")),
-            F.lit('"'),
+            F.lit('","timestamp":'),
+            broken(13, "5", text(broken(5, late, F.col("timestamp")))),
             version,
             payload,
-            F.when(fault == 3, ',"discount":10').otherwise(""),
+            F.when(fault.isin(3, 12), ',"discount":10').when(fault == 15, ',"zeta":1,"alpha":null').otherwise(""),
             F.when(fault == 0, "").when(fault == 9, "} x").otherwise("}"),
         )
         # Label 7 is sent twice; the copy arrives later under another offset.
@@ -405,7 +406,9 @@ class Model:
         )
 
     def _subscriber_records(self) -> DataFrame:
+        """Registrations; of every twenty one breaks each of the rules, and one breaks all of them."""
         key = F.col("subscriber_id")
+        fault = key % 20
         return self.subscribers.select(
             F.lit("subscriber-created").alias("topic"),
             (key % 3).cast("int").alias("partition"),
@@ -418,11 +421,11 @@ class Model:
                 F.lit('","schema_version":1,"subscriber_id":'),
                 key.cast("string"),
                 F.lit(',"msisdn":"'),
-                F.col("msisdn"),
+                F.when(fault.isin(1, 4), "0821234567").otherwise(F.col("msisdn")),
                 F.lit('","plan":"'),
-                F.col("plan"),
+                F.when(fault.isin(2, 4), "Free").otherwise(F.col("plan")),
                 F.lit('","province":"'),
-                F.col("province"),
+                F.when(fault.isin(3, 4), "Atlantis").otherwise(F.col("province")),
                 F.lit('"}'),
             ).alias("raw"),
         )
@@ -465,3 +468,38 @@ class Model:
             head.alias("latest_offset"),
             (head - n % 7).alias("committed_offset"),
         )
+
+    # --- Times in every form -------------------------------------------------------------------
+
+    @cached_property
+    def timestamps(self) -> DataFrame:
+        """The time of every event, written in one of the forms by its number."""
+        t, n = F.col("ts"), F.col("event_id")
+        day, basic = F.date_format(t, "yyyy-MM-dd"), F.date_format(t, "yyyyMMdd")
+        clock, tight = F.date_format(t, "HH:mm:ss"), F.date_format(t, "HHmmss")
+        hour, minute = F.date_format(t, "HH"), F.date_format(t, "HH:mm")
+        micros = F.date_format(t, "SSSSSS")
+        year, week = F.expr("CAST(extract(YEAROFWEEK FROM ts) AS STRING)"), F.lpad(F.weekofyear(t).cast("string"), 2, "0")
+        weekday = (F.weekday(t) + 1).cast("string")
+        join = F.concat
+        lit = F.lit
+        forms = [
+            join(day, lit("T"), clock, lit("."), micros, lit("Z")), join(basic, lit("T"), tight, lit("Z")),
+            join(basic, lit("T"), tight, lit(","), micros), join(day, lit("T"), hour), join(day, lit("T"), minute),
+            join(day, lit("t"), clock), join(day, lit("_"), clock, lit("+00")), join(basic, lit(" "), F.date_format(t, "HHmm")),
+            day, basic,
+            join(year, lit("-W"), week, lit("-"), weekday, lit("T"), clock, lit("Z")),
+            join(year, lit("W"), week, weekday, lit("T"), tight), join(year, lit("-W"), week), join(year, lit("W"), week),
+            join(day, lit("T"), clock, lit("+05:30")), join(day, lit("T"), clock, lit("-0330")),
+            join(day, lit("T"), clock, lit("+05:30:15")), join(day, lit("T"), clock, lit("-23:59:59.5")),
+            join(day, lit("T"), clock, lit(" +02:00")),
+            # None of these is a time.
+            join(day, lit("T")), join(day, lit("T"), clock, lit("+24:00")), join(day, lit("T"), hour, lit(":60")),
+            join(day, lit("T24:00")), join(F.substring(day, 1, 7)), join(year, lit("-W54-1")),
+            join(year, lit("-W"), week, lit("-8")), join(day, lit("T"), clock, lit("z")), join(day, lit("T"), clock, lit("Z ")),
+            join(F.substring(day, 1, 8), lit("32")), lit(""),
+        ]
+        form = n % len(forms)
+        return self.source("events").select(
+            n.alias("offset"), form.cast("int").alias("form"), F.element_at(F.array(*forms), (form + 1).cast("int")).alias("text")
+        )

@@ -36,13 +36,14 @@ _TOPIC_CASE = "CASE kind " + " ".join(
 VIEWS = {
     "clock": "SELECT max(ts) AS as_of FROM events",
     "subs": f"""
-        SELECT c_custkey AS subscriber_key, c_custkey AS subscriber_id,
+        SELECT c_custkey + CASE WHEN c_custkey % 10 = 0 THEN 1000000000 ELSE 0 END AS subscriber_key,
+               c_custkey + CASE WHEN c_custkey % 10 = 0 THEN 1000000000 ELSE 0 END AS subscriber_id,
                {_msisdn("c_custkey")} AS msisdn,
                {_list(catalog.PLANS)}[c_custkey % 3 + 1] AS plan,
                {_list(catalog.PROVINCES)}[c_nationkey % 9 + 1] AS province,
                TIMESTAMP '2024-01-01' + to_minutes(c_custkey % 40000) AS created_at,
                c_acctbal >= 0 AS is_active
-        FROM customer WHERE c_custkey % 10 <> 0""",
+        FROM customer""",
     "towers": f"""
         SELECT s_suppkey AS tower_key, s_name AS tower_id,
                'Tower ' || CAST(s_suppkey AS VARCHAR) AS tower_name,
@@ -145,28 +146,28 @@ VIEWS = {
     "body": """
         SELECT e.*, n % 50 AS fault, b.price,
           CASE kind
-          WHEN 'airtime_purchase' THEN ',"subscriber_id":' || user_id || ',"amount":'
+          WHEN 'airtime_purchase' THEN CASE n % 50 WHEN 17 THEN '' ELSE ',"subscriber_id":' || CASE n % 50 WHEN 16 THEN 'null' ELSE CAST(user_id AS VARCHAR) END END || ',"amount":'
             || CASE n % 50 WHEN 4 THEN '-50.00' WHEN 8 THEN '5000.00' ELSE CAST(money AS VARCHAR) END
             || ',"payment_method":"' || CASE n % 50 WHEN 6 THEN 'Cash' ELSE method END || '"'
-          WHEN 'bundle_purchase' THEN ',"subscriber_id":'
-            || CASE n % 50 WHEN 8 THEN 'true' ELSE CAST(user_id AS VARCHAR) END || ',"bundle_code":"'
+          WHEN 'bundle_purchase' THEN CASE n % 50 WHEN 17 THEN '' ELSE ',"subscriber_id":' || CASE n % 50 WHEN 16 THEN 'null' ELSE CASE n % 50 WHEN 8 THEN 'true' ELSE CAST(user_id AS VARCHAR) END END END
+            || ',"bundle_code":"'
             || CASE n % 50 WHEN 6 THEN 'NO-BUNDLE' ELSE bundle_code END || '","price":'
             || CAST(CASE n % 50 WHEN 4 THEN b.price + 1 ELSE b.price END AS VARCHAR)
-          WHEN 'voice_call' THEN ',"caller_id":' || user_id || ',"receiver_msisdn":"'
+          WHEN 'voice_call' THEN CASE n % 50 WHEN 17 THEN '' ELSE ',"caller_id":' || CASE n % 50 WHEN 16 THEN 'null' ELSE CAST(user_id AS VARCHAR) END END || ',"receiver_msisdn":"'
             || CASE n % 50 WHEN 8 THEN '0821234567' ELSE receiver END || '","duration_seconds":'
-            || CASE n % 50 WHEN 4 THEN '-5' ELSE CAST(ticks AS VARCHAR) END || ',"tower_id":"'
+            || CASE n % 50 WHEN 4 THEN '-5' WHEN 18 THEN '21601' ELSE CAST(ticks AS VARCHAR) END || ',"tower_id":"'
             || CASE n % 50 WHEN 6 THEN 'NO-TOWER' ELSE tower_id END || '","dropped":'
             || CASE WHEN n % 33 = 0 THEN 'true' ELSE 'false' END
-          WHEN 'sms' THEN ',"sender_id":' || user_id || ',"receiver_msisdn":"'
+          WHEN 'sms' THEN CASE n % 50 WHEN 17 THEN '' ELSE ',"sender_id":' || CASE n % 50 WHEN 16 THEN 'null' ELSE CAST(user_id AS VARCHAR) END END || ',"receiver_msisdn":"'
             || CASE n % 50 WHEN 8 THEN '0821234567' ELSE receiver END || '","length":'
             || CASE n % 50 WHEN 4 THEN '0' WHEN 6 THEN '5000' ELSE CAST(n % 320 + 1 AS VARCHAR) END
-          WHEN 'data_usage' THEN ',"subscriber_id":' || user_id || ',"mb_used":'
-            || CASE n % 50 WHEN 4 THEN '0' ELSE CAST(money AS VARCHAR) END || ',"session_seconds":'
-            || CASE n % 50 WHEN 8 THEN '0' ELSE CAST(n % 7200 + 10 AS VARCHAR) END || ',"tower_id":"'
+          WHEN 'data_usage' THEN CASE n % 50 WHEN 17 THEN '' ELSE ',"subscriber_id":' || CASE n % 50 WHEN 16 THEN 'null' ELSE CAST(user_id AS VARCHAR) END END || ',"mb_used":'
+            || CASE n % 50 WHEN 4 THEN '0' WHEN 18 THEN '10240.5' ELSE CAST(money AS VARCHAR) END || ',"session_seconds":'
+            || CASE n % 50 WHEN 8 THEN '0' WHEN 19 THEN '3000000000' ELSE CAST(n % 7200 + 10 AS VARCHAR) END || ',"tower_id":"'
             || tower_id || '","technology":"' || CASE n % 50 WHEN 6 THEN '9G' ELSE tech END || '"'
-          WHEN 'tower_status' THEN ',"tower_id":"' || tower_id || '","technology":"' || tech
+          WHEN 'tower_status' THEN CASE n % 50 WHEN 17 THEN '' ELSE ',"tower_id":' || CASE n % 50 WHEN 16 THEN 'null' ELSE '"' || tower_id || '"' END END || ',"technology":"' || tech
             || '","signal_strength":' || CASE n % 50 WHEN 4 THEN '250' ELSE CAST(sig AS VARCHAR) END
-            || ',"connected_devices":' || CASE n % 50 WHEN 8 THEN '-1' ELSE CAST(n % 5000 AS VARCHAR) END
+            || ',"connected_devices":' || CASE n % 50 WHEN 8 THEN '-1' WHEN 19 THEN '5000000000' ELSE CAST(n % 5000 AS VARCHAR) END
             || ',"status":"' || CASE WHEN n % 50 = 6 THEN 'ON_FIRE' WHEN sig < 45 THEN 'DOWN'
                  WHEN sig < 60 THEN 'DEGRADED' ELSE 'HEALTHY' END || '"'
           END AS payload
@@ -175,24 +176,27 @@ VIEWS = {
         SELECT topic, kind, CAST(n % 3 AS INTEGER) AS part, n AS off, fault, user_id AS subject,
                uid, ts, money, ticks, n, price, sig,
                CASE fault WHEN 10 THEN '[1,2]' ELSE
-                 '{{"event_id":"' || CASE fault WHEN 11 THEN 'not-a-uuid' ELSE uid END
-                 || '","event_type":"' || kind || '","timestamp":"'
-                 || CASE fault WHEN 5 THEN late ELSE wire END || '"'
-                 || CASE fault WHEN 1 THEN '' WHEN 2 THEN ',"schema_version":"one"'
+                 '{{' || CASE fault WHEN 14 THEN '' WHEN 11 THEN '"event_id":"not-a-uuid",'
+                    ELSE '"event_id":"' || uid || '",' END
+                 || '"event_type":"' || kind || '","timestamp":'
+                 || CASE fault WHEN 13 THEN '5' WHEN 5 THEN '"' || late || '"' ELSE '"' || wire || '"' END
+                 || CASE fault WHEN 1 THEN '' WHEN 12 THEN '' WHEN 2 THEN ',"schema_version":"one"'
                     ELSE ',"schema_version":1' END
-                 || payload || CASE fault WHEN 3 THEN ',"discount":10' ELSE '' END
+                 || payload || CASE fault WHEN 3 THEN ',"discount":10' WHEN 12 THEN ',"discount":10'
+                    WHEN 15 THEN ',"zeta":1,"alpha":null' ELSE '' END
                  || CASE fault WHEN 0 THEN '' WHEN 9 THEN '}} x' ELSE '}}' END
                END AS raw
         FROM body, late
         UNION ALL
         SELECT 'subscriber-created', 'subscriber_created', CAST(subscriber_id % 3 AS INTEGER),
-               subscriber_id, -1, subscriber_id, {_uuid("'S' || subscriber_id")}, created_at,
+               subscriber_id, 100 + subscriber_id % 20, subscriber_id, {_uuid("'S' || subscriber_id")}, created_at,
                1, 1, subscriber_id, 1, 0,
                '{{"event_id":"' || {_uuid("'S' || subscriber_id")}
                || '","event_type":"subscriber_created","timestamp":"'
                || strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') || '","schema_version":1,"subscriber_id":'
-               || subscriber_id || ',"msisdn":"' || msisdn || '","plan":"' || plan
-               || '","province":"' || province || '"}}'
+               || subscriber_id || ',"msisdn":"' || CASE WHEN subscriber_id % 20 IN (1, 4) THEN '0821234567' ELSE msisdn END
+               || '","plan":"' || CASE WHEN subscriber_id % 20 IN (2, 4) THEN 'Free' ELSE plan END
+               || '","province":"' || CASE WHEN subscriber_id % 20 IN (3, 4) THEN 'Atlantis' ELSE province END || '"}}'
         FROM subs""",
     "raws": """
         SELECT * FROM sent
@@ -206,6 +210,14 @@ VIEWS = {
           WHEN 3 THEN 'SCHEMA_VIOLATION:unexpected:discount'
           WHEN 10 THEN 'SCHEMA_VIOLATION:not_an_object'
           WHEN 11 THEN 'SCHEMA_VIOLATION:format:event_id'
+          WHEN 12 THEN 'SCHEMA_VIOLATION:missing:schema_version,unexpected:discount'
+          WHEN 13 THEN 'SCHEMA_VIOLATION:type:timestamp'
+          WHEN 14 THEN 'SCHEMA_VIOLATION:missing:event_id'
+          WHEN 15 THEN 'SCHEMA_VIOLATION:unexpected:zeta,unexpected:alpha'
+          WHEN 16 THEN 'SCHEMA_VIOLATION:type:' || CASE kind WHEN 'voice_call' THEN 'caller_id' WHEN 'sms' THEN 'sender_id'
+            WHEN 'tower_status' THEN 'tower_id' ELSE 'subscriber_id' END
+          WHEN 17 THEN 'SCHEMA_VIOLATION:missing:' || CASE kind WHEN 'voice_call' THEN 'caller_id'
+            WHEN 'sms' THEN 'sender_id' WHEN 'tower_status' THEN 'tower_id' ELSE 'subscriber_id' END
           WHEN 8 THEN CASE kind WHEN 'bundle_purchase' THEN 'SCHEMA_VIOLATION:type:subscriber_id' END
           END AS structural,
           list_filter([
@@ -215,11 +227,15 @@ VIEWS = {
             CASE WHEN kind = 'airtime_purchase' AND fault = 6 THEN 'payment_method_known' END,
             CASE WHEN kind = 'bundle_purchase' AND fault = 6 THEN 'bundle_exists' END,
             CASE WHEN kind = 'bundle_purchase' AND fault IN (4, 6) THEN 'price_matches_catalog' END,
-            CASE WHEN kind = 'voice_call' AND (fault = 4 OR ticks < 0) THEN 'duration_not_negative' END,
-            CASE WHEN kind = 'voice_call' AND fault <> 4 AND ticks > 21600 THEN 'duration_within_limit' END,
+            CASE WHEN kind = 'subscriber_created' AND fault IN (101, 104) THEN 'msisdn_format' END,
+            CASE WHEN kind = 'subscriber_created' AND fault IN (102, 104) THEN 'plan_known' END,
+            CASE WHEN kind = 'subscriber_created' AND fault IN (103, 104) THEN 'province_known' END,
+            CASE WHEN kind = 'voice_call' AND (fault = 4 OR (fault <> 18 AND ticks < 0)) THEN 'duration_not_negative' END,
+            CASE WHEN kind = 'voice_call' AND (fault = 18 OR (fault <> 4 AND ticks > 21600)) THEN 'duration_within_limit' END,
             CASE WHEN kind = 'sms' AND fault = 4 THEN 'length_positive' END,
             CASE WHEN kind = 'sms' AND fault = 6 THEN 'length_within_limit' END,
-            CASE WHEN kind = 'data_usage' AND (fault = 4 OR money <= 0) THEN 'volume_positive' END,
+            CASE WHEN kind = 'data_usage' AND (fault = 4 OR (fault <> 18 AND money <= 0)) THEN 'volume_positive' END,
+            CASE WHEN kind = 'data_usage' AND fault = 18 THEN 'volume_within_limit' END,
             CASE WHEN kind = 'data_usage' AND fault = 8 THEN 'session_positive' END,
             CASE WHEN kind = 'tower_status' AND fault = 4 THEN 'signal_in_range' END,
             CASE WHEN kind = 'tower_status' AND fault = 8 THEN 'devices_not_negative' END,
@@ -230,7 +246,8 @@ VIEWS = {
           ], lambda x: x IS NOT NULL) AS broken
         FROM raws""",
     "verdict": """
-        SELECT *, coalesce(structural, 'RULE_VIOLATION:' || broken[1]) AS reason FROM labelled""",
+        SELECT *, coalesce(split_part(structural, ',', 1), 'RULE_VIOLATION:' || broken[1]) AS reason
+        FROM labelled""",
     "ok_events": """
         SELECT * FROM verdict WHERE reason IS NULL
         QUALIFY row_number() OVER (PARTITION BY topic, uid ORDER BY part, off) = 1""",
@@ -268,6 +285,35 @@ VIEWS = {
     "rate_series": "SELECT minute, sum(messages) AS messages FROM rates GROUP BY minute",
 }
 
+VIEWS["dense_series"] = """
+    SELECT minute, coalesce(messages, 0) AS messages FROM (
+        SELECT unnest(generate_series((SELECT min(minute) FROM rate_series),
+            (SELECT date_trunc('minute', as_of) FROM clock), INTERVAL 1 MINUTE)) AS minute)
+    LEFT JOIN rate_series USING (minute)"""
+
+
+def _time(pattern: str) -> str:
+    return f"strftime(ts, '{pattern}')"
+
+
+_NO_TIME = "NULL::TIMESTAMP"
+# What is written, and the instant that it names: s, m, h, d and w are the time cut to second, minute and so on.
+_FORMS = (
+    (_time("%Y-%m-%dT%H:%M:%S.%fZ"), "ts"), (_time("%Y%m%dT%H%M%SZ"), "s"), (_time("%Y%m%dT%H%M%S,%f"), "ts"),
+    (_time("%Y-%m-%dT%H"), "h"), (_time("%Y-%m-%dT%H:%M"), "m"), (_time("%Y-%m-%dt%H:%M:%S"), "s"),
+    (_time("%Y-%m-%d_%H:%M:%S+00"), "s"), (_time("%Y%m%d %H%M"), "m"), (_time("%Y-%m-%d"), "d"), (_time("%Y%m%d"), "d"),
+    (_time("%G-W%V-%uT%H:%M:%SZ"), "s"), (_time("%GW%V%uT%H%M%S"), "s"), (_time("%G-W%V"), "w"), (_time("%GW%V"), "w"),
+    (_time("%Y-%m-%dT%H:%M:%S+05:30"), "s - INTERVAL 330 MINUTE"), (_time("%Y-%m-%dT%H:%M:%S-0330"), "s + INTERVAL 210 MINUTE"),
+    (_time("%Y-%m-%dT%H:%M:%S+05:30:15"), "s - INTERVAL 19815 SECOND"),
+    (_time("%Y-%m-%dT%H:%M:%S-23:59:59.5"), "s + INTERVAL 86399500 MILLISECOND"),
+    (_time("%Y-%m-%dT%H:%M:%S +02:00"), "s - INTERVAL 2 HOUR"),
+    *((text, _NO_TIME) for text in (
+        _time("%Y-%m-%dT"), _time("%Y-%m-%dT%H:%M:%S+24:00"), _time("%Y-%m-%dT%H:60"), _time("%Y-%m-%dT24:00"),
+        _time("%Y-%m"), _time("%G-W54-1"), _time("%G-W%V-8"), _time("%Y-%m-%dT%H:%M:%Sz"),
+        _time("%Y-%m-%dT%H:%M:%SZ "), _time("%Y-%m-32"), "''",
+    )),
+)
+
 _TILE = "(SELECT as_of - INTERVAL 24 HOUR FROM clock)"
 _RANGE = "(SELECT as_of - INTERVAL 30 DAY FROM clock) AND (SELECT as_of FROM clock)"
 
@@ -387,7 +433,7 @@ def _registration_contract() -> list[str]:
     kind = "subscriber_created"
     view = f"(SELECT uid AS event_id, kind AS event_type, ts, subscriber_id, msisdn, plan, province," \
            f" 1 AS schema_version, ts AS timestamp FROM sent JOIN subs ON subscriber_id = subject" \
-           f" WHERE kind = '{kind}')"
+           f" WHERE kind = '{kind}' AND fault NOT IN (101, 102, 103, 104))"
     names = "event_id event_type timestamp schema_version subscriber_id msisdn plan province".split()
     skew = "(SELECT as_of + INTERVAL 30 SECOND FROM clock)"
     checks = [
@@ -404,6 +450,20 @@ def _registration_contract() -> list[str]:
     return rows + [_value(kind, view, name, column, bad) for name, column, bad in checks]
 
 
+_DEAD_CONTRACT = [
+    *[
+        _value("dlq_record", "(SELECT *, topic AS source_topic, reason AS rejection_reason, raw AS original_payload FROM dlq)",
+               "not_null", column, "false")
+        for column in ("event_id", "event_type", "timestamp", "schema_version", "source_topic", "rejection_reason",
+                       "original_payload")
+    ],
+    *[
+        _check("dlq_record", "dlq", name, column, "count(*)", "0")
+        for name, column in (("matches", "event_id"), ("in_set", "event_type"), ("timestamp_valid", "timestamp"),
+                             ("at_least", "schema_version"))
+    ],
+]
+
 _OK_NUMBER = ("matches", "receiver_msisdn", f"NOT regexp_matches(receiver_msisdn, {_MSISDN_RE})")
 _OK_TOWER = ("references", "tower_id", "tower_id NOT IN (SELECT tower_id FROM towers)")
 _CONTRACTS = _report(
@@ -444,6 +504,7 @@ _CONTRACTS = _report(
         ("at_least", "connected_devices", "connected_devices < 0"),
         ("in_set", "status", "false"),
     ])
+    + _DEAD_CONTRACT
 )
 
 _REQUIRED = {
@@ -507,23 +568,33 @@ _BUNDLE_ROWS = ", ".join(
     for i, b in enumerate(catalog.BUNDLES, 1)
 )
 
-# Registrations from orders: first per subscriber, then first per number.
-VIEWS["first_orders"] = """
+# Registrations from orders in three batches: the first claim of a number wins, and every batch rejects the
+# first event of an id that lost its number.
+VIEWS["orders_in"] = """
     SELECT o_custkey AS subscriber_id, '27' || lpad(CAST(o_custkey // 2 AS VARCHAR), 9, '0') AS msisdn,
-           o_orderpriority AS plan, o_orderstatus AS province, o_orderdate AS created_at, o_orderkey AS off
-    FROM orders WHERE o_custkey NOT IN (SELECT subscriber_id FROM subs WHERE NOT is_active)
-    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1"""
+           o_orderpriority AS plan, o_orderstatus AS province, o_orderdate AS created_at, o_orderkey AS off,
+           floor(o_orderkey * 3::DOUBLE / (SELECT max(o_orderkey) + 1 FROM orders)) AS batch
+    FROM orders WHERE o_custkey NOT IN (SELECT subscriber_id FROM subs WHERE NOT is_active)"""
 VIEWS["claims"] = """
     SELECT *, row_number() OVER (PARTITION BY msisdn ORDER BY off) = 1
               AND msisdn NOT IN (SELECT msisdn FROM subs WHERE NOT is_active) AS wins
-    FROM first_orders"""
+    FROM orders_in"""
+
+# Stored table, its view, time and measure.
+_GROWN = (
+    ("fact_recharges", "recharges", "event_timestamp", "amount"),
+    ("fact_bundle_sales", "sales", "event_timestamp", "price"),
+    ("fact_calls", "calls", "event_timestamp", "duration_seconds"),
+    ("fact_sms", "texts", "event_timestamp", "length"),
+    ("fact_data_usage", "usage", "event_timestamp", "mb_used"),
+    ("dlq_records", "dead", "rejected_at", "0"),
+)
 
 _STRUCT_TAG = "replace(structural, 'SCHEMA_VIOLATION:', '')"
 
 SELECTS = {
-    "decode_raw": f"""SELECT topic, count(*) AS n_records, {_n("sum(length(raw))")} AS n_chars
-        FROM raws GROUP BY topic""",
-    "topic_event_type": "SELECT topic, kind AS event_type, count(*) AS n_records FROM raws GROUP BY ALL",
+    "decode_raw": 'SELECT topic, part AS "partition", off AS "offset", md5(raw) AS raw_md5 FROM raws',
+    "topic_event_type": 'SELECT topic, off AS "offset", kind AS event_type FROM raws',
     "seed_dims": f"""
         SELECT dimension, key, code, name, detail, coalesce(n_bound, 0) AS n_bound
         FROM (VALUES {_TOWER_ROWS}, {_BUNDLE_ROWS}) v(dimension, key, code, name, detail)
@@ -532,20 +603,27 @@ SELECTS = {
                    UNION ALL SELECT 'bundle', p_partkey % 8 + 1, count(*) FROM part GROUP BY ALL)
         USING (dimension, key)""",
     "dim_date": "SELECT * FROM days",
-    "lake_replay": """SELECT kind AS event_type, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_events
-        FROM ok_events WHERE ts > (SELECT as_of - INTERVAL 30 DAY FROM clock) GROUP BY ALL""",
+    "lake_replay": """SELECT kind AS event_type, strftime(ts, '%Y-%m-%d') AS date, uid AS event_id
+        FROM ok_events WHERE ts >= (SELECT date_trunc('day', as_of) - INTERVAL 30 DAY FROM clock)""",
     "lake_rows": """SELECT uid AS event_id, kind AS event_type,
             strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, CAST(1 AS BIGINT) AS schema_version,
             subject AS subscriber_id, CAST(money AS DOUBLE) AS amount,
             ['Voucher', 'Card', 'EFT', 'USSD'][n % 4 + 1] AS payment_method,
             strftime(ts, '%Y-%m-%d') AS date
         FROM ok_events WHERE kind = 'airtime_purchase'""",
-    "fact_insert_if_absent": f"""
-        SELECT event_id, subscriber_key, event_timestamp, {_d("amount")} AS amount, payment_method, date_key
-        FROM recharges WHERE event_timestamp >= (SELECT as_of - INTERVAL 10 DAY FROM clock)""",
-    "dim_subscriber_upsert": """SELECT subscriber_id, msisdn, plan, province, created_at,
-            CASE WHEN wins THEN 'inserted' ELSE 'REFERENTIAL:msisdn_duplicate' END AS outcome
-        FROM claims""",
+    "fact_insert_if_absent": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, event_id, {ts} AS event_timestamp, date_key, {_d(m)} AS measure FROM {alias}"
+        for table, alias, ts, m in _GROWN),
+    "compaction": " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, date_key, count(*) AS n_rows, count(DISTINCT event_id) AS n_ids,
+            round({_d(f"sum({_d(m)})")}, 2) AS measure FROM {alias} GROUP BY date_key"""
+        for table, alias, ts, m in _GROWN),
+    "dim_subscriber_upsert": """
+        SELECT subscriber_id, msisdn, plan, province, created_at, 'stored' AS outcome FROM subs WHERE NOT is_active
+        UNION ALL SELECT subscriber_id, msisdn, plan, province, created_at, 'inserted' FROM claims WHERE wins
+        UNION ALL SELECT subscriber_id, msisdn, plan, province, created_at, 'REFERENTIAL:msisdn_duplicate' FROM (
+            SELECT * FROM claims WHERE subscriber_id NOT IN (SELECT subscriber_id FROM claims WHERE wins)
+            QUALIFY row_number() OVER (PARTITION BY subscriber_id, batch ORDER BY off) = 1)""",
     "tower_status_current": "SELECT * FROM state",
     "dlq_to_json": """SELECT 'failed-transactions' AS topic, part AS "partition", off AS "offset",
             CAST(json_object('event_id', dlq_id, 'event_type', 'dlq_record',
@@ -556,16 +634,21 @@ SELECTS = {
     "dlq_records": f"""SELECT DISTINCT dlq_id AS event_id, topic AS source_topic,
             reason AS rejection_reason, raw AS original_payload, {_key("as_of")} AS date_key
         FROM dlq, clock""",
-    "rollup_refresh": f"""SELECT minute, province, revenue_type, {_d("total_amount")} AS total_amount,
-            txn_count, {_key("minute")} AS date_key
-        FROM agg_revenue WHERE {_key("minute")} IN (
-            SELECT date_key FROM recharges WHERE event_timestamp > {_TILE}
-            UNION SELECT date_key FROM sales WHERE event_timestamp > {_TILE})""",
+    "rollup_refresh": " UNION ALL ".join(
+        f"""SELECT '{name}' AS rollup, minute, {_key("minute")} AS date_key, {key} AS key,
+            {" || ' ' || ".join(f"format('{{:,.2f}}', {_d(c)})" for c in sums)} AS sums FROM {alias}"""
+        for name, alias, key, sums in (
+            ("agg_revenue_minute", "agg_revenue", "province || '|' || revenue_type", ("total_amount", "txn_count")),
+            ("agg_calls_minute", "agg_calls", "tower_key::VARCHAR",
+             ("call_count", "dropped_count", "total_duration")),
+            ("agg_data_minute", "agg_data", "tower_key || '|' || technology", ("total_mb", "session_count")),
+            ("agg_dlq_minute", "agg_dlq", "source_topic || '|' || rejection_reason", ("record_count",)),
+        )),
     "rollup_dlq_minute": f"SELECT *, {_key('minute')} AS date_key FROM agg_dlq",
     "affected_minutes": """SELECT date_trunc('minute', min(ts)) AS lo, date_trunc('minute', max(ts)) AS hi,
             date_trunc('minute', max(ts)) + INTERVAL 1 MINUTE AS hi_next FROM ok_events""",
-    "parse_verdict": """SELECT topic, coalesce(structural <> 'PARSE_ERROR', true) AS parsed,
-            count(*) AS n_records FROM labelled GROUP BY ALL""",
+    "parse_verdict": """SELECT topic, off AS "offset", coalesce(structural <> 'PARSE_ERROR', true) AS parsed
+        FROM labelled""",
     "schema_verdict": f"""SELECT topic, off AS "offset",
             CASE WHEN structural = 'PARSE_ERROR' THEN 'unparsed'
                  ELSE coalesce({_STRUCT_TAG}, '') END AS violations
@@ -578,10 +661,16 @@ SELECTS = {
             CASE WHEN kind IN ('tower_status', 'subscriber_created') THEN -1 ELSE subject END AS subject_id,
             CAST(CASE kind WHEN 'airtime_purchase' THEN money WHEN 'data_usage' THEN money
                  WHEN 'bundle_purchase' THEN price WHEN 'voice_call' THEN ticks
-                 WHEN 'sms' THEN n % 320 + 1 WHEN 'tower_status' THEN sig ELSE 0 END AS DOUBLE) AS measure
+                 WHEN 'sms' THEN n % 320 + 1 WHEN 'tower_status' THEN sig ELSE 0 END AS DOUBLE) AS measure,
+            CAST(CASE WHEN kind = 'data_usage' THEN CASE fault WHEN 19 THEN 3000000000 ELSE n % 7200 + 10 END
+                 WHEN kind = 'tower_status' THEN CASE fault WHEN 19 THEN 5000000000 ELSE n % 5000 END
+                 ELSE 0 END AS BIGINT) AS detail
         FROM verdict WHERE reason IS NULL""",
-    "batch_counts": """SELECT kind AS event_type, reason IS NULL AS accepted, count(*) AS n_records
-        FROM verdict GROUP BY ALL""",
+    # From the labels: dead letters are faults and unknown subjects, a repeated event is neither.
+    "batch_counts": """SELECT event_type, accepted, count(*) AS n_records FROM (
+            SELECT kind AS event_type, kind IN ('tower_status', 'subscriber_created')
+                OR subject IN (SELECT subscriber_id FROM subs) AS accepted FROM ok_events
+            UNION ALL SELECT kind, false FROM verdict WHERE reason IS NOT NULL) GROUP BY ALL""",
     "contract_check": _CONTRACTS,
     "dedupe_first": f"""SELECT event_id, event_timestamp, bundle_code, {_d("price")} AS price, l_suppkey
         FROM first_lines""",
@@ -591,8 +680,14 @@ SELECTS = {
             CAST(1 AS BIGINT) AS schema_version, topic AS source_topic, reason AS rejection_reason,
             raw AS original_payload, part AS "partition", off AS "offset"
         FROM dlq, clock""",
-    "dlq_intake": """SELECT 'failed-transactions' AS topic, false AS skipped, count(*) AS n_records FROM dlq
-        UNION ALL SELECT topic, true, count(*) FROM raws GROUP BY topic""",
+    "dlq_intake": """SELECT 'failed-transactions' AS topic, off AS "offset", dlq_id AS event_id, false AS skipped FROM dlq
+        UNION ALL SELECT topic, off, NULL, true FROM raws""",
+    # An event lacks what only a dead letter has, unless something before it in the contract is wrong.
+    "dlq_skipped": """SELECT topic, part AS "partition", off AS "offset", raw, CASE
+            WHEN structural = 'PARSE_ERROR' THEN 'PARSE_ERROR'
+            WHEN fault IN (1, 2, 10, 12, 13, 14) THEN replace(split_part(structural, ',', 1), 'SCHEMA_VIOLATION:', '')
+            ELSE 'missing:source_topic' END AS cause
+        FROM labelled""",
     "referential_rejects": """SELECT topic, part AS "partition", off AS "offset", raw,
             'REFERENTIAL:subscriber_unknown' AS reason
         FROM ok_events WHERE kind NOT IN ('tower_status', 'subscriber_created')
@@ -645,10 +740,16 @@ SELECTS = {
               AND CURRENT ROW) AS low FROM lag_series) w
         ASOF LEFT JOIN lag_series p ON w.minute - INTERVAL 5 MINUTE >= p.minute""",
     "alert_stalled": f"""SELECT w.minute, {_n("high")} AS highest_messages,
-            high = 0 AND coalesce(p.minute > w.minute - INTERVAL 10 MINUTE, false) AS firing
+            high = 0 AND w.minute - INTERVAL 5 MINUTE >= (SELECT min(minute) FROM rate_series) AS firing
         FROM (SELECT minute, max(messages) OVER (ORDER BY minute RANGE BETWEEN INTERVAL 9 MINUTE PRECEDING
-              AND CURRENT ROW) AS high FROM rate_series) w
-        ASOF LEFT JOIN rate_series p ON w.minute - INTERVAL 5 MINUTE >= p.minute""",
+              AND CURRENT ROW) AS high FROM dense_series) w""",
+    "timestamp_forms": f"""
+        SELECT n AS "offset", CAST(form AS INTEGER) AS form, CASE form
+            {" ".join(f"WHEN {i} THEN {text}" for i, (text, _) in enumerate(_FORMS))} END AS text,
+          CASE form {" ".join(f"WHEN {i} THEN {instant}" for i, (_, instant) in enumerate(_FORMS))} END AS instant
+        FROM (SELECT event_id AS n, ts, event_id % {len(_FORMS)} AS form,
+                date_trunc('second', ts) AS s, date_trunc('minute', ts) AS m, date_trunc('hour', ts) AS h,
+                date_trunc('day', ts) AS d, date_trunc('week', ts) AS w FROM events)""",
     # KPIs
     "kpi_active_subscribers": "SELECT count(*) AS subscribers FROM subs WHERE is_active",
     "kpi_revenue_last_hour": f"""SELECT {_d("coalesce(sum(total_amount), 0)")} AS revenue

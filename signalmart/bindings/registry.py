@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalmart import catalog
+from signalmart.bindings import history
 from signalmart.bindings.model import Model
 from signalmart.functions import times
 from signalmart.operators import deadletter, keys, metrics, quality, rollups, star, validate
@@ -51,16 +52,12 @@ def decode_raw(m: Model) -> DataFrame:
     records = m.raw.select(
         "topic", "partition", "offset", F.encode("raw", "utf-8").alias("value")
     )
-    return validate.decode(records).groupBy("topic").agg(
-        F.count("*").alias("n_records"), F.sum(F.length("raw")).cast("bigint").alias("n_chars")
-    )
+    return validate.decode(records).select("topic", "partition", "offset", F.md5("raw").alias("raw_md5"))
 
 
 @query
 def topic_event_type(m: Model) -> DataFrame:
-    return (
-        validate.with_event_type(m.raw).groupBy("topic", "event_type").agg(F.count("*").alias("n_records"))
-    )
+    return validate.with_event_type(m.raw).select("topic", "offset", "event_type")
 
 
 @query
@@ -98,11 +95,15 @@ def dim_date(m: Model) -> DataFrame:
 
 @query
 def lake_replay(m: Model) -> DataFrame:
-    """Rows per type and day after reading back validated events of the last 30 days once each."""
-    stored = lake.with_date(validate.accepted(m.validated))
-    recent = stored.where(F.col("event_timestamp") > m.as_of - F.make_dt_interval(days=F.lit(30)))
-    once = keys.first_per_key(recent, ["topic", "event_id"], keys.arrival_order())
-    return once.groupBy("event_type", "date").agg(F.count("*").alias("n_events"))
+    """Events of the last 30 days, each once, from a lake that two batches wrote and the second repeated."""
+    newest = m.spark.range(1).select(m.as_of.cast("date").alias("day"))
+    first, last = newest.select(F.date_sub("day", 30).cast("string"), F.col("day").cast("string")).first()
+    store = history.lakes(m)
+    days = [
+        lake.replay(store, kind, first, last).select(F.lit(kind).alias("event_type"), "date", "event_id")
+        for kind in catalog.EVENT_TYPES
+    ]
+    return reduce(DataFrame.unionByName, days)
 
 
 # --- Sinks -----------------------------------------------------------------------------------
@@ -115,43 +116,45 @@ def lake_rows(m: Model) -> DataFrame:
 
 @query
 def fact_insert_if_absent(m: Model) -> DataFrame:
-    """A full replay of the recharges against a store that holds all but the last ten days."""
-    facts = m.mart["fact_recharges"]
-    stored = facts.where(
-        F.col("event_timestamp") < m.as_of - F.make_dt_interval(days=F.lit(10))
-    )
-    return keys.insert_if_absent(facts, stored, "event_id")
+    """All facts and dead letters after batches that repeat each other's rows with other contents."""
+    store = history.mart(m)
+    tables = [
+        store.read(table).select(
+            F.lit(table).alias("table_name"), "event_id", F.col(column).alias("event_timestamp"), "date_key",
+            history.measure(table).alias("measure"),
+        )
+        for table, column in history.TIMES.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query
+def compaction(m: Model) -> DataFrame:
+    """Rows, ids and measures per table and day of a mart whose first batches have been merged."""
+    store = history.mart(m)
+    tables = [
+        store.read(table)
+        .groupBy(F.lit(table).alias("table_name"), "date_key")
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.countDistinct("event_id").alias("n_ids"),
+            F.round(F.sum(history.measure(table)), 2).alias("measure"),
+        )
+        for table in history.TIMES
+    ]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query
 def dim_subscriber_upsert(m: Model) -> DataFrame:
-    """Registrations from orders against the inactive half of the base; two ids share a number."""
-    orders = m.source("orders")
-    events = orders.select(
-        F.lit("subscriber_created").alias("event_type"),
-        F.lit("subscriber-created").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("o_orderkey").alias("offset"),
-        F.lit("{}").alias("raw"),
-        F.col("o_custkey").alias("subscriber_id"),
-        F.concat(
-            F.lit("27"), F.lpad(F.floor(F.col("o_custkey") / 2).cast("string"), 9, "0")
-        ).alias("msisdn"),
-        F.col("o_orderpriority").alias("plan"),
-        F.col("o_orderstatus").alias("province"),
-        F.col("o_orderdate").cast("timestamp").alias("event_timestamp"),
-    )
-    rows, rejects = star.new_subscribers(events, m.subscribers.where(~F.col("is_active")))
-    losers = rejects.join(
-        events.select("offset", "subscriber_id", "msisdn", "plan", "province", "event_timestamp"),
-        "offset",
-    )
+    """Registrations in three batches on top of the inactive half of the base; two ids share a number."""
+    store, rejects = history.registrations(m)
     columns = ["subscriber_id", "msisdn", "plan", "province"]
-    return rows.select(*columns, "created_at", F.lit("inserted").alias("outcome")).unionByName(
-        losers.select(
-            *columns, F.col("event_timestamp").alias("created_at"), F.col("reason").alias("outcome")
-        )
+    base = store.read("dim_subscriber").select(
+        *columns, "created_at", F.when(F.col("is_active"), "inserted").otherwise("stored").alias("outcome")
     )
+    lost = [r.select(*columns, F.col("event_timestamp").alias("created_at"), F.col("reason").alias("outcome")) for r in rejects]
+    return reduce(DataFrame.unionByName, lost, base)
 
 
 @query
@@ -173,12 +176,22 @@ def dlq_records(m: Model) -> DataFrame:
 
 @query
 def rollup_refresh(m: Model) -> DataFrame:
-    """Revenue rollup of the days the last 24 hours of facts touch."""
-    newest = {
-        name: times.since(m.mart[name], "event_timestamp", m.as_of, 24)
-        for name in ("fact_recharges", "fact_bundle_sales")
+    """All four rollups, folded from the partial sums of several batches and a late one."""
+    store = history.mart(m)
+    keys_of = {
+        "agg_revenue_minute": ("province", "revenue_type"), "agg_calls_minute": ("tower_key",),
+        "agg_data_minute": ("tower_key", "technology"), "agg_dlq_minute": ("source_topic", "rejection_reason"),
     }
-    return rollups.refresh("agg_revenue_minute", m.mart, newest)
+    parts = []
+    for name, key in keys_of.items():
+        sums = [F.col(c).cast("double") for c in rollups.SUMS[name]]
+        parts.append(
+            store.read(name).select(
+                F.lit(name).alias("rollup"), "minute", "date_key", F.concat_ws("|", *key).alias("key"),
+                F.array_join(F.transform(F.array(*sums), lambda x: F.format_number(x, 2)), " ").alias("sums"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -197,9 +210,7 @@ def affected_minutes(m: Model) -> DataFrame:
 @query
 def parse_verdict(m: Model) -> DataFrame:
     parsed = validate.parsed(validate.with_event_type(m.raw))
-    return parsed.groupBy("topic", F.col("document").isNotNull().alias("parsed")).agg(
-        F.count("*").alias("n_records")
-    )
+    return parsed.select("topic", "offset", F.col("document").isNotNull().alias("parsed"))
 
 
 @query
@@ -233,12 +244,15 @@ def typed_events(m: Model) -> DataFrame:
         "topic", "offset", "event_id", "event_type", "event_timestamp",
         F.coalesce(star.subject_of(F.col("event_type")), F.lit(-1)).alias("subject_id"),
         measure.alias("measure"),
+        F.coalesce("session_seconds", "connected_devices", F.lit(0)).alias("detail"),
     )
 
 
 @query
 def batch_counts(m: Model) -> DataFrame:
-    return validate.batch_counts(m.validated)
+    """Accepted: first of their id, of a known subscriber; rejected: all dead letters."""
+    resolved = m.resolved
+    return validate.batch_counts(resolved, m.rejects.unionByName(star.unknown_subscribers(resolved)))
 
 
 @query
@@ -251,9 +265,17 @@ def contract_check(m: Model) -> DataFrame:
             source = m.priced_events if event_type == "bundle_purchase" else m.events
         batch = validate.events_of(source, event_type)
         reports.append(quality.contract_check(event_type, batch, m.mart, m.as_of))
+    dead = m.envelopes.drop("partition", "offset")
+    reports.append(quality.contract_check(deadletter.RECORD_TYPE, dead, m.mart, m.as_of))
     return reduce(DataFrame.unionByName, reports)
 
 
+@query
+def timestamp_forms(m: Model) -> DataFrame:
+    """What is read from every form a time can be written in, and from forms that are none."""
+    return m.timestamps.select("offset", "form", "text", times.iso_timestamp(F.col("text")).alias("instant"))
+
+
 # --- Keys and dead letters -------------------------------------------------------------------
 
 
@@ -281,7 +303,14 @@ def dlq_intake(m: Model) -> DataFrame:
     """The raw stream itself misread as dead letters (all skipped) next to real ones (all taken)."""
     real = deadletter.to_broker(m.envelopes).withColumnRenamed("value", "raw")
     taken = deadletter.intake(real.unionByName(m.raw))
-    return taken.groupBy("topic", "skipped").agg(F.count("*").alias("n_records"))
+    known = F.when(~F.col("skipped"), F.col("event_id"))
+    return taken.select("topic", "offset", known.alias("event_id"), "skipped")
+
+
+@query
+def dlq_skipped(m: Model) -> DataFrame:
+    """The raw stream misread as dead letters: kept with its text and the cause."""
+    return deadletter.skipped(deadletter.intake(m.raw))
 
 
 @query
@@ -409,7 +438,7 @@ def alert_lag(m: Model) -> DataFrame:
 
 @query
 def alert_stalled(m: Model) -> DataFrame:
-    return metrics.stall_alert(m.metrics)
+    return metrics.stall_alert(m.metrics, m.as_of)
 
 
 # --- KPIs ------------------------------------------------------------------------------------

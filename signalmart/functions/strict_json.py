@@ -43,19 +43,19 @@ def with_document(df: DataFrame, raw: str = "raw", out: str = "document") -> Dat
     return fixed(df.withColumn("_boxed", boxed), out, document).drop("_boxed")
 
 
-def with_payload(df: DataFrame, event_types: tuple[str, ...], raw: str = "raw") -> DataFrame:
-    """Add one typed column per contract field; a field the record lacks is NULL.
+def with_payload(df: DataFrame, event_types: tuple[str, ...], document: str = "document") -> DataFrame:
+    """Add one typed column per contract field, taken from the parsed document; a field it lacks is NULL.
 
-    This reader converts where it can, so its values only count for records whose structure was
-    found sound. All types share one parse.
+    Values are converted where they can be, so they only count for records whose structure was found sound.
     """
     wide = catalog.wide_fields(event_types)
-    target = ", ".join(f"`{name}` {kind}" for name, kind in wide.items())
+    target = ", ".join(f"`{name}`: {kind}" for name, kind in wide.items())
     columns = {
         (catalog.DECLARED_TYPE if name == "event_type" else name): F.col(f"_payload.{name}")
         for name in wide
     }
-    return fixed(df, "_payload", F.from_json(raw, target)).withColumns(columns).drop("_payload")
+    payload = F.try_variant_get(document, "$", f"struct<{target}>")
+    return fixed(df, "_payload", payload).withColumns(columns).drop("_payload")
 
 
 def by_event_type(branches: dict[str, Column], event_type: str = "event_type") -> Column:

@@ -30,6 +30,13 @@ def insert_if_absent(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return new.join(clashes, key, "left_anti")
 
 
+def id_bytes(column: str) -> Column:
+    """An id as sixteen bytes: those of a UUID, the digest of any other text."""
+    text = F.lower(column)
+    uuid = text.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return F.unhex(F.when(uuid, F.replace(text, F.lit("-"), F.lit(""))).otherwise(F.md5(column)))
+
+
 def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The newest row of every key; `order` must put the winner first."""
     return first_per_key(df, [key], order)

@@ -6,6 +6,8 @@ one row per source partition and finished trigger.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,13 +106,33 @@ def lag_alert(metrics: DataFrame, threshold: int = 50_000, span: int = 5) -> Dat
     )
 
 
-def stall_alert(metrics: DataFrame, span: int = 5) -> DataFrame:
+def _dense(series: DataFrame, value: str, until: Column) -> DataFrame:
+    """The series with a zero for every minute without a sample, up to the minute of `until`.
+
+    Gaps are filled from their end, between consecutive samples that are found day by day.
+    """
+    step = F.expr("INTERVAL 1 MINUTE")
+    sampled = keys.lag_within(
+        series.select("minute", value), [], "minute", [value], [F.date_trunc(b, "minute") for b in ("day", "year")]
+    )
+    last = series.agg(F.max("minute").alias("prev_minute")).withColumn("minute", times.minute_of(until) + step)
+    gaps = (
+        sampled.select("prev_minute", "minute")
+        .unionByName(last)
+        .where(F.col("prev_minute") + step < F.col("minute"))
+        .select(F.explode(F.sequence(F.col("prev_minute") + step, F.col("minute") - step, step)).alias("minute"))
+    )
+    return series.select("minute", value).unionByName(gaps.withColumn(value, F.lit(0).cast("bigint")))
+
+
+def stall_alert(metrics: DataFrame, as_of: datetime | Column | None = None, span: int = 5) -> DataFrame:
     """Minutes at which the rate over `span` minutes has been zero for `span` minutes.
 
-    So nothing came in twice the span, and a sample at least `span` minutes old says so too.
+    So nothing came in twice the span. A minute without a sample is one in which nothing came, up to the
+    clock: a job that has died, or whose recorder has, fires like one that stands still.
     """
     total = ingest_rate(metrics).groupBy("minute").agg(F.sum("messages").alias("messages"))
-    highest = _held(total, "messages", span, F.max("messages"))
+    highest = _held(_dense(total, "messages", times.as_time(as_of)), "messages", span, F.max("messages"))
     return highest.select(
         "minute",
         F.col("held").alias("highest_messages"),

@@ -141,27 +141,40 @@ def _value_checks(table: str, df: DataFrame, checks: list[Expectation]) -> DataF
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
-def _per_key(df: DataFrame, column: str) -> DataFrame:
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_key"))
-        .agg(F.count("*").alias("_n"))
-    )
-
-
-def _unique_check(table: str, df: DataFrame, check: Unique) -> DataFrame:
-    """Every member of a duplicated value counts as unexpected."""
-    members = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
-    total = F.coalesce(F.sum("_n"), F.lit(0))
-    return _per_key(df, check.column).agg(_row(table, check, total, members).alias("r")).select("r.*")
-
+def _key_checks(
+    table: str, df: DataFrame, checks: list[tuple[Expectation, Column]], mart: Mart
+) -> DataFrame:
+    """All uniqueness and reference checks of a table in one pass and one shuffle.
 
-def _reference_check(table: str, df: DataFrame, check: References, mart: Mart) -> DataFrame:
-    keys = mart[check.dimension].select(F.col(check.key).alias("_key"), F.lit(1).alias("_hit"))
-    resolved = _per_key(df, check.column).join(keys, "_key", "left")
-    orphans = F.sum(F.when(F.col("_hit").isNull(), F.col("_n")))
-    total = F.coalesce(F.sum("_n"), F.lit(0))
-    return resolved.agg(_row(table, check, total, orphans).alias("r")).select("r.*")
+    A row becomes one (check, key) pair per check, counted per pair; the keys of the dimensions join the
+    counts as pairs of the same kind, so a hot key is one row by then.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("n"), key.cast("string").alias("key")) for n, (_, key) in enumerate(checks)])
+    counted = (
+        df.select(F.explode(pairs).alias("p"))
+        .where(F.col("p.key").isNotNull())
+        .groupBy("p.n", "p.key")
+        .agg(F.count("*").alias("rows"))
+    )
+    references = [(n, check) for n, (check, _) in enumerate(checks) if isinstance(check, References)]
+    bad = F.when(F.col("rows") > 1, F.col("rows"))
+    if references:
+        known = reduce(
+            DataFrame.unionByName,
+            [
+                mart[check.dimension].select(
+                    F.lit(n).alias("n"), F.col(check.key).cast("string").alias("key"), F.lit(1).alias("hit")
+                )
+                for n, check in references
+            ],
+        )
+        counted = counted.join(known, ["n", "key"], "left")
+        bad = F.when(F.col("n").isin(*[n for n, _ in references]), F.when(F.col("hit").isNull(), F.col("rows"))).otherwise(bad)
+    sums = counted.groupBy("n").agg(F.sum("rows").alias("total"), F.sum(bad).alias("bad"))
+    # A table without keys has a row for each check, too.
+    all_checks = df.sparkSession.range(len(checks)).select(F.col("id").cast("int").alias("n"))
+    named = [_row(table, check, F.coalesce("total", F.lit(0)), F.col("bad")) for check, _ in checks]
+    return all_checks.join(sums, "n", "left").select(F.element_at(F.array(*named), F.col("n") + 1).alias("r")).select("r.*")
 
 
 def check(table: str, df: DataFrame, expectations: list[Expectation], mart: Mart) -> DataFrame:
@@ -170,11 +183,9 @@ def check(table: str, df: DataFrame, expectations: list[Expectation], mart: Mart
     values = [e for e in expectations if not isinstance(e, Unique | References)]
     if values:
         parts.append(_value_checks(table, df, values))
-    for e in expectations:
-        if isinstance(e, Unique):
-            parts.append(_unique_check(table, df, e))
-        elif isinstance(e, References):
-            parts.append(_reference_check(table, df, e, mart))
+    keyed = [(e, F.col(e.column)) for e in expectations if isinstance(e, Unique | References)]
+    if keyed:
+        parts.append(_key_checks(table, df, keyed, mart))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("success", F.col("unexpected") == 0)
 
@@ -402,14 +413,14 @@ def constraints(mart: Mart) -> DataFrame:
     for table in REQUIRED_TABLES:
         required = [NotNull(c) for c in mart[table].columns if c not in _BOOKKEEPING]
         parts.append(_value_checks(table, mart[table], required))
+    keyed: dict[str, list[tuple[Expectation, Column]]] = {}
     for table, column in NATURAL_KEYS.items():
-        parts.append(_unique_check(table, mart[table], Unique(column)))
+        keyed.setdefault(table, []).append((Unique(column), F.col(column)))
     for table in FACT_SUBJECTS:
-        days = References("date_key", "dim_date", "date_key")
-        parts.append(_reference_check(table, mart[table], days, mart))
+        keyed.setdefault(table, []).append((References("date_key", "dim_date", "date_key"), F.col("date_key")))
     for table, columns in ROLLUP_KEYS.items():
         # One text per key that no other key can have, null parts included.
         key = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-        keyed = mart[table].withColumn("primary_key", key)
-        parts.append(_unique_check(table, keyed, Unique("primary_key")))
+        keyed.setdefault(table, []).append((Unique("primary_key"), key))
+    parts += [_key_checks(table, mart[table], checks, mart) for table, checks in keyed.items()]
     return reduce(DataFrame.unionByName, parts).withColumn("success", F.col("unexpected") == 0)

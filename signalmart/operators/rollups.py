@@ -1,9 +1,12 @@
-"""Minute rollups as pure functions of the facts, and the dates a batch touches."""
+"""Minute rollups: sums over any set of facts, which add up to the sums over all of them.
+
+A batch sums its own new facts only. The stored rollup is the sum of these partial ones, folded when read
+and when segments are merged; no stored fact is read again.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,14 +34,17 @@ def revenue_events(mart: Mart) -> DataFrame:
 
 
 def revenue_minute(mart: Mart) -> DataFrame:
+    """Summed per subscriber first, so that a hot one joins its province with a row a minute."""
     provinces = mart["dim_subscriber"].select("subscriber_key", "province")
     return _dated(
         revenue_events(mart)
+        .groupBy(times.minute_of("event_timestamp").alias("minute"), "subscriber_key", "revenue_type")
+        .agg(F.sum("amount").alias("total_amount"), F.count("*").alias("txn_count"))
         .join(provinces, "subscriber_key")
-        .groupBy(times.minute_of("event_timestamp").alias("minute"), "province", "revenue_type")
+        .groupBy("minute", "province", "revenue_type")
         .agg(
-            F.sum("amount").cast("decimal(14,2)").alias("total_amount"),
-            F.count("*").alias("txn_count"),
+            F.sum("total_amount").cast("decimal(14,2)").alias("total_amount"),
+            F.sum("txn_count").alias("txn_count"),
         )
     )
 
@@ -76,7 +82,7 @@ def dlq_minute(mart: Mart) -> DataFrame:
     )
 
 
-# rollup table -> (builder, tables whose new rows make a day dirty)
+# rollup table -> (builder, tables whose rows it sums)
 FACT_ROLLUPS: dict[str, tuple[Callable[[Mart], DataFrame], tuple[str, ...]]] = {
     "agg_revenue_minute": (revenue_minute, ("fact_recharges", "fact_bundle_sales")),
     "agg_calls_minute": (calls_minute, ("fact_calls",)),
@@ -96,20 +102,18 @@ def affected_minutes(events: DataFrame, column: str = "event_timestamp") -> Data
     )
 
 
-def refresh(
-    name: str,
-    mart: Mart,
-    new_rows: dict[str, DataFrame],
-    rollups: dict = FACT_ROLLUPS,
-) -> DataFrame:
-    """The rollup rows of every day that has new facts, recomputed from all facts of those days.
-
-    Days, not minutes, are the unit of replacement because a day is a partition of the stored
-    table; a rollup is a function of the facts alone, so the extra minutes come out unchanged.
-    """
-    build, sources = rollups[name]
-    days = reduce(
-        DataFrame.unionByName, [new_rows[table].select("date_key") for table in sources]
-    ).distinct()
-    scoped = {table: mart[table].join(days, "date_key", "left_semi") for table in sources}
-    return build(mart.with_tables(**scoped))
+#: Sums of each rollup with their stored types; the other columns are its key.
+SUMS = {
+    "agg_revenue_minute": {"total_amount": "decimal(14,2)", "txn_count": "bigint"},
+    "agg_calls_minute": {"call_count": "bigint", "dropped_count": "bigint", "total_duration": "bigint"},
+    "agg_data_minute": {"total_mb": "decimal(16,2)", "session_count": "bigint"},
+    "agg_dlq_minute": {"record_count": "bigint"},
+}
+
+
+def fold(name: str, partial: DataFrame) -> DataFrame:
+    """One row per key from partial rollups."""
+    sums = SUMS[name]
+    key = [column for column in partial.columns if column not in sums]
+    folded = partial.groupBy(*key).agg(*[F.sum(c).cast(kind).alias(c) for c, kind in sums.items()])
+    return folded.select(*partial.columns)

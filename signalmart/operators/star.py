@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -70,13 +71,15 @@ def subject_of(event_type: Column) -> Column:
 
 
 def resolve_subjects(events: DataFrame, dim_subscriber: DataFrame) -> DataFrame:
-    """Add `subject_id` and `subject_key` (NULL when the subscriber is unknown) in one join.
+    """Add `subject_id`, `subject_key` and `subject_province` (NULL when unknown) in one join.
 
     Rows without a subject join on a hash of their event id, so they do not pile up on one task;
     the second half of the condition keeps that hash from ever matching an id.
     """
     known = dim_subscriber.select(
-        F.col("subscriber_id").alias("_known"), F.col("subscriber_key").alias("subject_key")
+        F.col("subscriber_id").alias("_known"),
+        F.col("subscriber_key").alias("subject_key"),
+        F.col("province").alias("subject_province"),
     )
     with_subject = events.withColumn("subject_id", subject_of(F.col("event_type")))
     spread = F.coalesce("subject_id", F.hash("event_id").cast("bigint"))
@@ -132,9 +135,14 @@ def unmatched_dims(event_type: str, resolved: DataFrame, dims: Mart) -> DataFram
     return out
 
 
-def new_subscribers(events: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+def new_subscribers(
+    events: DataFrame, stored: DataFrame, numbers: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(dimension rows to add, events rejected for a number that is already taken).
 
+    `stored` holds the stored subscribers the events may repeat; `numbers` finds which numbers of some rows
+    are taken, as `msisdn`, and is answered from `stored` if not given.
+
     The first event of a subscriber id wins and stored rows are never updated; a later event of a
     known id is dropped silently, a new id that claims a taken number is a reject.
     """
@@ -142,7 +150,7 @@ def new_subscribers(events: DataFrame, stored: DataFrame) -> tuple[DataFrame, Da
     first = keys.first_per_key(created, ["subscriber_id"], keys.arrival_order())
     fresh = keys.insert_if_absent(first, stored, "subscriber_id")
     owner = keys.first_per_key(fresh, ["msisdn"], keys.arrival_order())
-    winners = keys.insert_if_absent(owner, stored, "msisdn")
+    winners = keys.insert_if_absent(owner, numbers(owner) if numbers else stored, "msisdn")
     losers = fresh.join(winners.select("subscriber_id"), "subscriber_id", "left_anti")
     rows = winners.select(
         F.col("subscriber_id").alias("subscriber_key"),

@@ -120,8 +120,14 @@ def events_of(events: DataFrame, event_type: str) -> DataFrame:
     return events.where(F.col("event_type") == event_type).select(*columns)
 
 
-def batch_counts(validated: DataFrame) -> DataFrame:
-    """Accepted and rejected records per event type."""
-    return validated.groupBy("event_type", F.col("reason").isNull().alias("accepted")).agg(
-        F.count("*").alias("n_records")
+def batch_counts(resolved: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Accepted and rejected records per event type.
+
+    Accepted are the events that end in the tables: first of their id, of a known subscriber where they refer
+    to one. Rejected is every record that becomes a dead letter. A repeated event is neither.
+    """
+    accepted = resolved.where(F.col("subject_id").isNull() | F.col("subject_key").isNotNull())
+    both = accepted.select("event_type", F.lit(True).alias("accepted")).unionByName(
+        rejects.select(catalog.event_type_of(F.col("topic")).alias("event_type"), F.lit(False).alias("accepted"))
     )
+    return both.groupBy("event_type", "accepted").agg(F.count("*").alias("n_records"))

@@ -1,46 +1,35 @@
 """One batch of raw records into lake, star, state, dead letters and rollups.
 
-Every step is a distributed write that replaces what an earlier attempt of the same batch wrote,
-so a failed batch is simply run again. The steps run in a fixed order; each reads what the ones
-before it stored. Two staged tables hold the results more than one step needs: the verdicts, so
-records are parsed once, and the resolved events, so they are deduplicated and joined once. They
-are written files in the shared folder, not cached blocks, so a lost executor costs nothing.
+The batch writes every table apart and publishes all of them at once; a batch that fails leaves nothing that
+is read, and is simply run again. Stored rows are looked up by key in the buckets the batch touches, and
+rollups are summed over the batch's own rows, so no step reads the history. Two staged tables hold the
+results more than one step needs: the verdicts, so records are parsed once, and the resolved events, so they
+are deduplicated and joined once. They are written files in the shared folder, not cached blocks, so a lost
+executor costs nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from signalmart import catalog, session
-from signalmart.functions import times
 from signalmart.operators import deadletter, keys, rollups, star, validate
 from signalmart.operators.rules import RULES, Reference, Rule
 from signalmart.sources import lake, sinks
-from signalmart.sources.store import Store, refresh_rollup
+from signalmart.sources.batch import Batch, concurrently
+from signalmart.sources.mart import Mart
+from signalmart.sources.store import Store
 
 EVENTS_QUERY = "events"
 DLQ_QUERY = "dead-letters"
 
 
-def batch_clock(store: Store, query: str, batch_id: int, as_of: datetime | None = None) -> Column:
-    """The clock of a batch, fixed at its first attempt so that a replay judges alike."""
-    partition = {"query": query, "batch_id": batch_id}
-    fixed = store.read_partition("batch_clock", **partition).first()
-    if fixed is None:
-        now = store.spark.range(1).select(times.as_time(as_of).alias("as_of"))
-        store.replace_partitions("batch_clock", now, **partition)
-        fixed = store.read_partition("batch_clock", **partition).first()
-    return F.lit(fixed["as_of"])
-
-
 def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result, split by event type, and read it back."""
     path = f"{store.staging}/{name}"
@@ -49,12 +38,19 @@ def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
     return store.spark.read.schema(schema).parquet(path)
 
 
-def concurrently(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
-    """Run independent writes as concurrent jobs, so small ones do not wait for each other."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=len(steps) or 1) as pool:
-        for done in [pool.submit(inherit(step)) for step in steps]:
-            done.result()
+def new_subscribers(batch: Batch, created: DataFrame) -> DataFrame:
+    """Write the batch's new subscribers with the index of their numbers; return the rejects."""
+
+    def taken(rows: DataFrame) -> DataFrame:
+        found = batch.lookup("ids/msisdn", rows.select(F.col("msisdn").alias("key")))
+        return found.select(F.col("key").alias("msisdn"))
+
+    first = keys.first_per_key(created, ["topic", "event_id"], keys.arrival_order())
+    stored = batch.lookup("dim_subscriber", created)
+    rows, number_taken = star.new_subscribers(first, stored, taken)
+    batch.write("dim_subscriber", rows)
+    batch.write("ids/msisdn", batch.own("dim_subscriber").select(F.col("msisdn").alias("key")))
+    return number_taken
 
 
 def run_batch(
@@ -66,82 +62,98 @@ def run_batch(
     strict: bool = True,
     rules: dict[str, tuple[Rule, ...]] = RULES,
 ) -> None:
-    clock = batch_clock(store, EVENTS_QUERY, batch_id, as_of)
+    batch = store.begin(EVENTS_QUERY, batch_id, as_of)
+    if batch is None:  # final: newer batches were built on it
+        return
     reference = Reference(store.read("dim_tower"), store.read("dim_bundle"))
     verdicts = _stage(
-        store, validate.validate(raw, reference, clock, strict, rules), "verdicts"
+        store, validate.validate(raw, reference, batch.clock, strict, rules), "verdicts"
     )
     accepted = validate.accepted(verdicts)
+    # At most one row per event type: which steps have anything to do.
+    present = {r["event_type"] for r in accepted.select("event_type").distinct().collect()}
+    rejects = validate.rejected(verdicts)
 
     # Subscribers first: events of the same batch may refer to them.
-    created = accepted.where(F.col("event_type") == "subscriber_created")
-    rows, number_taken = star.new_subscribers(
-        keys.first_per_key(created, ["topic", "event_id"], keys.arrival_order()),
-        store.before("dim_subscriber", batch_id),
-    )
-    store.replace_partitions("dim_subscriber", rows, batch_id=batch_id)
+    number_taken = None
+    if "subscriber_created" in present:
+        created = accepted.where(F.col("event_type") == "subscriber_created")
+        number_taken = new_subscribers(batch, created)
+        rejects = rejects.unionByName(number_taken)
 
+    subjects = accepted.select(star.subject_of(F.col("event_type")).alias("subscriber_id"))
     unique = keys.first_per_key(accepted, ["topic", "event_id"], keys.arrival_order())
     resolved = _stage(
         store,
-        star.resolve_subjects(unique, store.upto("dim_subscriber", batch_id)),
+        star.resolve_subjects(unique, batch.lookup("dim_subscriber", subjects, own=True)),
         "resolved",
     )
-
-    counts = validate.batch_counts(verdicts)
-    # At most one row per event type and verdict: which steps have anything to do.
-    present = {r["event_type"] for r in counts.where("accepted").select("event_type").collect()}
+    rejects = rejects.unionByName(star.unknown_subscribers(resolved))
 
     def write_lake(event_type: str) -> None:
-        events = lake.with_date(validate.events_of(resolved, event_type))
-        store.write_lake(event_type, events, batch_id)
-
-    concurrently(store.spark, [partial(write_lake, kind) for kind in catalog.EVENT_TYPES if kind in present])
+        batch.write(f"lake/{event_type}", lake.rows(validate.events_of(resolved, event_type), batch_id))
 
     def write_facts(event_type: str, spec: star.FactSpec) -> None:
-        facts = star.fact_rows(event_type, resolved, store.mart)
-        fresh = keys.insert_if_absent(facts, store.before(spec.table, batch_id), "event_id")
-        store.replace_partitions(spec.table, fresh, batch_id=batch_id)
+        batch.insert(spec.table, star.fact_rows(event_type, resolved, store.mart))
 
     def write_state() -> None:
-        # Two slots take turns: the snapshot being written is never the one being read.
-        state = star.tower_state(resolved, store.tower_status(before_version=batch_id))
-        store.replace_partitions(
-            "tower_status_current", state, version=F.lit(batch_id).cast("bigint"), slot=batch_id % 2
-        )
+        state = star.tower_state(resolved, batch.before("tower_status_current"))
+        batch.replace("tower_status_current", state)
 
-    facts = {kind: spec for kind, spec in star.FACTS.items() if kind in present}
-    concurrently(store.spark, [write_state, *[partial(write_facts, kind, spec) for kind, spec in facts.items()]])
+    def write_counts() -> None:
+        kept = resolved
+        if number_taken is not None:
+            lost = number_taken.select("topic", "partition", "offset")
+            kept = resolved.join(lost, ["topic", "partition", "offset"], "left_anti")
+        _write_counts(batch, EVENTS_QUERY, validate.batch_counts(kept, rejects))
 
-    rejects = (
-        validate.rejected(verdicts)
-        .unionByName(number_taken)
-        .unionByName(star.unknown_subscribers(resolved))
+    facts = {kind: spec for kind, spec in star.FACTS.items() if kind in present}
+    steps = [partial(write_lake, kind) for kind in catalog.EVENT_TYPES if kind in present]
+    steps += [partial(write_facts, kind, spec) for kind, spec in facts.items()]
+    if "tower_status" in present:
+        steps.append(write_state)
+    concurrently(store.spark, [*steps, write_counts])
+
+    # The subscribers of this batch with their provinces, from the join that has been made.
+    known = resolved.where(F.col("subject_key").isNotNull()).select(
+        F.col("subject_key").alias("subscriber_key"), F.col("subject_province").alias("province")
     )
-    dead_letter_sink.publish(deadletter.envelope(rejects, clock), batch_id)
+    own = Mart({**{spec.table: partial(batch.own, spec.table) for spec in star.FACTS.values()},
+                "dim_subscriber": known.distinct})
+    added = {spec.table for spec in facts.values() if batch.written[spec.table]}
+    due = [(name, build) for name, (build, sources) in rollups.FACT_ROLLUPS.items() if added & set(sources)]
+    concurrently(store.spark, [partial(_write_rollup, batch, own, name, build) for name, build in due])
+
+    dead_letter_sink.publish(deadletter.envelope(rejects, batch.clock), batch_id)
+    batch.commit()
+    store.compact(EVENTS_QUERY)
+
+
+def _write_rollup(batch: Batch, own: Mart, name: str, build: Callable[[Mart], DataFrame]) -> None:
+    """The sums over the batch's own new facts."""
+    batch.write(name, build(own))
+
 
-    tables = {spec.table for spec in facts.values()}
-    dirty = {
-        name: (build, sources)
-        for name, (build, sources) in rollups.FACT_ROLLUPS.items()
-        if tables & set(sources)
-    }
-    concurrently(store.spark, [partial(refresh_rollup, store, batch_id, name, dirty) for name in dirty])
-    store.replace_partitions("batch_metrics", counts, query=EVENTS_QUERY, batch_id=batch_id)
+def _write_counts(batch: Batch, query: str, counts: DataFrame) -> None:
+    batch.write("batch_metrics", counts.withColumns({"query": F.lit(query), "batch_id": F.lit(batch.id).cast("long")}))
 
 
 def run_dead_letter_batch(raw: DataFrame, store: Store, batch_id: int) -> None:
     """Messages of the dead-letter topic into the review table and its rollup."""
+    batch = store.begin(DLQ_QUERY, batch_id)
+    if batch is None:
+        return
     taken = _stage(store, deadletter.intake(raw), "dead-letters")
-    records = deadletter.records(taken)
-    fresh = keys.insert_if_absent(records, store.before("dlq_records", batch_id), "event_id")
-    store.replace_partitions("dlq_records", fresh, batch_id=batch_id)
-    store.replace_partitions("dlq_skipped", deadletter.skipped(taken), batch_id=batch_id)
-    refresh_rollup(store, batch_id, "agg_dlq_minute", rollups.DLQ_ROLLUPS)
+    if batch.insert("dlq_records", deadletter.records(taken)):
+        build, _ = rollups.DLQ_ROLLUPS["agg_dlq_minute"]
+        _write_rollup(batch, Mart({"dlq_records": partial(batch.own, "dlq_records")}), "agg_dlq_minute", build)
+    batch.write("dlq_skipped", deadletter.skipped(taken))
     counts = taken.groupBy("event_type", (~F.col("skipped")).alias("accepted")).agg(
         F.count("*").alias("n_records")
     )
-    store.replace_partitions("batch_metrics", counts, query=DLQ_QUERY, batch_id=batch_id)
+    _write_counts(batch, DLQ_QUERY, counts)
+    batch.commit()
+    store.compact(DLQ_QUERY)
 
 
 def open_store(spark: SparkSession, root: str, scratch: str | None = None) -> Store:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalmart.operators import deadletter
-from signalmart.sources.store import write_partitioned
 
 
 class DeadLetterSink(Protocol):
@@ -40,4 +39,10 @@ class FileSink:
         messages = deadletter.to_broker(envelopes).withColumns(
             {"value": F.col("value").cast("binary"), "batch_id": F.lit(batch_id)}
         )
-        write_partitioned(messages, self.path, ("batch_id",))
+        (
+            messages.hint("rebalance")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(self.path)
+        )

@@ -9,10 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalmart import catalog
-from signalmart.operators import quality, validate
+from signalmart.operators import keys, quality, rollups, validate
 from signalmart.plans import kpi, load
-from signalmart.sources import records
+from signalmart.sources import lake, manifest, records
+from signalmart.sources.batch import Batch
+from signalmart.sources.mart import Mart
 from signalmart.sources.sinks import FileSink, KafkaSink
+from signalmart.sources.store import bucket_of
 from signalmart.streaming import jobs, progress, windows
 from tests.events import BODIES, event, raw_frame
 
@@ -61,14 +64,12 @@ def slices(spark):
     return out
 
 
-def snapshot(store, batches=True):
+def snapshot(store):
     """Comparable content of every table, without batch bookkeeping."""
     out = {}
     for name, df in store.mart.items():
-        if name.startswith("batch_"):
-            continue
-        columns = [c for c in df.columns if c not in ("batch_id", "slot", "version")]
-        out[name] = sorted(str(tuple(r)) for r in df.select(*columns).collect())
+        if not name.startswith("batch_"):
+            out[name] = sorted(str(tuple(r)) for r in df.collect())
     for event_type in catalog.EVENT_TYPES:
         rows = store.read_lake(event_type).drop("batch_id").collect()
         out[f"lake/{event_type}"] = sorted(str(tuple(r)) for r in rows)
@@ -137,9 +138,21 @@ def test_invariants(loaded):
 
 def test_lake_keeps_validated_events_once_per_batch(loaded):
     store, _ = loaded
-    lake = store.read_lake("airtime_purchase")
-    assert lake.count() == 4  # a1 in two batches, a2 although its subscriber is unknown, a3
-    assert lake.where("date = '2026-07-16'").count() == 1
+    events = store.read_lake("airtime_purchase")
+    assert events.count() == 4  # a1 in two batches, a2 although its subscriber is unknown, a3
+    assert events.where("date = '2026-07-16'").count() == 1
+
+
+def test_lake_replay_is_pruned_and_gives_each_event_once(loaded):
+    store, _ = loaded
+    all_days = lake.replay(store, "airtime_purchase").collect()
+    assert sorted(r["amount"] for r in all_days) == [4.5, 10.0, 50.0]  # the repeated one as it first came
+    late = lake.replay(store, "airtime_purchase", "2026-07-16", "2026-07-16")
+    assert [r["amount"] for r in late.collect()] == [4.5]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "InMemoryFileIndex(1 paths)" in plan, plan
+    assert len(late.inputFiles()) < len(lake.replay(store, "airtime_purchase").inputFiles())
+    assert lake.replay(store, "airtime_purchase", "2020-01-01", "2020-01-02").count() == 0
 
 
 def test_kpis_run_on_stored_tables_and_prune_days(loaded):
@@ -173,19 +186,137 @@ def test_replay_of_the_last_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(sink.path).count() == sent
 
 
-def test_failed_batch_is_completed_by_its_replay(spark, tmp_path):
+class Stop(Exception):
+    pass
+
+
+def test_nothing_of_a_failed_batch_is_seen(spark, tmp_path, monkeypatch):
+    """A batch stopped at any of its steps leaves the mart as it was; the next attempt completes it."""
+    parts = slices(spark)
+    store, sink = fresh_store(spark, tmp_path / "a")
+    load.run_batch(parts[0], store, 0, sink, as_of=AS_OF)
+    before = snapshot(store)
+    clean, clean_sink = fresh_store(spark, tmp_path / "b")
+    load.run_batch(parts[0], clean, 0, clean_sink, as_of=AS_OF)
+    steps = []
+    write = Batch.write
+    with monkeypatch.context() as patch:
+        patch.setattr(Batch, "write", lambda self, table, rows: (steps.append(table), write(self, table, rows))[1])
+        load.run_batch(parts[1], clean, 1, clean_sink, as_of=AS_OF)
+    assert {"dim_subscriber", "lake/voice_call", "fact_calls", "ids/fact_calls", "agg_calls_minute",
+            "tower_status_current", "batch_metrics"} <= set(steps)
+
+    def stops(table):
+        def stopped(self, name, rows):
+            done = write(self, name, rows)
+            if name == table:
+                raise Stop(table)
+            return done
+
+        return stopped
+
+    for table in ("dim_subscriber", "lake/voice_call", "ids/fact_calls", "agg_revenue_minute"):
+        with monkeypatch.context() as patch, pytest.raises(Stop):
+            patch.setattr(Batch, "write", stops(table))
+            load.run_batch(parts[1], store, 1, sink, as_of=AS_OF)
+        assert snapshot(store) == before, table
+
     class Broken:
         def publish(self, envelopes, batch_id):
-            raise ConnectionError("no broker")
+            raise Stop
 
+    with pytest.raises(Stop):
+        load.run_batch(parts[1], store, 1, Broken(), as_of=AS_OF)
+    assert snapshot(store) == before
+    # The clock of the first attempt holds: a later one must not judge otherwise.
+    load.run_batch(parts[1], store, 1, sink, as_of=datetime(2020, 1, 1, tzinfo=UTC))
+    assert snapshot(store) == snapshot(clean)
+    store.sweep(load.EVENTS_QUERY)  # what the failed attempts left
+    kept = store.log(load.EVENTS_QUERY).retained()
+    left = {f"fact_calls/{name}" for name in store.folder.names("fact_calls")}
+    assert left and left <= kept and snapshot(store) == snapshot(clean)
+
+
+def test_replay_replaces_the_whole_newest_batch(spark, tmp_path):
+    """A replay that brings fewer days leaves one version, its own; an older batch is final."""
     store, sink = fresh_store(spark, tmp_path / "a")
     parts = slices(spark)
-    with pytest.raises(ConnectionError):
-        load.run_batch(parts[0], store, 0, Broken(), as_of=AS_OF)
     load.run_batch(parts[0], store, 0, sink, as_of=AS_OF)
+    load.run_batch(parts[2].unionByName(parts[1]), store, 1, sink, as_of=AS_OF)
+    assert store.read("fact_recharges").where("date_key = 20260716").count() == 1
+    load.run_batch(parts[1], store, 1, sink, as_of=AS_OF)
     clean, clean_sink = fresh_store(spark, tmp_path / "b")
-    load.run_batch(parts[0], clean, 0, clean_sink, as_of=AS_OF)
+    for number in (0, 1):
+        load.run_batch(parts[number], clean, number, clean_sink, as_of=AS_OF)
     assert snapshot(store) == snapshot(clean)
+    load.run_batch(parts[2], store, 2, sink, as_of=AS_OF)
+    done = snapshot(store)
+    load.run_batch(parts[2], store, 1, sink, as_of=AS_OF)
+    assert snapshot(store) == done
+
+
+def call(number, day=1, hour=0):
+    at = datetime(2026, 7, day, hour, number % 60, tzinfo=UTC)
+    return (f"abcdef00-0000-4000-8000-{number:012d}", at, 1, 1, "27821234567", 60, False, 20260700 + day)
+
+
+def add_calls(store, number, rows):
+    frame = store.spark.createDataFrame(rows, store.schema("fact_calls"))
+    batch = store.begin(load.EVENTS_QUERY, number)
+    if batch.insert("fact_calls", frame):
+        batch.write("agg_calls_minute", rollups.calls_minute(Mart.of(fact_calls=batch.own("fact_calls"))))
+    batch.commit()
+
+
+def test_merging_keeps_contents_and_bounds_the_folders(spark, tmp_path, monkeypatch):
+    store = load.open_store(spark, str(tmp_path / "mart"))
+    for number in range(10):
+        # Each batch repeats calls of earlier ones, one in upper case; one minute gets calls of many batches.
+        rows = [call(number, day=1 + number % 3), call(100 + number, day=1)]
+        if number:
+            rows += [(call(0)[0].upper(), *call(0)[1:]), call(number - number // 2 - 1 or number - 1, day=9)]
+        rows = list({row[0].lower(): row for row in rows}.values())
+        add_calls(store, number, rows)
+    calls, minutes = snapshot(store)["fact_calls"], snapshot(store)["agg_calls_minute"]
+    assert len(calls) == 20 and len(store.segments("fact_calls")) == 10
+    old = store.read("fact_calls")  # a reader that started before the merges
+    while store.compact(load.EVENTS_QUERY, fan=3):
+        assert snapshot(store)["fact_calls"] == calls and snapshot(store)["agg_calls_minute"] == minutes
+    assert sorted(str(tuple(r)) for r in old.collect()) == calls
+    segments = store.segments("fact_calls")
+    assert len(segments) <= 3 and max(s.level for s in segments) >= 1
+    # The newest batch can still be replaced, and known ids are known in merged segments.
+    add_calls(store, 9, [call(9, day=1), call(3), call(0)])
+    assert store.read("fact_calls").count() == 19
+    monkeypatch.setattr(manifest, "RETAIN", 2)
+    for number in range(10, 16):
+        add_calls(store, number, [call(number), call(number - 9)])
+        store.compact(load.EVENTS_QUERY, fan=3)
+        # Folders: those in use, and those that kept manifests still name.
+        assert len(store.folder.names("fact_calls")) <= 16
+        assert len(store.log(load.EVENTS_QUERY).versions()) <= 4
+    assert store.read("fact_calls").count() == store.read("fact_calls").select("event_id").distinct().count()
+    folded = store.read("agg_calls_minute").groupBy().sum("call_count").first()[0]
+    assert folded == store.read("fact_calls").count()
+
+
+def test_lookup_reads_the_buckets_of_the_batch_only(spark, tmp_path):
+    store = load.open_store(spark, str(tmp_path / "mart"))
+    for number in range(4):
+        add_calls(store, number, [call(1000 * number + i) for i in range(300)])
+    store.compact(load.EVENTS_QUERY, fan=3)
+    batch = store.begin(load.EVENTS_QUERY, 4)
+    new = spark.createDataFrame([call(7), call(3007), call(99_999)], store.schema("fact_calls"))
+    keyed = new.select(keys.id_bytes("event_id").alias("key"))
+    found = batch.lookup("ids/fact_calls", keyed)
+    assert found.count() == 2
+    buckets = {r[0] for r in keyed.select(bucket_of("key")).collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan, plan
+    opened = {r[0] for r in found.select(F.input_file_name()).collect()}
+    assert any("/bucket=" in name for name in opened)
+    assert {int(n.split("/bucket=")[1].split("/")[0]) for n in opened if "/bucket=" in n} <= buckets
+    assert "PushedFilters: [" in plan and "In(key" in plan, plan
 
 
 def write_source(spark, folder):
@@ -215,7 +346,7 @@ def test_stream_equals_batches_and_survives_replay(spark, tmp_path, loaded):
     streamed = snapshot(store)
     assert streamed == snapshot(loaded[0])
     counts = store.read("batch_metrics").where("query = 'events'").groupBy("accepted").sum("n_records")
-    assert {r[0]: r[1] for r in counts.collect()} == {True: 16, False: 3}
+    assert {r[0]: r[1] for r in counts.collect()} == {True: 13, False: 5}
 
     # Restart with nothing new.
     run_stream(spark, job, folder, sink)

@@ -178,8 +178,15 @@ def test_alerts(spark):
     assert minutes(metrics.lag_alert(metrics_frame(spark, lag[5:6]), 50)) == set()
     # The last message at minute 3: the rate is zero from minute 8 on, held at minute 13.
     still = [("a", 0, 60 * m, min(m, 3) * 10, 0) for m in range(16)]
-    assert minutes(metrics.stall_alert(metrics_frame(spark, still))) == {13, 14, 15}
-    assert minutes(metrics.stall_alert(metrics_frame(spark, still[8:11]))) == set()
+    at = lambda minute: datetime(2026, 1, 1, 0, minute, 30, tzinfo=UTC)
+    assert minutes(metrics.stall_alert(metrics_frame(spark, still), at(15))) == {13, 14, 15}
+    assert minutes(metrics.stall_alert(metrics_frame(spark, still[8:11]), at(10))) == set()
+    # Silence counts: of a recorder that died, and of one that missed ten minutes of a stall.
+    assert minutes(metrics.stall_alert(metrics_frame(spark, still[:4]), at(16))) == {13, 14, 15, 16}
+    assert minutes(metrics.stall_alert(metrics_frame(spark, still[:4] + still[14:]), at(15))) == {13, 14, 15}
+    moving = [("a", 0, 60 * m, 10 * m, 0) for m in (0, 1, 2, 14, 15)]
+    assert minutes(metrics.stall_alert(metrics_frame(spark, moving), at(15))) == {12, 13}
+    assert minutes(metrics.stall_alert(metrics_frame(spark, []), at(15))) == set()
 
 
 def test_idle_queries_are_sampled_again(spark, tmp_path):
