@@ -66,6 +66,7 @@ def _sent(table: str, rows: DataFrame, number: int) -> DataFrame:
 
 
 def _write(batch: Batch, tables: dict[str, DataFrame], dims: DataFrame, rollups_: dict) -> None:
+    """One batch: facts by id, the sums over the new ones, one commit."""
     spark = batch.store.spark
     concurrently(spark, [partial(batch.insert, table, rows) for table, rows in tables.items()])
     own = Mart({**{table: partial(batch.own, table) for table in tables}, "dim_subscriber": lambda: dims})
@@ -124,7 +125,8 @@ def registrations(m: Model) -> tuple[Store, list[DataFrame]]:
             batch.write("dim_subscriber", m.subscribers.where(~F.col("is_active")))
             batch.write("ids/msisdn", batch.own("dim_subscriber").select(F.col("msisdn").alias("key")))
         batch.commit()
-        store.compact(load.EVENTS_QUERY, fan=2)
+        if number == 2:  # the last batch meets merged and recent segments
+            store.compact(load.EVENTS_QUERY, fan=2)
     return store, [lost.join(events, "offset") for lost in rejects]
 
 

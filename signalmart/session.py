@@ -17,8 +17,6 @@ PERFORMANCE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Keys looked up one by one reach the statistics and bloom filters of the files as a list.
-    "spark.sql.parquet.pushdown.inFilterThreshold": "2000",
 }
 
 # Only read when a session starts: call sites of column expressions are for debugging, and slow.
