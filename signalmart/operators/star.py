@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -135,24 +134,17 @@ def unmatched_dims(event_type: str, resolved: DataFrame, dims: Mart) -> DataFram
     return out
 
 
-def new_subscribers(
-    events: DataFrame, stored: DataFrame, numbers: Callable[[DataFrame], DataFrame] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(dimension rows to add, events rejected for a number that is already taken).
-
-    `stored` holds the stored subscribers the events may repeat; `numbers` finds which numbers of some rows
-    are taken, as `msisdn`, and is answered from `stored` if not given.
-
-    The first event of a subscriber id wins and stored rows are never updated; a later event of a
-    known id is dropped silently, a new id that claims a taken number is a reject.
-    """
+def new_claims(events: DataFrame, stored: DataFrame) -> DataFrame:
+    """The first event of every subscriber id that is not stored; later ones are dropped silently."""
     created = events.where(F.col("event_type") == "subscriber_created")
     first = keys.first_per_key(created, ["subscriber_id"], keys.arrival_order())
-    fresh = keys.insert_if_absent(first, stored, "subscriber_id")
-    owner = keys.first_per_key(fresh, ["msisdn"], keys.arrival_order())
-    winners = keys.insert_if_absent(owner, numbers(owner) if numbers else stored, "msisdn")
-    losers = fresh.join(winners.select("subscriber_id"), "subscriber_id", "left_anti")
-    rows = winners.select(
+    return keys.insert_if_absent(first, stored, "subscriber_id")
+
+
+def winning_claims(claims: DataFrame, taken: DataFrame) -> DataFrame:
+    """Dimension rows of the claims that get their number: the first of each number that is not `taken`."""
+    owner = keys.first_per_key(claims, ["msisdn"], keys.arrival_order())
+    return keys.insert_if_absent(owner, taken, "msisdn").select(
         F.col("subscriber_id").alias("subscriber_key"),
         "subscriber_id",
         "msisdn",
@@ -161,10 +153,24 @@ def new_subscribers(
         F.col("event_timestamp").alias("created_at"),
         F.lit(True).alias("is_active"),
     )
-    rejects = losers.select(
+
+
+def lost_claims(claims: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rejects: claims of a number that went to none of `rows`, in dead-letter input shape."""
+    return claims.join(rows.select("subscriber_id"), "subscriber_id", "left_anti").select(
         "topic", "partition", "offset", "raw", F.lit(deadletter.DUPLICATE_MSISDN).alias("reason")
     )
-    return rows, rejects
+
+
+def new_subscribers(events: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(dimension rows to add, events rejected for a number that is already taken).
+
+    The first event of a subscriber id wins and stored rows are never updated; a new id that claims a taken
+    number is a reject.
+    """
+    claims = new_claims(events, stored)
+    rows = winning_claims(claims, stored)
+    return rows, lost_claims(claims, rows)
 
 
 def tower_state(events: DataFrame, current: DataFrame) -> DataFrame:

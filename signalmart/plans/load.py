@@ -40,17 +40,14 @@ def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
 
 def new_subscribers(batch: Batch, created: DataFrame) -> DataFrame:
     """Write the batch's new subscribers with the index of their numbers; return the rejects."""
-
-    def taken(rows: DataFrame) -> DataFrame:
-        found = batch.lookup("ids/msisdn", rows.select(F.col("msisdn").alias("key")))
-        return found.select(F.col("key").alias("msisdn"))
-
     first = keys.first_per_key(created, ["topic", "event_id"], keys.arrival_order())
-    stored = batch.lookup("dim_subscriber", created)
-    rows, number_taken = star.new_subscribers(first, stored, taken)
+    claims = _stage(batch.store, star.new_claims(first, batch.lookup("dim_subscriber", created)), "claims")
+    numbers = batch.lookup("ids/msisdn", claims.select(F.col("msisdn").alias("key")))
+    rows = star.winning_claims(claims, numbers.select(F.col("key").alias("msisdn")))
     batch.write("dim_subscriber", rows)
-    batch.write("ids/msisdn", batch.own("dim_subscriber").select(F.col("msisdn").alias("key")))
-    return number_taken
+    own = batch.own("dim_subscriber")
+    batch.write("ids/msisdn", own.select(F.col("msisdn").alias("key")))
+    return star.lost_claims(claims, own)
 
 
 def run_batch(
