@@ -141,16 +141,122 @@ def test_suffix_order_puts_equal_strings_together():
     assert [x.tolist() for x in got] == [[least[a[p : p + 50]] for p in range(len(a) - 49)] for a in arounds]
 
 
-def test_patience_aligns_common_lines():
-    assert line_dedup.patience([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1), (2, 2)]
-    assert line_dedup.patience([1, 1, 2], [1, 2, 2]) == [(0, 0), (2, 2)]
-    assert line_dedup.patience([], [1]) == []
-    rnd = random.Random(1)
-    for _ in range(500):
-        a, b = ([rnd.randint(0, 6) for _ in range(rnd.randint(0, 12))] for _ in range(2))
-        found = line_dedup.patience(a, b)
-        assert all(a[i] == b[j] for i, j in found)
-        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:], strict=False))
+def unique_lines(lines, lo, hi):
+    places = {}
+    for k in range(lo, hi):
+        places[lines[k]] = -1 if lines[k] in places else k
+    return {line: k for line, k in places.items() if k >= 0}
+
+
+def patience(a, b):
+    """Aligned places of equal lines: ends that agree, then lines unique on both sides, then between them."""
+    out, ranges = [], [(0, len(a), 0, len(b))]
+    while ranges:
+        alo, ahi, blo, bhi = ranges.pop()
+        while alo < ahi and blo < bhi and a[alo] == b[blo]:
+            out.append((alo, blo))
+            alo, blo = alo + 1, blo + 1
+        while alo < ahi and blo < bhi and a[ahi - 1] == b[bhi - 1]:
+            ahi, bhi = ahi - 1, bhi - 1
+            out.append((ahi, bhi))
+        left, right = unique_lines(a, alo, ahi), unique_lines(b, blo, bhi)
+        pairs = sorted((i, right[x], 1) for x, i in left.items() if x in right)
+        at = (alo, blo)
+        anchors = line_dedup._increasing(pairs)
+        for i, j, _ in anchors:
+            out.append((i, j))
+            ranges.append((at[0], i, at[1], j))
+            at = (i + 1, j + 1)
+        if anchors:
+            ranges.append((at[0], ahi, at[1], bhi))
+    return sorted(out)
+
+
+def brute_lines(rows, least=5):
+    """Per row: lines in runs that an earlier document has, and those that any pairwise alignment finds."""
+    docs = []
+    for doc_id, text in rows:
+        key = (-(1 << 63) if doc_id is None else doc_id, spark_hash(text or ""))
+        docs.append((key, [(line, len(line.split())) for line in (text or "").split("\n") if line.split()]))
+    out = []
+    for key, lines in docs:
+        earlier = [own for other, own in docs if other < key]
+        known = {tuple(x for x, _ in own[a:b]) for own in earlier for a in range(len(own)) for b in range(a + 1, len(own) + 1)}
+        gone, found = set(), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(w for _, w in lines[a:b]) >= least and tuple(x for x, _ in lines[a:b]) in known:
+                    gone |= set(range(a, b))
+        for own in earlier:
+            block = []
+            for i, j in [*patience([x for x, _ in own], [x for x, _ in lines]), (-9, -9)]:
+                if block and (i, j) != (block[-1][0] + 1, block[-1][1] + 1):
+                    if sum(lines[y][1] for _, y in block) >= least:
+                        found |= {y for _, y in block}
+                    block = []
+                block.append((i, j))
+        out.append((gone, found))
+    return out
+
+
+def spark_hash(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_against_brute_force(spark, seed):
+    """Every line that stands in an earlier document in its run goes; no alignment of any pair finds more."""
+    rnd = random.Random(seed)
+    stock = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.choice([1, 1, 2, 3, 6]))) for _ in range(14)] + ["", " ", "a  b"]
+    rows = []
+    for k in range(70):
+        lines = [rnd.choice(stock) for _ in range(rnd.randint(0, 12))]
+        if rows and rnd.random() < 0.5:
+            other = (rnd.choice(rows)[1] or "").split("\n")
+            a = rnd.randint(0, len(other))
+            lines[rnd.randint(0, len(lines)) : 0] = other[a : a + rnd.randint(0, 6)]
+        rows.append((rnd.choice([k, k, k // 2]), "\n".join(lines)))
+    rows += [(3, rows[3][1]), (None, rows[5][1]), (None, None), (200, rows[7][1])]
+    want = brute_lines(rows)
+    frame = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n int").repartition(4)
+    got = {r.n: r for r in line_dedup.dedup(frame).collect()}
+    n_found = 0
+    for n, ((_, text), (gone, found)) in enumerate(zip(rows, want)):
+        solid = [x for x in (text or "").split("\n") if x.split()]
+        kept = [x for x in got[n].kept_text.split("\n") if x.split()]
+        assert kept == [x for k, x in enumerate(solid) if k not in gone]
+        assert got[n].n_lines - got[n].n_removed == (len(got[n].kept_text.split("\n")) if got[n].n_removed < got[n].n_lines else 0)
+        assert found <= gone  # recall 1
+        n_found += len(found)
+    assert n_found > 50
+
+
+def test_aligned_blocks():
+    assert list(line_dedup.aligned_blocks([(0, 5, 1), (1, 6, 2), (4, 9, 1)])) == [(0, 3, 5), (4, 1, 9)]
+    # Moved: the longest series first, the rest after it.
+    assert list(line_dedup.aligned_blocks([(0, 7, 1), (1, 2, 1), (2, 3, 1)])) == [(1, 2, 2), (0, 1, 7)]
+    assert line_dedup.shortest_runs([5, 1, 4, 9], 5) == [(0, 1), (0, 2), (1, 2), (2, 2), (3, 1)]
+    assert line_dedup.shortest_runs([1, 1], 5) == line_dedup.shortest_runs([], 5) == []
+
+
+def test_a_block_counts_whoever_holds_its_lines(spark):
+    """Documents that hold single lines of a block don't hide the one that holds all of it."""
+    block = ["one two", "three four", "five six", "seven eight"]
+    rows = [(1, "\n".join(["first of all", *block, "end of it"]))]
+    rows += [(k + 2, f"some other text {k}\n{line}\nmore of it {k}") for k, line in enumerate(block)]
+    rows += [(6, "\n".join(["quite another", *block, "finish"]))]
+    got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[6].n_removed == 4 and got[6].kept_text == "quite another\nfinish"
+    assert [(b.k, b.start, b.size, b.earlier) for b in got[6].blocks] == [(1, 1, 4, 1)]
+    assert all(got[k].n_removed == 0 for k in range(1, 6))
+
+
+def test_lines_many_share(spark):
+    """A passage that most documents hold stays in the first only."""
+    rows = [(k, f"line of document number {k}\nthe licence applies to all of this text\n\nlast line {k}") for k in range(200)]
+    done = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id > 0, r.n_removed) for r in done.collect()} == {(False, 0), (True, 1)}
 
 
 def test_lines(spark):
@@ -158,12 +264,15 @@ def test_lines(spark):
     rows = [
         (1, "\n".join(long[:6])), (2, "\n".join(["a new first line of its own", *long[2:5], "end"])),
         (3, "\n".join(long[:6])), (4, "nothing of the kind stands here"), (5, "short\nend"), (6, None), (7, ""),
+        (8, "\n\n" + long[0] + "\n \n" + long[1] + "\n\n"), (9, "x\n\n" + long[0] + "\n\ny\n"),
     ]
     got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].n_removed == 0 and got[1].kept_text == rows[0][1]
     assert got[2].kept_text == "a new first line of its own\nend" and got[2].n_removed == 3
     assert got[3].kept_text == "" and got[3].n_removed == 6
     assert [got[k].n_removed for k in (4, 5, 6, 7)] == [0, 0, 0, 0]
+    assert got[8].kept_text == "" and got[8].n_removed == 7
+    assert got[9].kept_text == "x\n\n\ny\n" and got[9].n_removed == 1
 
 
 def test_edited_texts(spark, corpus):

@@ -107,6 +107,24 @@ def test_pipeline_keeps_clean_documents(spark):
     assert 0.5 * n < kept < n
 
 
+def test_pipeline_keeps_columns_with_names_of_its_own(spark, tmp_path):
+    """Columns named like an operator's pass through every stage; rows that repeat are one document."""
+    text = "this document is one of its own kind, number {}\nand has a second line that is not like any other {}"
+    names = "score evidence n_lines n_removed kept_text k h _k _h _in_0 in_0 root fp words copy".split()
+    rows = [(n, text.format(n * 7919, "abcdefghij"[n] * 9), "en", "s", 100, *[f"{c}{n}" for c in names]) for n in range(8)]
+    rows += [rows[3]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names)
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "x y z")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == [c for c in schema.replace(" string", "").replace(" long", "").split(", ")], name
+        got = sorted(tuple(r) for r in docs.distinct().collect())
+        assert got == sorted(set(rows)), name
+    assert docs.count() == 8
+
+
 def test_pipeline_on_hostile_and_empty_tables(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     rows = [(1, None, "en", None, 0), (None, None, None, None, None), (2, "", "en", "s", 0), (2, "a b", "en", "s", 3), (2, "a b", "en", "s", 3)]
