@@ -140,10 +140,20 @@ WITH bad AS (
 ), labelled AS (
   SELECT p.*, b.bad FROM placed p LEFT JOIN bad b
     ON b.doc_id = TRY_CAST(regexp_extract(p.path, '^/[^/]*/([0-9]+)', 1) AS BIGINT)
-), hosts AS (
-  SELECT host, regexp_extract(host, '([^.]*\\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix,
+), named AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]$', '') AS name
+  FROM labelled
+), counted AS (
+  SELECT name, regexp_extract(name, '(?:^|[.])((?:{second})[.][a-z][a-z])$', 1) AS two,
+    regexp_matches(name, '^([0-9]{1,3}([.][0-9]{1,3}){3}|\\[.*\\])$') AS address,
     count(bad) AS n, coalesce(sum(bad), 0) AS bad
-  FROM labelled GROUP BY host
+  FROM named GROUP BY name
+), hosts AS (
+  SELECT name, n, bad,
+    CASE WHEN address THEN '[address]' WHEN two <> '' THEN two ELSE regexp_extract(name, '[^.]*$') END AS suffix,
+    CASE WHEN address THEN name WHEN two <> '' THEN regexp_extract(name, '([^.]*[.])?[^.]*[.][^.]*$')
+      ELSE regexp_extract(name, '([^.]*[.])?[^.]*$') END AS domain
+  FROM counted
 ), domains AS (
   SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix
 ), suffixes AS (
@@ -157,21 +167,21 @@ WITH bad AS (
 ), rate1 AS (SELECT domain, (bad + m * above) / (n + m) AS rate FROM above1, m1
 ), above2 AS (SELECT h.*, r.rate AS above FROM hosts h JOIN rate1 r USING (domain)
 ), m2 AS (SELECT {strength} AS m FROM above2 WHERE n > 0
-), rate2 AS (SELECT host, n + m AS weight, (bad + m * above) / (n + m) AS rate FROM above2, m2
+), rate2 AS (SELECT name, n + m AS weight, (bad + m * above) / (n + m) AS rate FROM above2, m2
 ), ruled AS (
   SELECT p.*, CASE
     WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
     WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
     WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
     WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
-  FROM placed p
+  FROM named p
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
     WHEN rule IS NOT NULL THEN 'block'
     WHEN rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (weight + 1)) > 0.5::DOUBLE THEN 'block'
     ELSE 'allow' END AS verdict
-FROM ruled JOIN rate2 USING (host)
+FROM ruled JOIN rate2 USING (name)
 """
 
 #: Prior strength of a level by the method of moments.
@@ -285,7 +295,9 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op8_url_reputation": URL_REPUTATION_SQL.format(strength=STRENGTH_SQL),
+        "op8_url_reputation": URL_REPUTATION_SQL.replace("{strength}", STRENGTH_SQL).replace(
+            "{second}", "|".join(url_reputation.SECOND_LEVEL)
+        ),
         "op11_lexical_search": LEXICAL_SEARCH_SQL,
         "op12_pivot_dedup": PIVOT_DEDUP_SQL,
         "op13_source_audit": SOURCE_AUDIT_SQL,

@@ -2,14 +2,22 @@
 
 Labelled page outcomes are counted per host, registered domain and suffix. Each level's rate is
 shrunk to the level above by a beta-binomial prior whose strength is estimated from the data (method
-of moments); a host is blocked when the lower bound of its posterior rate of bad pages passes the
-threshold. Hosts without labels take their domain's posterior, or the suffix's. Explicit rules come
-first: the longest rule whose host and path fit decides. Everything is DataFrame expressions; counts
-are aggregated before they are shuffled, and the joins are per host, not per page.
+of moments, between STRENGTH's bounds: a prior is worth one page at least and a thousand at most); a host
+is blocked when the lower bound of its posterior rate of bad pages passes the threshold. The bound is the
+normal approximation of the beta posterior's, SIGMAS deviations below its mean. Hosts without labels take
+their domain's posterior, or the suffix's. Explicit rules come first: the longest rule whose host and path
+fit decides. Everything is DataFrame expressions; counts are aggregated before they are shuffled, and the
+joins are per host, not per page.
+
+For its reputation a host is read without user, port and root dot; the host column keeps them. The suffix is
+the last label, or two where a country's two letters follow a second level that registries hand out
+(SECOND_LEVEL, a rule and not the full list of public suffixes); the registered domain has one label more. An
+IP address is a domain of its own, under a suffix that all addresses share.
 
 Null urls and urls without "://" have empty host and path, fit no rule and share the reputation of
-the empty host. A label of null counts as no label. Repeated rows count each; extra columns pass
-unread; an empty table gives an empty result.
+the empty host. A label of null counts as no label. Repeated rows count each. Columns of the input pass
+unread; one named like a column of the result (host, path, rule, verdict, bad_rate, bad_rate_low) is
+replaced by it. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,13 +60,32 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return fitting
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+#: Second levels under which countries register names.
+SECOND_LEVEL = "ac co com edu go gob gouv gov gv ltd mil ne net nom or org plc sch".split()
+_TWO_LABELS = rf"(?:^|\.)((?:{'|'.join(SECOND_LEVEL)})\.[a-z]{{2}})$"
+ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$"
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def name_of(host: Column) -> Column:
+    """The host without user, port and root dot."""
+    for extra in (r"^.*@", r":[0-9]*$", r"\.$"):
+        host = F.regexp_replace(host, extra, "")
+    return host
+
+
+def suffix_of(name: Column) -> Column:
+    two = F.regexp_extract(name, _TWO_LABELS, 1)
+    return F.when(name.rlike(ADDRESS), "[address]").when(two != "", two).otherwise(F.substring_index(name, ".", -1))
+
+
+def domain_of(name: Column) -> Column:
+    """Registered domain: the suffix and the label before it."""
+    two = F.regexp_extract(name, _TWO_LABELS, 1) != ""
+    return (
+        F.when(name.rlike(ADDRESS), name)
+        .when(two, F.substring_index(name, ".", -3))
+        .otherwise(F.substring_index(name, ".", -2))
+    )
 
 
 def _strength(groups: DataFrame, rate: Column) -> DataFrame:
@@ -121,12 +148,17 @@ def reputation(labelled: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, url_col: str = "url", bad_col: str = "bad", rules=RULES) -> DataFrame:
     """`pages` with `host, path, rule, verdict, bad_rate, bad_rate_low`."""
-    placed = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-    known = reputation(placed.select("host", F.col(bad_col).cast("long").alias("bad")))
-    ruled = placed.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    judged = ruled.join(known.select("host", F.col("rate").alias("bad_rate"), F.col("low").alias("bad_rate_low")), "host")
+    old = {c: f"in_{n}" for n, c in enumerate(pages.columns)}
+    url, bad = F.col(old[url_col]), F.col(old[bad_col])
+    placed = pages.toDF(*old.values()).withColumns({"host": host_of(url), "path": path_of(url)})
+    placed = placed.withColumn("name", name_of(F.col("host")))
+    known = reputation(placed.select(F.col("name").alias("host"), bad.cast("long").alias("bad")))
+    known = known.select(F.col("host").alias("name"), F.col("rate").alias("bad_rate"), F.col("low").alias("bad_rate_low"))
+    judged = placed.withColumn("found", rule_of(F.col("host"), F.col("path"), rules)).join(known, "name")
     method = F.when(F.col("bad_rate_low") > BAD_RATE, "block").otherwise("allow")
-    return judged.withColumns(
-        {"rule": F.col("_rule.rule"), "verdict": F.coalesce(F.col("_rule.verdict"), method)}
-    ).drop("_rule")
+    new = {"host": F.col("host"), "path": F.col("path"), "rule": F.col("found.rule"),
+           "verdict": F.coalesce(F.col("found.verdict"), method), "bad_rate": F.col("bad_rate"),
+           "bad_rate_low": F.col("bad_rate_low")}
+    kept = [F.col(inner).alias(c) for c, inner in old.items() if c not in new]
+    return judged.select(*kept, *[value.alias(c) for c, value in new.items()])
 

@@ -37,6 +37,44 @@ def test_reputation_shrinks_to_the_domain(spark):
     assert url_reputation.judge(empty).count() == 0
 
 
+def test_names_domains_and_suffixes(spark):
+    want = {
+        "a.b.example.com": ("a.b.example.com", "example.com", "com"),
+        "user:pw@a.example.com:8080": ("a.example.com", "example.com", "com"),
+        "example.com.": ("example.com", "example.com", "com"),
+        "x.a.co.uk": ("x.a.co.uk", "a.co.uk", "co.uk"), "a.co.uk:80": ("a.co.uk", "a.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk", "co.uk"), "shop.de": ("shop.de", "shop.de", "de"), "localhost": ("localhost", "localhost", "localhost"),
+        "192.168.1.7:8080": ("192.168.1.7", "192.168.1.7", "[address]"), "[::1]:443": ("[::1]", "[::1]", "[address]"),
+        "": ("", "", ""), "aco.uk": ("aco.uk", "aco.uk", "uk"),
+    }
+    from pyspark.sql import functions as F
+
+    name = url_reputation.name_of(F.col("host"))
+    rows = spark.createDataFrame([(h,) for h in want], "host string").select(
+        "host", name.alias("n"), url_reputation.domain_of(name).alias("d"), url_reputation.suffix_of(name).alias("s")).collect()
+    assert {r.host: (r.n, r.d, r.s) for r in rows} == want
+
+
+def test_one_host_does_not_speak_for_others(spark):
+    """Neither under a two-label suffix nor among addresses; ports and users are one host."""
+    rows = [(f"http://good{k % 20}.com/{k}", 0) for k in range(400)] + [(f"http://fine{k % 20}.co.uk/{k}", 0) for k in range(200)]
+    rows += [("http://bad.co.uk/x", 1)] * 60 + [("http://192.168.1.7:8080/", 1)] * 60 + [("http://10.0.0.1/", 0)] * 60
+    rows += [("http://new.co.uk/", None), ("http://10.9.1.7:8080/", None), ("http://u@192.168.1.7/", None), ("http://bad.co.uk.:81/", None)]
+    frame = spark.createDataFrame([(*r, "h", 0.5) for r in rows], "url string, bad int, host string, bad_rate_low double")
+    got = {r.url: r.verdict for r in url_reputation.judge(frame).collect()}
+    assert got["http://bad.co.uk/x"] == got["http://bad.co.uk.:81/"] == "block"
+    assert got["http://192.168.1.7:8080/"] == got["http://u@192.168.1.7/"] == "block"
+    assert got["http://new.co.uk/"] == got["http://10.9.1.7:8080/"] == "allow"
+
+
+def test_long_urls_and_repeated_rows(spark):
+    url = "http://" + "a." * 500 + "example.com/" + "p" * 200_000
+    rows = [(url, 1)] * 40 + [(url, None), (None, 0), ("http://ok.org/", 0)]
+    got = url_reputation.judge(spark.createDataFrame(rows, "url string, bad int"))
+    assert got.count() == 43 and {r.verdict for r in got.where("path like '/ppp%'").collect()} == {"block"}
+    assert url_reputation.judge(spark.createDataFrame([], "url string, bad int, verdict int")).count() == 0
+
+
 def test_twins(spark):
     duck = check_oracle.connect(SF_DIR)
     for name in queries.oracle_sql():
