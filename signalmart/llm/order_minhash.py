@@ -3,15 +3,16 @@
 A text is cut into words (longer ones into pieces of 16 characters); KMER neighbouring words make a
 k-mer, numbered by how often it occurred before in the text. Hashes of the numbered k-mers deal them
 to SKETCHES sketches; each sketch takes its TUPLE smallest, puts them back in text order and hashes
-the tuple. Two texts share a sketch if they share its smallest k-mers in the same order, so the share
-of equal sketches falls with edit distance.
+the tuple. A sketch that was dealt too few, as in short texts, ranks all k-mers of the text by a hash of
+its own and takes the TUPLE smallest of them, so order counts at every length. Two texts share a sketch if
+they share its smallest k-mers in the same order, so the share of equal sketches falls with edit distance.
 
 A fingerprint is array functions over packed longs (hash above, position below), two sorts per text
 and no exchange: n words take O(n log n) however they repeat.
 
 Null and empty texts and texts of white space have no k-mer: all sketches are empty, and two such
-fingerprints have likeness 1. A text of fewer than KMER words has one k-mer, the whole. A sketch
-empty on both sides does not count, on one side it counts as different. Null ids order like the
+fingerprints have likeness 1, with any other 0. A text of fewer than KMER words has one k-mer, the whole; a
+text with one k-mer has tuples of one. Null ids order like the
 smallest id. Rows that repeat an id are ordered by a hash of the text; rows that repeat id and text
 are one document as a neighbour, and each gets its own result row. Extra columns are not read; an
 empty table gives an empty result.
@@ -56,7 +57,9 @@ def _run_starts(items: Column, shift: int) -> Column:
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add `out`: array of SKETCHES hashes (0 to 2^32 - 1), null for an empty sketch."""
     c = F.col
-    kmers, items, runs, dealt, own = (f"_{out}_{x}" for x in ("kmers", "items", "runs", "dealt", "own"))
+    kmers, items, runs, numbered, dealt, own = (
+        f"_{out}_{x}" for x in ("kmers", "items", "runs", "numbered", "dealt", "own")
+    )
     df = df.withColumn(
         kmers, F.transform(F.regexp_extract_all(c(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
     )
@@ -77,10 +80,13 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
             lambda s, r: F.sequence(F.lit(0), F.coalesce(F.get(c(runs), r + 1), F.size(items)) - s - 1),
         )
     )
-    numbered = F.zip_with(
-        items,
-        numbers,
-        lambda x, o: F.struct(F.xxhash64(F.shiftright(x, PLACE_BITS), o).alias("h"), _low(x, PLACE_BITS).alias("p")),
+    df = df.withColumn(
+        numbered,
+        F.zip_with(
+            items,
+            numbers,
+            lambda x, o: F.struct(F.xxhash64(F.shiftright(x, PLACE_BITS), o).alias("h"), _low(x, PLACE_BITS).alias("p")),
+        ),
     )
     bucket = lambda h: F.pmod(F.shiftright(h, VALUE_BITS), F.lit(SKETCHES))
     df = df.withColumn(
@@ -96,18 +102,26 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     )
     df = df.withColumn(runs, _run_starts(c(dealt), VALUE_BITS + PLACE_BITS))
 
+    def tuple_hash(taken: Column) -> Column:
+        places = F.sort_array(F.transform(taken, lambda x: _low(x, PLACE_BITS)))
+        return _low(F.xxhash64(F.transform(places, lambda p: F.get(c(kmers), p.cast("int")))), 32)
+
     def sketch(s: Column, r: Column) -> Column:
         size = F.coalesce(F.get(c(runs), r + 1), F.size(dealt)) - s
-        taken = F.slice(c(dealt), s + 1, F.least(size, F.lit(TUPLE)))
-        places = F.sort_array(F.transform(taken, lambda x: _low(x, PLACE_BITS)))
-        tuple_hash = F.xxhash64(F.transform(places, lambda p: F.get(c(kmers), p.cast("int"))))
         which = F.shiftright(F.get(c(dealt), s), VALUE_BITS + PLACE_BITS).cast("int")
-        return F.struct(which.alias("b"), _low(tuple_hash, 32).alias("h"))
+        return F.struct(which.alias("b"), F.when(size >= TUPLE, tuple_hash(F.slice(c(dealt), s + 1, TUPLE))).alias("h"))
+
+    def of_all(b: Column) -> Column:
+        ranked = F.transform(numbered, lambda x: _pack(F.xxhash64(x["h"], b), 63 - PLACE_BITS, x["p"]))
+        return tuple_hash(F.slice(F.sort_array(ranked), 1, TUPLE))
 
     df = df.withColumn(own, F.transform(runs, sketch))
     places = F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda b: F.array_position(c(own)["b"], b))
-    df = df.withColumn(out, F.transform(places, lambda at: F.get(c(own), at.cast("int") - 1)["h"]))
-    return df.drop(kmers, items, runs, dealt, own)
+    full = F.transform(
+        places,
+        lambda at, b: F.when(F.size(kmers) > 0, F.coalesce(F.get(c(own), at.cast("int") - 1)["h"], of_all(b))),
+    )
+    return df.withColumn(out, full).drop(kmers, items, runs, numbered, dealt, own)
 
 
 def text_of(fingerprint: Column) -> Column:

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 import xxhash
@@ -298,17 +298,69 @@ def test_edited_texts(spark, corpus):
         assert r.near_next == (sum(a == b for a, b in counted) / len(counted) if counted else 1.0)
 
 
-def brute_sketch(spark, text):
-    df = order_minhash.with_fingerprint(spark.createDataFrame([(text,)], "t string"), "t", "f")
-    return df.select("f").first()[0]
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def xx(*values):
+    """Spark's xxhash64 of texts, longs and (as `(n,)`) ints: each is hashed with the hash before as its seed."""
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[0].to_bytes(4, "little") if isinstance(v, tuple) else \
+            v.to_bytes(8, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed=seed & ((1 << 64) - 1))
+    return signed(seed)
+
+
+def plain_order_minhash(text):
+    """The definition, k-mer by k-mer and sketch by sketch."""
+    words = [xx(w) for w in re.findall(r"[^ \t\n\x0b\f\r]{1,16}", text)]
+    kmers = [xx(a, b) for a, b in zip(words, words[1:])] if len(words) > 1 else [xx(*words)] if words else []
+    seen, numbered = Counter(), []
+    for place, kmer in enumerate(kmers):
+        value = kmer & ((1 << 35) - 1)
+        numbered.append((xx(value, (seen[value],)), place))
+        seen[value] += 1
+    out = []
+    for b in range(order_minhash.SKETCHES):
+        dealt = sorted((h & ((1 << 30) - 1), p) for h, p in numbered if (h >> 30) % order_minhash.SKETCHES == b)
+        if len(dealt) < 2:
+            dealt = sorted((xx(h, (b,)) & ((1 << 35) - 1), p) for h, p in numbered)
+        places = sorted(p for _, p in dealt[:2])
+        out.append(xx(*(kmers[p] for p in places)) & 0xFFFFFFFF if places else None)
+    return out
+
+
+def sketches(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    return [r.f for r in order_minhash.with_fingerprint(df, "t", "f").orderBy("i").collect()]
+
+
+def test_sketches_are_the_plain_ones(spark, corpus):
+    rnd = random.Random(2)
+    texts = [t or "" for _, t in corpus[0]] + ["", " ", "one", "a" * 100, "x y " * 50, "x y " * 300, "é 漢字 🙂\u00a0z"]
+    texts += [" ".join(rnd.choice("abcdefghijkl") for _ in range(n)) for n in (2, 3, 5, 31, 64, 200, 1500)]
+    for text, got in zip(texts, sketches(spark, texts)):
+        assert got == plain_order_minhash(text), text[:80]
+
+
+@pytest.mark.parametrize("n", [8, 16, 32, 64, 128, 400])
+def test_order_counts_at_every_length(spark, n):
+    """Two halves in the other order: the tuples of both halves, half of all, differ."""
+    rnd = random.Random(n)
+    words = [[f"w{rnd.randrange(10**9)}" for _ in range(n)] for _ in range(30)]
+    found = sketches(spark, [" ".join(w) for own in words for w in (own, own[n // 2 :] + own[: n // 2])])
+    same = [sum(a == b for a, b in zip(x, y)) / len(x) for x, y in zip(found[::2], found[1::2])]
+    assert (0.3 if n > 8 else 0.15) < sum(same) / len(same) < 0.6  # few words: the k-mer at the seam counts
 
 
 def test_order_and_occurrence_matter(spark):
     words = [f"w{k}" for k in range(200)]
     plain, turned = " ".join(words), " ".join(words[100:] + words[:100])
-    a, b, c = (brute_sketch(spark, t) for t in (plain, turned, plain))
+    a, b, c = sketches(spark, [plain, turned, plain])
     assert a == c and a != b
-    assert brute_sketch(spark, "x y " * 50) != brute_sketch(spark, "x y " * 80)
+    x, y = sketches(spark, ["x y " * 50, "x y " * 80])
+    assert x != y
 
 
 def test_hostile_rows(spark, hostile, hostile_docs, no_docs):
