@@ -50,5 +50,10 @@ class Folder:
     def make(self) -> None:
         self._fs.mkdirs(self._root)
 
+    def delete_at_end(self) -> None:
+        """Remove the folder, with all that is in it then, when the application ends."""
+        self.make()
+        self._fs.deleteOnExit(self._root)
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
