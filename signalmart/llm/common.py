@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from signalmart.sources.files import Folder
+
 SLICE_BYTES = 2 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -20,13 +22,16 @@ def scratch(spark: SparkSession) -> str:
     """Folder all executors share: `spark.checkpoint.dir`; where it is unset, one of our own (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="signalmart-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="signalmart-checkpoint-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder for a staged table; all of an application's go when it ends."""
+    base = f"{scratch(spark)}/llm/{spark.sparkContext.applicationId}"
+    Folder(spark, base).delete_at_end()
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
