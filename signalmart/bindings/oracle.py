@@ -732,6 +732,8 @@ SELECTS = {
         "(SELECT count(*) FROM recharges) + (SELECT count(*) FROM sales) + (SELECT count(*) FROM calls)"
         " + (SELECT count(*) FROM texts) + (SELECT count(*) FROM usage)")} AS total_rows""",
     "audit_constraints": _CONSTRAINTS,
+    "source_offsets": """SELECT 'events' AS query, topic, part AS "partition", date_trunc('millisecond', ts) AS sampled_at,
+            head AS latest_offset, done AS committed_offset FROM samples""",
     "metric_lag": """SELECT 'events' AS query, minute, lag FROM lag_series""",
     "metric_rate": "SELECT topic, minute, messages, round(rate, 6) AS rate_per_second FROM rates",
     "alert_lag": """SELECT w.minute, low AS lowest_lag,

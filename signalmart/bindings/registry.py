@@ -16,6 +16,7 @@ from signalmart.functions import times
 from signalmart.operators import deadletter, keys, metrics, quality, rollups, star, validate
 from signalmart.plans import kpi
 from signalmart.sources import lake
+from signalmart.streaming import progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -419,6 +420,20 @@ def audit_constraints(m: Model) -> DataFrame:
 # --- Pipeline metrics ------------------------------------------------------------------------
 
 
+@query
+def source_offsets(m: Model) -> DataFrame:
+    """Offsets read out of progress reports, one report per event."""
+
+    def offsets(column: str):
+        # {"topic": {"partition": offset}}, as text within the report
+        return F.to_json(F.create_map("topic", F.create_map(F.col("partition").cast("string"), F.col(column))))
+
+    stamp = F.date_format("sampled_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    source = F.struct(offsets("committed_offset").alias("endOffset"), offsets("latest_offset").alias("latestOffset"))
+    report = F.to_json(F.struct(F.col("query").alias("name"), stamp.alias("timestamp"), F.array(source).alias("sources")))
+    return progress.source_offsets(m.metrics.select(report.alias("report")))
+
+
 @query
 def metric_lag(m: Model) -> DataFrame:
     return metrics.consumer_lag(m.metrics)

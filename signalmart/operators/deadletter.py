@@ -54,7 +54,7 @@ def to_broker(records: DataFrame) -> DataFrame:
 def intake(raw: DataFrame) -> DataFrame:
     """Dead-letter messages with `skipped` and its `cause`: malformed ones are flagged, not lost."""
     typed = validate.parsed(raw.withColumn("event_type", F.lit(RECORD_TYPE)), (RECORD_TYPE,))
-    tag = strict_json.first_schema_tag((RECORD_TYPE,), strict=True)
+    tag = strict_json.first_schema_tag((RECORD_TYPE,), strict=False)
     cause = (
         F.when(F.col("document").isNull(), "PARSE_ERROR")
         .when(tag.isNotNull(), tag)

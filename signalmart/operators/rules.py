@@ -120,7 +120,7 @@ def spread_null(key: str, salt: Column) -> Column:
 
     Most rows of a mixed batch lack any one code; unspread, they would all hash to one task.
     """
-    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.pmod(F.hash(salt), F.lit(4096))))
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), salt.cast("string")))
 
 
 def with_reference(df: DataFrame, reference: Reference) -> DataFrame:
@@ -135,7 +135,7 @@ def with_reference(df: DataFrame, reference: Reference) -> DataFrame:
     bundles = reference.bundles.select(
         F.col("bundle_code").alias("_bundle"), F.col("price").cast("double").alias("catalog_price")
     )
-    salt = F.col("event_id")
+    salt = F.xxhash64("event_id", "partition", "offset")  # also apart where there is no id
     return (
         df.join(towers, spread_null("tower_id", salt) == F.col("_tower"), "left")
         .join(bundles, spread_null("bundle_code", salt) == F.col("_bundle"), "left")

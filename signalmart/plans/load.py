@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from signalmart import catalog, session
 from signalmart.operators import deadletter, keys, rollups, star, validate
 from signalmart.operators.rules import RULES, Reference, Rule
-from signalmart.sources import lake, sinks
+from signalmart.sources import lake, records, sinks
 from signalmart.sources.batch import Batch, concurrently
 from signalmart.sources.mart import Mart
 from signalmart.sources.store import Store
@@ -104,12 +104,17 @@ def run_batch(
             kept = resolved.join(lost, ["topic", "partition", "offset"], "left_anti")
         _write_counts(batch, EVENTS_QUERY, validate.batch_counts(kept, rejects))
 
+    def write_positions() -> None:
+        found, positions = records.gaps(verdicts, batch.before("source_positions"))
+        batch.write("source_gaps", found.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        batch.replace("source_positions", positions)
+
     facts = {kind: spec for kind, spec in star.FACTS.items() if kind in present}
     steps = [partial(write_lake, kind) for kind in catalog.EVENT_TYPES if kind in present]
     steps += [partial(write_facts, kind, spec) for kind, spec in facts.items()]
     if "tower_status" in present:
         steps.append(write_state)
-    concurrently(store.spark, [*steps, write_counts])
+    concurrently(store.spark, [*steps, write_counts, write_positions])
 
     # The subscribers of this batch with their provinces, from the join that has been made.
     known = resolved.where(F.col("subject_key").isNotNull()).select(

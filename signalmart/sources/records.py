@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalmart import catalog
 
@@ -18,7 +19,7 @@ def kafka_options(
     """Subscription from the beginning; `max_records` bounds each batch, None takes all there is.
 
     `fail_on_data_loss=True` stops the query when records were dropped by the broker before they
-    were read; otherwise it goes on behind the gap.
+    were read; otherwise it goes on behind the gap, which the load reports in `source_gaps`.
     """
     options = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -31,6 +32,22 @@ def kafka_options(
     return options
 
 
+def gaps(records: DataFrame, positions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(partitions whose first record lies behind the expected one, positions after these records).
+
+    What a broker dropped before it was read shows as a gap; nothing else tells of it where the query does
+    not fail on data loss. Gaps inside a batch are not looked for: brokers leave out control records.
+    """
+    bounds = records.groupBy("topic", "partition").agg(
+        F.min("offset").alias("found_offset"), (F.max("offset") + 1).alias("after")
+    )
+    both = positions.join(bounds, ["topic", "partition"], "full")
+    found = both.where("found_offset > next_offset").select(
+        "topic", "partition", F.col("next_offset").alias("expected_offset"), "found_offset"
+    )
+    return found, both.select("topic", "partition", F.greatest("next_offset", "after").alias("next_offset"))
+
+
 def event_topics() -> tuple[str, ...]:
     return tuple(catalog.TOPICS)
 

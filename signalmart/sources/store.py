@@ -109,6 +109,11 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         "event_type string, accepted boolean, n_records bigint, query string, batch_id bigint",
         (),
     ),
+    # Where the next record of each source partition is expected, and where one came later than that.
+    "source_positions": ("topic string, `partition` int, next_offset bigint", ()),
+    "source_gaps": (
+        "topic string, `partition` int, expected_offset bigint, found_offset bigint, batch_id bigint", (),
+    ),
     # Numbers taken, as their own index; ids stored, as sixteen bytes.
     "ids/msisdn": ("key string", ()),
     **{f"ids/{name}": ("key binary", ()) for name in (*FACT_TABLES, "dlq_records")},
