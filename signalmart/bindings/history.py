@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from signalmart import catalog, session
 from signalmart.bindings.model import Model
-from signalmart.operators import rollups, star, validate
+from signalmart.operators import keys, rollups, star, validate
 from signalmart.plans import load
 from signalmart.sources import lake
 from signalmart.sources.batch import Batch, concurrently
@@ -69,7 +69,7 @@ def _write(batch: Batch, tables: dict[str, DataFrame], dims: DataFrame, rollups_
     """One batch: facts by id, the sums over the new ones, one commit."""
     spark = batch.store.spark
     concurrently(spark, [partial(batch.insert, table, rows) for table, rows in tables.items()])
-    own = Mart({**{table: partial(batch.own, table) for table in tables}, "dim_subscriber": lambda: dims})
+    own = Mart({**{table: partial(batch.own, table) for table in tables}, "dim_subscriber": lambda: keys.shuffled(dims)})
     concurrently(spark, [lambda n=n, b=b: batch.write(n, b(own)) for n, (b, _) in rollups_.items()])
     batch.commit()
 

@@ -136,7 +136,7 @@ class Model:
     def priced_events(self) -> DataFrame:
         """The same with the list price of the bundle on bundle purchases."""
         prices = self.bundles.select("bundle_key", F.col("price").cast("double").alias("list_price"))
-        return self._typed(self._shaped.join(prices, "bundle_key", "left"))
+        return self._typed(self._shaped.join(keys.shuffled(prices), "bundle_key", "left"))
 
     @cached_property
     def _shaped(self) -> DataFrame:
@@ -249,8 +249,9 @@ class Model:
         known = self.subscribers.select(
             F.col("subscriber_id").alias(spec.subject), F.col("subscriber_key").alias("subject_key")
         )
-        events = source.where(F.col("event_type") == event_type).join(known, spec.subject)
-        return star.fact_rows(event_type, events, self.mart)
+        events = source.where(F.col("event_type") == event_type).join(keys.shuffled(known), spec.subject)
+        dims = self.mart.with_tables(dim_bundle=keys.shuffled(self.bundles))
+        return star.fact_rows(event_type, events, dims)
 
     def no_state(self) -> DataFrame:
         return self.spark.createDataFrame(

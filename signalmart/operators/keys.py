@@ -20,6 +20,14 @@ def arrival_order() -> list[Column]:
     return [F.col("partition").asc(), F.col("offset").asc()]
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: met in a shuffled join, never broadcast through the driver.
+
+    Spark weighs a side by its packed size; as a broadcast table it takes up to twenty times that.
+    """
+    return side.hint("merge")
+
+
 def insert_if_absent(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of `new` whose key is not stored yet.
 

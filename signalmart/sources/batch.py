@@ -83,13 +83,13 @@ class Batch:
         found = flat.unionByName(merged).where(F.col("bucket").isin(sorted(buckets)))
         if few:
             return found.where(_one_of(key, [row[key] for row in some]))
-        return found.join(wanted, key, "left_semi")
+        return found.join(keys.shuffled(wanted), key, "left_semi")
 
     def fresh(self, table: str, rows: DataFrame) -> DataFrame:
         """Rows whose `event_id` the table did not hold before the batch."""
         keyed = rows.withColumn("key", keys.id_bytes("event_id"))
         stored = self.lookup(f"ids/{table}", keyed).select("key")
-        return keyed.join(stored, "key", "left_anti").drop("key")
+        return keyed.join(keys.shuffled(stored), "key", "left_anti").drop("key")
 
     # --- Writing -----------------------------------------------------------------------------
 

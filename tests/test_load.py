@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalmart import catalog
+from signalmart.bindings.model import Model
 from signalmart.operators import keys, quality, rollups, validate
 from signalmart.plans import kpi, load
 from signalmart.sources import lake, manifest, records
@@ -439,3 +440,32 @@ def test_skipped_dead_letters_stay_with_their_text(spark, tmp_path):
 def test_marts_with_equal_names_have_their_own_staging(spark, tmp_path):
     places = {load.open_store(spark, str(tmp_path / x / "mart"), str(tmp_path)).staging for x in ("a", "b")}
     assert len(places) == 2
+
+
+def plan_of(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sides_that_grow_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Stored and wanted ids, subscribers and bundles meet the facts in shuffled joins, not through the driver."""
+    monkeypatch.setattr("signalmart.sources.batch.LOOKUP", 10)
+    store = load.open_store(spark, str(tmp_path / "mart"))
+    add_calls(store, 0, [call(i) for i in range(40)])
+    batch = store.begin(load.EVENTS_QUERY, 1)
+    rows = spark.createDataFrame([call(i) for i in range(20, 60)], store.schema("fact_calls"))
+    found = batch.lookup("ids/fact_calls", rows.select(keys.id_bytes("event_id").alias("key")))
+    fresh = batch.fresh("fact_calls", rows)
+    assert (found.count(), fresh.count()) == (20, 20)
+    assert "BroadcastExchange" not in plan_of(found) + plan_of(fresh)
+
+    model = Model(spark, str(tmp_path))
+    for name, sql in {
+        "customer": "id AS c_custkey, CAST(1 AS INT) AS c_nationkey, 1.0D AS c_acctbal",
+        "part": "id AS p_partkey, 'p' AS p_name, 't' AS p_type, 9.0D AS p_retailprice",
+        "events": "id AS event_id, TIMESTAMP '2024-01-01 00:00:00' AS ts, id AS user_id, 'signup' AS event_type, 1.0D AS value",
+    }.items():
+        spark.range(1, 20).selectExpr(*sql.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    sales = model.mart["fact_bundle_sales"]
+    assert sales.count() == 18  # the tenth subscriber has another id
+    assert "BroadcastExchange" not in plan_of(sales)
