@@ -30,7 +30,7 @@ EVENTS_QUERY = "events"
 DLQ_QUERY = "dead-letters"
 
 
-def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
+def staged(store: Store, df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result, split by event type, and read it back."""
     path = f"{store.staging}/{name}"
     schema = df.schema
@@ -41,7 +41,7 @@ def _stage(store: Store, df: DataFrame, name: str) -> DataFrame:
 def new_subscribers(batch: Batch, created: DataFrame) -> DataFrame:
     """Write the batch's new subscribers with the index of their numbers; return the rejects."""
     first = keys.first_per_key(created, ["topic", "event_id"], keys.arrival_order())
-    claims = _stage(batch.store, star.new_claims(first, batch.lookup("dim_subscriber", created)), "claims")
+    claims = staged(batch.store, star.new_claims(first, batch.lookup("dim_subscriber", created)), "claims")
     numbers = batch.lookup("ids/msisdn", claims.select(F.col("msisdn").alias("key")))
     rows = star.winning_claims(claims, numbers.select(F.col("key").alias("msisdn")))
     batch.write("dim_subscriber", rows)
@@ -63,7 +63,7 @@ def run_batch(
     if batch is None:  # final: newer batches were built on it
         return
     reference = Reference(store.read("dim_tower"), store.read("dim_bundle"))
-    verdicts = _stage(
+    verdicts = staged(
         store, validate.validate(raw, reference, batch.clock, strict, rules), "verdicts"
     )
     accepted = validate.accepted(verdicts)
@@ -80,7 +80,7 @@ def run_batch(
 
     subjects = accepted.select(star.subject_of(F.col("event_type")).alias("subscriber_id"))
     unique = keys.first_per_key(accepted, ["topic", "event_id"], keys.arrival_order())
-    resolved = _stage(
+    resolved = staged(
         store,
         star.resolve_subjects(unique, batch.lookup("dim_subscriber", subjects, own=True)),
         "resolved",
@@ -145,7 +145,7 @@ def run_dead_letter_batch(raw: DataFrame, store: Store, batch_id: int) -> None:
     batch = store.begin(DLQ_QUERY, batch_id)
     if batch is None:
         return
-    taken = _stage(store, deadletter.intake(raw), "dead-letters")
+    taken = staged(store, deadletter.intake(raw), "dead-letters")
     if batch.insert("dlq_records", deadletter.records(taken)):
         build, _ = rollups.DLQ_ROLLUPS["agg_dlq_minute"]
         _write_rollup(batch, Mart({"dlq_records": partial(batch.own, "dlq_records")}), "agg_dlq_minute", build)
