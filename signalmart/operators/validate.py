@@ -112,12 +112,19 @@ def rejected(validated: DataFrame) -> DataFrame:
 
 
 def events_of(events: DataFrame, event_type: str) -> DataFrame:
-    """The typed events of one type, exactly the contract's columns, as stored in the lake."""
+    """The typed events of one type, exactly the contract's columns, as stored in the lake.
+
+    The type is that of the topic. Named as well, the topic is a filter that passes below deduplication and
+    parsing, which treat each topic for itself.
+    """
     columns = [
         F.col(catalog.DECLARED_TYPE if name == "event_type" else name).alias(name)
         for name, _ in catalog.fields(event_type)
     ]
-    return events.where(F.col("event_type") == event_type).select(*columns)
+    of_type = F.col("event_type") == event_type
+    if "topic" in events.columns:
+        of_type &= F.col("topic") == next(topic for topic, kind in catalog.TOPICS.items() if kind == event_type)
+    return events.where(of_type).select(*columns)
 
 
 def batch_counts(resolved: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalmart import catalog
+from signalmart.bindings import registry
 from signalmart.bindings.model import Model
 from signalmart.operators import keys, quality, rollups, validate
 from signalmart.plans import kpi, load
@@ -459,13 +460,39 @@ def test_sides_that_grow_are_not_broadcast(spark, tmp_path, monkeypatch):
     assert (found.count(), fresh.count()) == (20, 20)
     assert "BroadcastExchange" not in plan_of(found) + plan_of(fresh)
 
-    model = Model(spark, str(tmp_path))
+    sales = small_model(spark, tmp_path).mart["fact_bundle_sales"]
+    assert sales.count() == 18  # the tenth subscriber has another id
+    assert "BroadcastExchange" not in plan_of(sales)
+
+
+def small_model(spark, folder):
+    """Nineteen bundle purchases of as many subscribers."""
     for name, sql in {
         "customer": "id AS c_custkey, CAST(1 AS INT) AS c_nationkey, 1.0D AS c_acctbal",
+        "supplier": "id AS s_suppkey, 'Supplier#1' AS s_name, CAST(1 AS INT) AS s_nationkey",
         "part": "id AS p_partkey, 'p' AS p_name, 't' AS p_type, 9.0D AS p_retailprice",
         "events": "id AS event_id, TIMESTAMP '2024-01-01 00:00:00' AS ts, id AS user_id, 'signup' AS event_type, 1.0D AS value",
     }.items():
-        spark.range(1, 20).selectExpr(*sql.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
-    sales = model.mart["fact_bundle_sales"]
-    assert sales.count() == 18  # the tenth subscriber has another id
-    assert "BroadcastExchange" not in plan_of(sales)
+        spark.range(1, 20).selectExpr(*sql.split(", ")).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return Model(spark, str(folder))
+
+
+def test_records_of_small_files_are_parsed_on_all_cores(spark, tmp_path):
+    raw = small_model(spark, tmp_path).raw
+    assert raw.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert raw.count() == 39  # one is sent twice
+
+
+def test_counts_parse_records_once(spark, tmp_path):
+    small_model(spark, tmp_path)
+    counts = registry.QUERIES["batch_counts"](spark, str(tmp_path))
+    assert "parse_json" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(r.n_records for r in counts.collect()) == 38
+
+
+def test_the_lake_of_a_type_parses_its_topic_only(spark, tmp_path):
+    model = small_model(spark, tmp_path)
+    sold = validate.events_of(model.accepted, "bundle_purchase")
+    plan = sold._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" not in plan, plan  # registrations are of another topic
+    assert sold.count() == model.accepted.where(F.col("event_type") == "bundle_purchase").count() > 0
