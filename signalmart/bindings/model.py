@@ -135,8 +135,12 @@ class Model:
     @cached_property
     def priced_events(self) -> DataFrame:
         """The same with the list price of the bundle on bundle purchases."""
+        return self._typed(self._priced)
+
+    @cached_property
+    def _priced(self) -> DataFrame:
         prices = self.bundles.select("bundle_key", F.col("price").cast("double").alias("list_price"))
-        return self._typed(self._shaped.join(keys.shuffled(prices), "bundle_key", "left"))
+        return self._shaped.join(keys.shuffled(prices), "bundle_key", "left")
 
     @cached_property
     def _shaped(self) -> DataFrame:
@@ -299,8 +303,15 @@ class Model:
         """Broker-shaped JSON records of all seven topics, a fault per `offset % 50`."""
         return self._event_records().unionByName(self._subscriber_records())
 
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        """Dealt over all cores while they are narrow: a few MB of a packed file hold minutes of parsing.
+
+        The number is given, since rows this small would be gathered into a few tasks by their size.
+        """
+        return rows.repartition(4 * self.spark.sparkContext.defaultParallelism)
+
     def _event_records(self) -> DataFrame:
-        e = self.priced_events
+        e = self._typed(self._spread(self._priced))
         fault = F.col("offset") % 50
         kind = F.col("event_type")
 
@@ -410,7 +421,7 @@ class Model:
         """Registrations; of every twenty one breaks each of the rules, and one breaks all of them."""
         key = F.col("subscriber_id")
         fault = key % 20
-        return self.subscribers.select(
+        return self._spread(self.subscribers).select(
             F.lit("subscriber-created").alias("topic"),
             (key % 3).cast("int").alias("partition"),
             key.alias("offset"),

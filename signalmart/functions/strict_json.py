@@ -112,6 +112,23 @@ def _conforms(event_types: tuple[str, ...], document: str) -> Column:
 
 def _deviations(event_types: tuple[str, ...], raw: str, document: str) -> Column:
     """Tags of a document that does not conform, found field by field."""
+    of_fields, surplus = _deviation_parts(event_types, raw, document)
+    return F.when(_is_object(document), F.concat(of_fields, surplus)).otherwise(F.array(F.lit("not_an_object")))
+
+
+def _first_deviation(event_types: tuple[str, ...], raw: str, document: str) -> Column:
+    """The first of `_deviations`; the text is looked through for surplus keys only if no field is wrong."""
+    of_fields, surplus = _deviation_parts(event_types, raw, document)
+    first = F.coalesce(F.get(of_fields, F.lit(0)), F.get(surplus, F.lit(0)))
+    return F.when(_is_object(document), first).otherwise("not_an_object")
+
+
+def _is_object(document: str) -> Column:
+    return F.schema_of_variant(F.col(document)).startswith("OBJECT")
+
+
+def _deviation_parts(event_types: tuple[str, ...], raw: str, document: str) -> tuple[Column, Column]:
+    """missing/type tags and unexpected tags of an object."""
     contracts = {kind: catalog.fields(kind) for kind in event_types}
     names = _by_type_literal(event_types, {k: [n for n, _ in f] for k, f in contracts.items()})
     kinds = _by_type_literal(event_types, {k: [t for _, t in f] for k, f in contracts.items()})
@@ -119,10 +136,7 @@ def _deviations(event_types: tuple[str, ...], raw: str, document: str) -> Column
         F.array_except(F.json_object_keys(raw), names),
         lambda key: F.concat(F.lit("unexpected:"), key),
     )
-    is_object = F.schema_of_variant(F.col(document)).startswith("OBJECT")
-    return F.when(is_object, F.concat(_field_tags(document, names, kinds), surplus)).otherwise(
-        F.array(F.lit("not_an_object"))
-    )
+    return _field_tags(document, names, kinds), surplus
 
 
 def schema_tags(
@@ -149,5 +163,5 @@ def first_schema_tag(
     """The first of `schema_tags`, NULL if there is none, without building the list for clean rows."""
     sound = F.coalesce(*_format_tags()) if strict else F.lit(None).cast("string")
     return F.when(_conforms(event_types, document), sound).otherwise(
-        F.get(_deviations(event_types, raw, document), F.lit(0))
+        _first_deviation(event_types, raw, document)
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalmart import catalog
+from signalmart.functions import strict_json
 from signalmart.operators import rules, validate
 from signalmart.operators.rules import Reference
 from tests.events import BODIES, event, raw_frame
@@ -68,6 +69,15 @@ def test_structural_tags(spark):
     assert got == {name: tags for name, (_, tags) in STRUCTURE.items()}
 
 
+def test_first_tag_is_the_first_of_all(spark):
+    raw = raw_frame(spark, [(AIR, body) for body, _ in STRUCTURE.values()])
+    typed = validate.parsed(validate.with_event_type(raw))
+    tag = strict_json.first_schema_tag(("airtime_purchase",), strict=False)
+    got = dict(zip(STRUCTURE, [r["tag"] for r in typed.select(tag.alias("tag"), "offset").orderBy("offset").collect()]))
+    sound = {name: (tags or [None])[0] for name, (_, tags) in STRUCTURE.items() if tags is not None}
+    assert {name: got[name] for name in sound} == sound
+
+
 STRICT = {
     "not a uuid": ({"event_id": "abc"}, "SCHEMA_VIOLATION:format:event_id"),
     # Ids are told apart without regard to case, so an upper-case one is an id like any other.
