@@ -13,6 +13,8 @@ writes an empty folder.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -26,8 +28,41 @@ from pyspark.sql import functions as F
 from signalmart.llm import common
 
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
-#: Bytes of each half of the memory, with what an entry takes besides its chunk and ids.
-CACHE_BYTES, ENTRY_BYTES = 96 << 20, 250
+#: Bytes of each half of the memory, with what an entry takes besides its piece and ids.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 250
+#: Bytes of text looked at together, and new pieces handed to the library together.
+SLICE_BYTES, AT_ONCE = 4 << 20, 100
+#: What `CUTS` holds for: every run of letters, every digit and every run of other marks is a word, save that
+#: an apostrophe takes some endings with it. Texts with special tokens, all of which hold `MARK`, are not cut.
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+MARK = "<|"
+#: Letters that stay letters, one for one, whatever the normalizer does to them.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD = re.compile("[a-zß-öø-ÿ]+")
+#: Between a letter and an ASCII digit or mark, and between one of these, but an apostrophe, and a letter. Nothing
+#: composes across, since neither an ASCII character nor a letter of these is a combining one.
+CUTS = (rf"([{LETTERS}])([!-@\[-`{{-~])", rf"([!-&(-@\[-`{{-~])([{LETTERS}])")
 LAYOUT = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -41,62 +76,118 @@ LAYOUT = {
 
 
 class ChunkEncoder:
-    """The tokenizers library behind a bounded memory of blank-delimited chunks.
+    """The tokenizers library behind a bounded memory of the pieces texts are made of.
 
     White space is dropped by this tokenizer and no rule of it looks across, so the ids of a text are those
-    of its chunks in turn. The memory has a recent and an older half; a chunk met again moves to the recent
-    one, and when that is full the older one goes, so frequent chunks stay.
+    of its blank-delimited chunks in turn. A chunk is cut once more at `CUTS`, where the tokenizer parts it
+    as well, so that a word is one piece with and without the marks around it; under another tokenizer it
+    stays whole. The memory has a recent and an older half; a piece met again moves to the recent one, and
+    when that is full the older one goes, so frequent pieces stay.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.recent: dict[str, np.ndarray] = {}
-        self.older: dict[str, np.ndarray] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
+        described = json.loads(self.library.to_str())
+        self.cuts = RULES.items() <= described.items() and all(MARK in t["content"] for t in described["added_tokens"])
+        vocabulary = self.library.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        suffix = described["model"].get("end_of_word_suffix")
+        if self.cuts and suffix:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # The same without the steps that leave lower-case words as they are.
+        self.words = Tokenizer(self.library.model)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
 
-    def _keep(self, chunk: str, ids: np.ndarray) -> None:
-        self.size += ENTRY_BYTES + len(chunk) + 4 * len(ids)
-        self.recent[chunk] = ids
+    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.size += ENTRY_BYTES * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
+        self.recent.update(zip(pieces, ids, strict=True))
         if self.size > CACHE_BYTES:
             self.recent, self.older, self.size = {}, self.recent, 0
 
-    def ids_of(self, chunks: list[str]) -> list[np.ndarray]:
-        """32-bit ids of distinct chunks."""
-        found: list = [self.recent.get(chunk) for chunk in chunks]
-        new = []
-        for place, ids in enumerate(found):
-            if ids is None:
-                ids = found[place] = self.older.get(chunks[place])
-                if ids is None:
-                    new.append(place)
-                else:
-                    self._keep(chunks[place], ids)
-        for start in range(0, len(new), 5000):
-            part = new[start : start + 5000]
-            encoded = self.library.encode_batch([chunks[p] for p in part], add_special_tokens=False)
-            for place, encoding in zip(part, encoded, strict=True):
-                found[place] = np.array(encoding.ids, np.int32)
-                self._keep(chunks[place], found[place])
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
+        encoded = self.library.encode_batch(pieces, add_special_tokens=False)
+        return [np.array(encoding.ids, "<i4").tobytes() for encoding in encoded]
+
+    def _as_one_text(self, words: list[str]) -> list[bytes]:
+        """Lower-case words, in one call: the last id of each is one that closes a word, and no other is."""
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<i4")
+        ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+        if len(ends) != len(words) or ends[-1] != ids.nbytes:
+            return self._one_by_one(words)
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, 32 bits each."""
+        found: list = list(map(self.recent.get, pieces))
+        again, words, others = [], [], []
+        for place in [place for place, ids in enumerate(found) if ids is None]:
+            found[place] = self.older.get(pieces[place])
+            if found[place] is not None:
+                again.append(place)
+            elif self.cuts and WORD.fullmatch(pieces[place]):
+                words.append(place)
+            else:
+                others.append(place)
+        for places, encode in ((again, None), (words, self._as_one_text), (others, self._one_by_one)):
+            for start in range(0, len(places), AT_ONCE):
+                part = places[start : start + AT_ONCE]
+                texts = [pieces[place] for place in part]
+                ids = encode(texts) if encode else [found[place] for place in part]
+                for place, of_piece in zip(part, ids, strict=True):
+                    found[place] = of_piece
+                self._keep(texts, ids)
         return found
 
+    def _cut(self, chunks: pa.Array) -> pa.ListArray:
+        """The pieces of every chunk."""
+        if not self.cuts:
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(chunks) + 1), pa.int32()), chunks)
+        spaced = chunks
+        for pattern in CUTS:
+            spaced = pc.replace_substring_regex(spaced, pattern, r"\1 \2")
+        return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(chunks, MARK), chunks, spaced))
+
+    def _lowered(self, pieces: pa.Array) -> pa.Array:
+        """Words in lower case, as the normalizer has them; other pieces as they are."""
+        if not self.cuts:
+            return pieces
+        return pc.if_else(pc.match_substring_regex(pieces, f"^[{LETTERS}]+$"), pc.utf8_lower(pieces), pieces)
+
     def encode(self, texts: pa.Array, end: np.ndarray) -> pa.ListArray:
         """Ids of every text, with those of `end` behind each."""
         lists = pc.ascii_split_whitespace(texts)
-        coded = lists.flatten().dictionary_encode()
-        ids = [*self.ids_of(coded.dictionary.to_pylist()), end]
-        lengths = np.array([len(i) for i in ids], np.int64)
-        begins = np.cumsum(lengths) - lengths
+        chunks = lists.flatten().dictionary_encode()
+        parts = self._cut(chunks.dictionary)
+        pieces = self._lowered(parts.flatten()).dictionary_encode()
+        found = self.ids_of(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, ends = _laid_out(np.frombuffer(b"".join(found), "<i4"), lengths, pieces.indices.to_numpy())
+        upto = np.concatenate(([0], ends))[np.cumsum(pc.list_value_length(parts).to_numpy())]
+        lengths = np.append(np.diff(upto, prepend=0), len(end))
         n_chunks = pc.list_value_length(lists).to_numpy()
-        codes = np.insert(coded.indices.to_numpy(), np.cumsum(n_chunks), len(ids) - 1)
-        sizes = lengths[codes]
-        ends = np.cumsum(sizes)
-        at = np.arange(int(sizes.sum())) + np.repeat(begins[codes] - (ends - sizes), sizes)
+        codes = np.insert(chunks.indices.to_numpy(), np.cumsum(n_chunks), len(lengths) - 1)
+        ids, ends = _laid_out(np.concatenate((ids, end)), lengths, codes)
         offsets = np.concatenate(([0], ends[np.cumsum(n_chunks + 1) - 1]))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)[at], pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _laid_out(values: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `values`, one of each of `lengths`, in the order of `codes`, and where each ends."""
+    begins = np.cumsum(lengths) - lengths
+    sizes = lengths[codes]
+    ends = np.cumsum(sizes)
+    at = np.arange(int(sizes.sum()), dtype=np.int32)
+    at += np.repeat((begins[codes] - (ends - sizes)).astype(np.int32), sizes)
+    return values[at], ends
 
 
 @lru_cache(maxsize=2)
@@ -119,17 +210,21 @@ def write(
     vocabulary = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     end = np.array([] if end_id is None else [end_id], np.int32)
 
-    def encode(piece: pa.RecordBatch) -> dict:
-        tokens = encoder(vocabulary).encode(piece.column("text"), end)
-        return {
-            "doc_id": piece.column("doc_id"),
-            "n_tokens": pc.list_value_length(tokens).cast(pa.int64()),
-            "tokens": tokens,
-        }
+    def encode(batches):
+        for piece in common.gathered(batches, SLICE_BYTES):
+            tokens = encoder(vocabulary).encode(piece.column("text"), end)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": piece.column("doc_id"),
+                    "n_tokens": pc.list_value_length(tokens).cast(pa.int64()),
+                    "tokens": tokens,
+                }
+            )
+            pa.default_memory_pool().release_unused()
 
     narrow = common.texts(docs, id_col, text_col)
     dealt = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    common.map_slices(dealt, encode, SCHEMA).write.options(**LAYOUT).parquet(path)
+    dealt.mapInArrow(encode, SCHEMA).write.options(**LAYOUT).parquet(path)
 
 
 def _checksums(tokens: DataFrame) -> DataFrame:

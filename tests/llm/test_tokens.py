@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from signalmart.llm import piece_codec, queries, token_counts, token_files
 
@@ -51,6 +51,34 @@ def test_a_full_memory_keeps_what_is_met_again(noise, monkeypatch):
     assert len(encoder.recent) + len(encoder.older) < 2000
 
 
+def test_a_word_is_one_piece_whatever_marks_it_has():
+    encoder = token_files.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = "harbour harbour, (Harbour) harbour's HARBOUR-harbour 7harbour. \"harbour\" état État, (état)"
+    want = encoder.library.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(pa.array([text]), np.zeros(0, np.int32)).to_pylist() == [want]
+    held = [piece.lower() for piece in encoder.recent]
+    assert sum("harbour" in piece for piece in held) == sum("état" in piece for piece in held) == 1
+
+
+def test_cuts_change_no_ids():
+    """Marks that compose, letters that do not stay single, endings after apostrophes, special tokens."""
+    library = Tokenizer.from_file(path := public_tokenizers.path("word_bpe_49k.json"))
+    parts = [*"aAsTvJhéÉÿß×ªİΣ,.'-<|>09½²漢\u0301\u030c\u0307\u0338 \xa0\x85\x1c", "'s", "''ll", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(5000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert token_files.ChunkEncoder(path).encode(pa.array(texts), np.zeros(0, np.int32)).to_pylist() == want
+
+
+def test_another_tokenizer_is_not_cut(tmp_path):
+    other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    other.save(path := f"{tmp_path}/other.json")
+    texts = ["harbour, harbour's (harbour) l'état,", "", "a1,b2"]
+    want = [e.ids for e in other.encode_batch(texts, add_special_tokens=False)]
+    assert token_files.ChunkEncoder(path).encode(pa.array(texts), np.zeros(0, np.int32)).to_pylist() == want
+
+
 def test_start_is_the_place_in_the_files(spark, tmp_path):
     """Rows that share an id stand where the files have them, whatever their length."""
     rows = [(5, "a b c d e f g"), (5, "one two"), (6, "x"), (5, "a b c d e f g"), (None, "n"), (5, None)]
